@@ -26,7 +26,7 @@ from tastemap.operators.stats import stats_by, weighted_f1
 from tastemap.plans import jobs
 from tastemap.sources.durable import scratch_path
 from tastemap.sources.export import first_points
-from tastemap.sources.tables import read_table
+from tastemap.sources.tables import read_table, spread
 
 # Stand-ins for the required word and the cuisines. "ol" is only ever part of a word.
 REQUIRED = "PROMO"
@@ -89,14 +89,18 @@ def _points(spark, sf):
         "sentiment", F.round("sentiment", 6))
 
 
-def _texts(spark, sf, **columns):
-    documents = _table(spark, sf, "documents").withColumn("stars", F.lit(None).cast("double"))
-    return prepare_reviews(documents, keep=("doc_id",), need_label=False, **columns)
+def _documents(spark, sf):
+    return spread(_table(spark, sf, "documents"))
+
+
+def _texts(spark, sf):
+    documents = _documents(spark, sf).withColumn("stars", F.lit(None).cast("double"))
+    return prepare_reviews(documents, keep=("doc_id",), need_label=False)
 
 
 def _labelled(spark, sf):
     """Labelled documents; quality 1 is a good rating."""
-    return (_table(spark, sf, "documents").join(_table(spark, sf, "labels"), "doc_id")
+    return (_documents(spark, sf).join(_table(spark, sf, "labels"), "doc_id")
             .withColumn("stars", F.col("quality") * 5))
 
 
@@ -157,11 +161,11 @@ def weighted_sentiment_by_category(spark, sf):
 
 
 def clean_text_runs(spark, sf):
-    return _table(spark, sf, "documents").select("doc_id", clean_text("text").alias("cleaned"))
+    return _documents(spark, sf).select("doc_id", clean_text("text").alias("cleaned"))
 
 
 def clean_text_simple(spark, sf):
-    return _table(spark, sf, "documents").select(
+    return _documents(spark, sf).select(
         "doc_id", clean_text("text", collapse=False).alias("cleaned"))
 
 
@@ -246,7 +250,7 @@ def train_and_score(spark, sf):
     """Train on the labelled documents, save, load, score every document, and join to sources."""
     path = scratch_path(spark, "model")
     save_model(jobs.train(_labelled(spark, sf), key="doc_id").model, path)
-    documents = (_table(spark, sf, "documents")
+    documents = (_documents(spark, sf)
                  .join(_table(spark, sf, "labels"), "doc_id", "left")
                  .withColumn("stars", F.col("quality") * 5))
     scored = jobs.score(load_model(path), documents, key="doc_id", entity="source")

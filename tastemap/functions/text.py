@@ -1,14 +1,28 @@
 """Text cleaning as one native regular expression."""
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ASCII punctuation and digits, and the code points that count as
-# Unicode whitespace. Java's own \s is ASCII only, so they are written out.
-PUNCTUATION_AND_DIGITS = r"!-/:-@\[-`{-~0-9"
-WHITESPACE = (r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a"
-              r"\u2028\u2029\u202f\u205f\u3000")
-LINE_BREAKS_AND_TABS = r"\r\t\n"
+# ASCII punctuation, digits, and what counts as Unicode whitespace.
+# Java's own \s is ASCII only, so the latter is written out.
+PUNCTUATION = string.punctuation
+DIGITS = string.digits
+LOW_WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+HIGH_WHITESPACE = r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LINE_BREAKS_AND_TABS = "\r\t\n"
+
+
+def _listed(characters: str) -> str:
+    # Java looks up single characters below 256 in a bit set; ranges it tries in turn.
+    return "".join(f"\\x{ord(c):02x}" for c in characters)
+
+
+# The outer range lets letters skip the test for the rarer blanks.
+BLANK_RUN = (f"[{_listed(PUNCTUATION + DIGITS + LOW_WHITESPACE)}"
+             rf"[\u1680-\u3000&&[{HIGH_WHITESPACE}]]]++")
+BLANK = f"[{_listed(PUNCTUATION + DIGITS + LINE_BREAKS_AND_TABS)}]"
 
 
 def clean_text(text, collapse: bool = True) -> Column:
@@ -18,6 +32,4 @@ def clean_text(text, collapse: bool = True) -> Column:
     each punctuation mark, digit, tab or line break becomes its own space and
     other whitespace stays.
     """
-    if collapse:
-        return F.regexp_replace(text, f"[{PUNCTUATION_AND_DIGITS}{WHITESPACE}]+", " ")
-    return F.regexp_replace(text, f"[{PUNCTUATION_AND_DIGITS}{LINE_BREAKS_AND_TABS}]", " ")
+    return F.regexp_replace(text, BLANK_RUN if collapse else BLANK, " ")

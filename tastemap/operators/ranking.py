@@ -3,7 +3,7 @@
 The values are range-partitioned into slices, so that one hot group spreads
 over as many slices as it needs. Slice totals, one row per group and slice,
 tell which slice holds a wanted rank; only that slice is looked into. The
-slices are checkpointed first: range bounds come from a sample, and numbering
+slices are written out first: range bounds come from a sample, and numbering
 them anew after a lost executor would mix two numberings.
 """
 
@@ -19,10 +19,9 @@ def range_slices(df: DataFrame, *order: str) -> DataFrame:
 
 def median_by(df: DataFrame, key: str, value: str, name: str = "median") -> DataFrame:
     """Exact median of the non-NULL values of each group; NULL is a group too."""
-    counts = (df.select(F.col(key).alias("k"), F.col(value).cast("double").alias("v"))
-                .where(F.col("v").isNotNull())
-                .groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")))
-    slices = range_slices(counts, "k", "v")
+    counts = (df.groupBy(F.col(key).alias("k"), F.col(value).cast("double").alias("v"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    slices = range_slices(counts, "k", "v").where(F.col("v").isNotNull())
 
     # Ranks count from 1; an even group has two middle ones.
     group = Window.partitionBy("k")

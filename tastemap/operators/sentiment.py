@@ -3,7 +3,7 @@
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -12,6 +12,9 @@ from tastemap.functions.text import clean_text
 from tastemap.operators.ranking import take_rows
 from tastemap.sources.durable import durable
 
+# Rows of features that one task of a training round takes.
+ROWS_PER_TASK = 50_000
+
 
 def prepare_reviews(reviews: DataFrame, *, keep=("review_id",), text: str = "text",
                     rating: str = "stars", threshold: float = 4, collapse: bool = True,
@@ -21,12 +24,18 @@ def prepare_reviews(reviews: DataFrame, *, keep=("review_id",), text: str = "tex
     A row without text, or without label where one is needed, is unusable. An
     ``observation`` counts them (``no_text``, ``no_label``) along the way.
     """
-    df = reviews.select(*keep, clean_text(F.col(text), collapse).alias("text"),
-                        binarize_rating(rating, threshold).alias("label"))
     if observation is not None:
-        df = df.observe(observation, F.count_if(F.col("text").isNull()).alias("no_text"),
-                        F.count_if(F.col("label").isNull()).alias("no_label"))
-    return df.dropna(subset=["text", "label"] if need_label else ["text"])
+        reviews = reviews.observe(observation,
+                                  F.count_if(F.col(text).isNull()).alias("no_text"),
+                                  F.count_if(F.col(rating).isNull()).alias("no_label"))
+    # Tested on the raw columns, so that the test reaches the scan; on the cleaned
+    # ones it would be pushed down together with the cleaning, which then runs twice.
+    usable = F.col(text).isNotNull()
+    if need_label:
+        usable &= F.col(rating).isNotNull()
+    return (reviews.where(usable)
+            .select(*keep, clean_text(F.col(text), collapse).alias("text"),
+                    binarize_rating(rating, threshold).alias("label")))
 
 
 def token_stages(language: str = "english") -> list:
@@ -40,18 +49,15 @@ def token_stages(language: str = "english") -> list:
 
 def common_terms(tokens: DataFrame, size: int) -> DataFrame:
     """The ``size`` commonest ``terms`` and their counts, ties by term."""
-    counts = durable(tokens.select(F.explode("terms").alias("term"))
+    # Unlike explode, explode_outer puts no size test, and so no second round of
+    # tokenising, in front of itself.
+    counts = durable(tokens.select(F.explode_outer("terms").alias("term"))
+                     .where(F.col("term").isNotNull())
                      .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
                      .withColumn("rarity", -F.col("n")))
     return take_rows(counts, ["rarity", "term"], size).select("term", "n")
 
 
-def vocabulary(tokens: DataFrame, size: int) -> list[str]:
-    """The commonest terms, commonest first. The model holds them all, so ``size`` bounds it."""
-    rows = common_terms(tokens, size).collect()
-    return [r["term"] for r in sorted(rows, key=lambda r: (-r["n"], r["term"]))]
-
-
 def count_stages(prepared: DataFrame, features: str = "tfidf", num_features: int = 20,
                  vocabulary_size: int = 1 << 18, language: str = "english") -> PipelineModel:
     """Text to term counts: hashed for ``"tfidf"``, by vocabulary for ``"count"``."""
@@ -59,8 +65,11 @@ def count_stages(prepared: DataFrame, features: str = "tfidf", num_features: int
     if features == "tfidf":
         stages.append(HashingTF(inputCol="terms", outputCol="counts", numFeatures=num_features))
     elif features == "count":
-        words = vocabulary(PipelineModel(stages).transform(prepared), vocabulary_size)
-        stages.append(CountVectorizerModel.from_vocabulary(words, "terms", "features"))
+        # The vectorizer merges its counts on the driver, so it is given chosen terms only.
+        chosen = common_terms(PipelineModel(stages).transform(prepared), vocabulary_size)
+        vectorizer = CountVectorizer(inputCol="terms", outputCol="features",
+                                     vocabSize=vocabulary_size)
+        stages.append(vectorizer.fit(chosen.select(F.array("term").alias("terms"))))
     else:
         raise ValueError(f"features must be tfidf or count, not {features}")
     return PipelineModel(stages)
@@ -80,21 +89,24 @@ def train_sentiment(prepared: DataFrame, features: str = "tfidf", *, max_iter: i
                     **options) -> PipelineModel:
     """Fit features and linear SVM; the model holds every stage from ``text`` on.
 
-    The text is read once for the counts, which are small and kept for the
-    document frequencies and the iterations of the SVM.
+    The text is read once, for the counts. These are small and written out, so
+    that the document frequencies and the many rounds of the SVM start from
+    them even after a lost executor, in as few tasks as their number asks for.
     """
     counts = count_stages(prepared, features, **options)
     column = "features" if features == "count" else "counts"
-    kept = counts.transform(prepared).select("label", column).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = durable(counts.transform(prepared).select("label", column))
+    kept = kept.coalesce(kept.count() // ROWS_PER_TASK + 1)
     stages = list(counts.stages)
+    if column == "counts":
+        idf = IDF(inputCol="counts", outputCol="features").fit(kept)
+        stages.append(idf)
+        kept = idf.transform(kept)
     svm = LinearSVC(featuresCol="features", labelCol="label", maxIter=max_iter,
                     regParam=reg_param, aggregationDepth=aggregation_depth)
+    kept = kept.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if column == "counts":
-            idf = IDF(inputCol="counts", outputCol="features").fit(kept)
-            stages += [idf, svm.fit(idf.transform(kept))]
-        else:
-            stages.append(svm.fit(kept))
+        stages.append(svm.fit(kept))
     finally:
         kept.unpersist()
     return PipelineModel(stages)

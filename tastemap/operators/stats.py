@@ -49,21 +49,23 @@ def weighted_f1(df: DataFrame, prediction: str = "prediction", label: str = "lab
     One pass counts the pairs; the rest works on one row per pair. Rows
     without a label or a prediction are left out.
     """
-    pairs = (df.select(F.col(label).cast("double").alias("label"),
-                       F.col(prediction).cast("double").alias("prediction"))
-               .dropna()
-               .groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")))
-    hits = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    none = F.lit(0).cast("bigint")
+    pairs = (df.groupBy(F.col(label).cast("double").alias("label"),
+                        F.col(prediction).cast("double").alias("prediction"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    # No filter: it would be pushed down and make every prediction twice.
+    n = F.when(F.col("label").isNotNull() & F.col("prediction").isNotNull(), F.col("n"))
+    hits = F.when(F.col("label") == F.col("prediction"), n)
+    none = F.lit(None).cast("bigint")
     roles = F.array(
-        F.struct(F.col("label").alias("class"), F.col("n").alias("support"),
-                 none.alias("predicted"), hits.cast("bigint").alias("hits")),
+        F.struct(F.col("label").alias("class"), n.alias("support"),
+                 none.alias("predicted"), hits.alias("hits")),
         F.struct(F.col("prediction").alias("class"), none.alias("support"),
-                 F.col("n").alias("predicted"), none.alias("hits")))
+                 n.alias("predicted"), none.alias("hits")))
     classes = (pairs.select(F.inline(roles)).groupBy("class")
-               .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"),
-                    F.sum("hits").alias("hits")))
-    share = F.col("support") * 2 * F.col("hits") / (F.col("support") + F.col("predicted"))
-    rows, most = F.sum("support"), F.max("support")
+               .agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                      for c in ("support", "predicted", "hits"))))
+    share = (F.col("support") * 2 * F.col("hits")
+             / F.nullif(F.col("support") + F.col("predicted"), F.lit(0)))
+    rows, most = F.nullif(F.sum("support"), F.lit(0)), F.max("support")
     return classes.agg((F.sum(share) / rows).alias("f1"),
                        (most / rows * 2 * most / (most + rows)).alias("majority_f1"))

@@ -5,27 +5,27 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tastemap.sources.tables import read_table, write_table
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; make one only for a local run."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names for checkpoints; a new one only for a local run."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tastemap-")
-    context.setCheckpointDir(shared)
+        folder = tempfile.mkdtemp(prefix="tastemap-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept, the same on every later use."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path beside the checkpoints, for what one job hands to the next."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` computed once and written, the same on every later use."""
+    path = scratch_path(df.sparkSession, "durable")
+    write_table(df, path)
+    return read_table(df.sparkSession, path, schema=df.schema)
