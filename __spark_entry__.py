@@ -19,6 +19,7 @@ from tastemap.functions.categories import first_category
 from tastemap.functions.ratings import binarize_rating
 from tastemap.functions.text import clean_text
 from tastemap.operators.filters import filter_categories, filter_points
+from tastemap.operators.points import map_points as points_of
 from tastemap.operators.sampling import split_by_hash, take_exact_fraction, take_fraction
 from tastemap.operators.sentiment import (common_terms, count_stages, load_model,
                                           prepare_reviews, save_model, token_stages)
@@ -81,10 +82,10 @@ def _located(spark, sf):
 
 
 def _points(spark, sf):
-    points = jobs.points(_located(spark, sf), name="c_name",
-                         address=("c_name", "segment", "n_name", "c_custkey"),
-                         rating="c_acctbal", keep=("c_custkey",),
-                         colour_by="predicted_sentiment", colour_best=1.0)
+    points = points_of(_located(spark, sf), name="c_name",
+                       address=("c_name", "segment", "n_name", "c_custkey"),
+                       rating="c_acctbal", keep=("c_custkey",),
+                       colour_by="predicted_sentiment", colour_best=1.0)
     return _rounded(points, 2, "x", "y", "rating", "hue").withColumn(
         "sentiment", F.round("sentiment", 6))
 
@@ -94,8 +95,7 @@ def _documents(spark, sf):
 
 
 def _texts(spark, sf):
-    documents = _documents(spark, sf).withColumn("stars", F.lit(None).cast("double"))
-    return prepare_reviews(documents, keep=("doc_id",), need_label=False)
+    return prepare_reviews(_documents(spark, sf), keep=("doc_id",), rating=None, need_label=False)
 
 
 def _labelled(spark, sf):
@@ -247,14 +247,16 @@ def filter_points_by_price(spark, sf):
 
 
 def train_and_score(spark, sf):
-    """Train on the labelled documents, save, load, score every document, and join to sources."""
+    """Train on the labelled documents, save, load, score every document; means by source."""
     path = scratch_path(spark, "model")
     save_model(jobs.train(_labelled(spark, sf), key="doc_id").model, path)
-    documents = (_documents(spark, sf)
-                 .join(_table(spark, sf, "labels"), "doc_id", "left")
-                 .withColumn("stars", F.col("quality") * 5))
-    scored = jobs.score(load_model(path), documents, key="doc_id", entity="source")
-    return stats_by(scored, "source", "predicted_sentiment", ("avg", "count"))
+    scored = jobs.score(load_model(path), _documents(spark, sf), key="doc_id", entity="source",
+                        rating=None)
+    # Labels meet the scores, not the texts: a shuffle of either moves no text.
+    scored = scored.join(_table(spark, sf, "labels"), "doc_id", "left")
+    return scored.groupBy("source").agg(F.avg("predicted_sentiment").alias("predicted"),
+                                        F.avg("quality").alias("labelled"),
+                                        F.count("*").alias("n"))
 
 
 def sentiment_quality(spark, sf):

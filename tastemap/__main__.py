@@ -5,6 +5,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tastemap.operators.filters import filter_points
+from tastemap.operators.points import map_points
 from tastemap.operators.sampling import take_exact_fraction, take_fraction
 from tastemap.operators.sentiment import load_model, save_model
 from tastemap.plans import jobs
@@ -95,7 +96,7 @@ def run(spark: SparkSession, argv=None) -> None:
     if args.job == "export-points":
         joined = filter_points(tables["joined"], postal_code=args.postal_code,
                                category=args.category)
-        export_points(jobs.points(joined, keep=("business_id",)), args.out, "business_id",
+        export_points(map_points(joined, keep=("business_id",)), args.out, "business_id",
                       args.rows)
         return
     if args.job == "score":

@@ -4,12 +4,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def binarize_rating(rating: str, threshold: float = 4) -> Column:
+def binarize_rating(rating, threshold: float = 4) -> Column:
     """1 from ``threshold`` up, else 0; NULL stays NULL.
 
     NaN counts as 0: Spark orders it above every number, which would make it 1.
     """
-    stars = F.col(rating)
+    stars = F.col(rating) if isinstance(rating, str) else rating
     good = (stars >= threshold) & ~F.isnan(stars)
     return F.when(stars.isNotNull(), F.when(good, 1).otherwise(0)).cast("int")
 

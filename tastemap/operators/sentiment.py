@@ -17,25 +17,26 @@ ROWS_PER_TASK = 50_000
 
 
 def prepare_reviews(reviews: DataFrame, *, keep=("review_id",), text: str = "text",
-                    rating: str = "stars", threshold: float = 4, collapse: bool = True,
+                    rating: str | None = "stars", threshold: float = 4, collapse: bool = True,
                     need_label: bool = True, observation: Observation | None = None) -> DataFrame:
     """Columns ``keep``, clean ``text`` and binary ``label``, without unusable rows.
 
-    A row without text, or without label where one is needed, is unusable. An
+    A row without text, or without rating where a label is needed, is unusable. An
     ``observation`` counts them (``no_text``, ``no_label``) along the way.
     """
+    stars = F.lit(None).cast("double") if rating is None else F.col(rating)
     if observation is not None:
         reviews = reviews.observe(observation,
                                   F.count_if(F.col(text).isNull()).alias("no_text"),
-                                  F.count_if(F.col(rating).isNull()).alias("no_label"))
+                                  F.count_if(stars.isNull()).alias("no_label"))
     # Tested on the raw columns, so that the test reaches the scan; on the cleaned
     # ones it would be pushed down together with the cleaning, which then runs twice.
     usable = F.col(text).isNotNull()
     if need_label:
-        usable &= F.col(rating).isNotNull()
+        usable &= stars.isNotNull()
     return (reviews.where(usable)
             .select(*keep, clean_text(F.col(text), collapse).alias("text"),
-                    binarize_rating(rating, threshold).alias("label")))
+                    binarize_rating(stars, threshold).alias("label")))
 
 
 def token_stages(language: str = "english") -> list:
@@ -106,7 +107,9 @@ def train_sentiment(prepared: DataFrame, features: str = "tfidf", *, max_iter: i
                     regParam=reg_param, aggregationDepth=aggregation_depth)
     kept = kept.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stages.append(svm.fit(kept))
+        # The copy is without the training summary, which would send the session,
+        # and the training data's plan, to every scoring task.
+        stages.append(svm.fit(kept).copy())
     finally:
         kept.unpersist()
     return PipelineModel(stages)

@@ -8,12 +8,10 @@ from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tastemap.functions.categories import CUISINES, RESTAURANT, first_category
 from tastemap.operators.filters import filter_categories
 from tastemap.operators.joins import join_entity_score
-from tastemap.operators.points import map_points
 from tastemap.operators.sampling import split_by_hash
 from tastemap.operators.sentiment import prepare_reviews, score_reviews, train_sentiment
 from tastemap.operators.stats import stats_by, weighted_f1, weighted_mean_by
@@ -87,11 +85,8 @@ def train_count_features(reviews: DataFrame, **options) -> Trained:
 
 def score(model: PipelineModel, reviews: DataFrame, *, key: str = "review_id",
           entity: str = "business_id", **columns) -> DataFrame:
-    """Every review with text, with the label of its rating and the predicted one."""
-    return score_reviews(model, reviews, keep=(key, entity), **columns)
-
+    """Every review with text, with the label of its rating and the predicted one.
 
-def points(joined: DataFrame, **columns) -> DataFrame:
-    return map_points(joined.where(F.col(columns.get("longitude", "longitude")).isNotNull()
-                                   & F.col(columns.get("latitude", "latitude")).isNotNull()),
-                      **columns)
+    Without a ``rating`` column the first is NULL.
+    """
+    return score_reviews(model, reviews, keep=(key, entity), **columns)

@@ -24,13 +24,13 @@ def read_table(spark: SparkSession, target: str, fmt: str = "parquet", schema=No
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan with fewer partitions than there are cores.
+    """Deal out the rows of a scan with partitions for at most half of the cores.
 
     For work that costs much more per row than moving the row, on a table of
     few or unsplittable files. A large table is left as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() <= cores else scan
 
 
 def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "overwrite",

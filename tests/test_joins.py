@@ -1,0 +1,59 @@
+from pyspark.sql import functions as F
+
+from tastemap.operators.joins import join_entity_score, join_unique
+from tastemap.plans.jobs import business_sentiment, sentiment_by_cuisine, sentiment_by_state
+
+REVIEWS = [("x", 1.0), ("x", 1.0), ("x", 0.0), ("x", 0.0), ("y", 1.0), ("z", 0.0), (None, 1.0)]
+
+
+def tables(spark):
+    reviews = spark.createDataFrame(REVIEWS, "business_id string, predicted_sentiment double")
+    business = spark.createDataFrame(
+        [("x", "NV", "Restaurants, Thai"), ("y", "NV", "Thai, Restaurants"),
+         ("w", "CA", "Restaurants, Thai"), (None, "CA", "Restaurants")],
+        "business_id string, state string, categories string")
+    return reviews, business
+
+
+def test_mean_of_means_and_weighted(spark):
+    joined = business_sentiment(*tables(spark))
+    assert {(r.business_id, r.predicted_sentiment, r.state) for r in joined.collect()} == {
+        ("x", 0.5, "NV"), ("y", 1.0, "NV")}
+    assert joined.columns.count("business_id") == 1
+    assert [tuple(r) for r in sentiment_by_state(joined).collect()] == [("NV", 0.75)]
+    assert [tuple(r) for r in sentiment_by_state(joined, weighted=True).collect()] == [("NV", 0.6)]
+    assert [tuple(r) for r in sentiment_by_cuisine(joined).collect()] == [("Thai", 0.75)]
+    assert [tuple(r) for r in sentiment_by_cuisine(joined, weighted=True).collect()] == \
+        [("Thai", 0.6)]
+
+
+def test_unscored_reviews_leave_no_mean(spark):
+    reviews = spark.createDataFrame([("x", None)], "business_id string, predicted_sentiment double")
+    _, business = tables(spark)
+    row = join_entity_score(reviews, business, "business_id", "predicted_sentiment").first()
+    assert (row.predicted_sentiment, row.predicted_sentiment_n) == (None, 0)
+
+
+def test_hot_key_is_cut_into_slices(spark):
+    copies = spark.range(0, 4000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("payload"))
+    scores = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("score"))
+    got = join_unique(scores, copies, "k", hot_rows=100)
+    plain = scores.join(copies, "k")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    assert got.columns == plain.columns
+
+
+def test_rows_of_a_hot_key_reach_many_tasks(spark, plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        copies = spark.range(0, 8000, 1, 8).select(F.lit(1).alias("k"), F.col("id").alias("payload"))
+        scores = spark.createDataFrame([(1, 0.5)], "k int, score double")
+        got = join_unique(scores, copies, "k", hot_rows=500)
+        tasks = got.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(t["count"] for t in tasks) == 8000
+        assert len(tasks) > 2 and max(t["count"] for t in tasks) < 8000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")

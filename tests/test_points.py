@@ -1,0 +1,80 @@
+import json
+import math
+from pathlib import Path
+
+import pytest
+
+from tastemap.functions.geo import EDGE_LATITUDE, HALF_SIDE
+from tastemap.operators.filters import filter_points
+from tastemap.operators.points import map_points
+from tastemap.sources.export import MAX_POINTS, export_points, first_points
+
+COLUMNS = ("business_id string, name string, address string, city string, state string, "
+           "postal_code string, stars double, predicted_sentiment double, longitude double, "
+           "latitude double, price string, categories string")
+ROWS = [("b1", "Noodles", "1 Main St", "Las Vegas", "NV", "89101", 5.0, 0.25, -115.1398, 36.1699,
+         "$", "Restaurants, Thai"),
+        ("b0", "Tacos", None, "Reno", "NV", "89501", 2.5, 1.0, 0.0, 0.0, "$$$",
+         "Restaurants, Mexican"),
+        ("b2", "Pole", "", "", "", "", 0.0, 0.0, 180.0, 90.0, None, None),
+        ("b3", "Nowhere", "", "", "", "", None, None, None, None, None, None)]
+
+
+@pytest.fixture
+def joined(spark):
+    return spark.createDataFrame(ROWS, COLUMNS)
+
+
+def test_points(joined):
+    points = {r.name: r for r in map_points(joined).collect()}
+    noodles = points["Noodles"]
+    assert (round(noodles.x, 3), round(noodles.y, 3)) == (-12817303.906, 4324024.604)
+    assert noodles.addr == "1 Main St, Las Vegas, NV, 89101"
+    assert (noodles.rating, noodles.sentiment, noodles.hue) == (5.0, 0.25, 120.0)
+    assert points["Tacos"].addr == ", Reno, NV, 89501"
+    assert points["Tacos"].hue == 60 and abs(points["Tacos"].y) < 1e-8
+    assert points["Pole"].x == pytest.approx(HALF_SIDE) and points["Pole"].y == HALF_SIDE
+    assert points["Nowhere"].x is None and points["Nowhere"].y is None
+
+
+def test_edge_of_the_map(spark):
+    assert EDGE_LATITUDE == pytest.approx(85.0511287798, abs=1e-9)
+    lats = [-90.0, -86.0, 85.0, 89.0, 91.0]
+    df = spark.createDataFrame([(0.0, x) for x in lats], "longitude double, latitude double")
+    from tastemap.functions.geo import mercator_y
+    got = [r.y for r in df.select(mercator_y("latitude").alias("y")).collect()]
+    inside = 6378137 * math.log(math.tan(math.pi / 4 + math.radians(85) / 2))
+    assert got[:2] == [-HALF_SIDE] * 2 and got[3:] == [HALF_SIDE, None]
+    assert got[2] == pytest.approx(inside) and inside < HALF_SIDE
+
+
+def test_colour_by_another_column(joined):
+    points = map_points(joined, colour_by="predicted_sentiment", colour_best=1.0)
+    assert {r.name: r.hue for r in points.collect()}["Noodles"] == 30.0
+
+
+def test_filters(joined):
+    def names(**filters):
+        return {r.name for r in filter_points(joined, **filters).collect()}
+
+    assert names() == {"Noodles", "Tacos", "Pole", "Nowhere"}
+    assert names(prices=["$", "$$"]) == {"Noodles"}
+    assert names(price_range=(2, 5), price_col="stars") == {"Noodles", "Tacos"}
+    assert names(postal_code="89501") == {"Tacos"}
+    assert names(category="Restaur") == {"Noodles", "Tacos"}
+    assert names(category="Thai", postal_code="89501") == set()
+
+
+def test_export_is_one_json_array(joined, tmp_path):
+    export_points(map_points(joined, keep=("business_id",)), str(tmp_path / "out"),
+                  "business_id", 2)
+    files = list(Path(tmp_path / "out").glob("part-*"))
+    points = [p for f in files if f.read_text() for p in json.loads(f.read_text())]
+    assert [p["business_id"] for p in points] == ["b0", "b1"]
+    assert points[1]["name"] == "Noodles" and points[1]["hue"] == 120.0
+
+
+def test_export_is_bounded(joined):
+    assert first_points(joined, "business_id", 3).count() == 3
+    with pytest.raises(ValueError):
+        first_points(joined, "business_id", MAX_POINTS + 1)

@@ -1,0 +1,110 @@
+import math
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDFModel
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from tastemap.operators.sampling import split_by_hash
+from tastemap.operators.sentiment import (common_terms, feature_pipeline, load_model,
+                                          prepare_reviews, save_model, score_reviews,
+                                          token_stages, train_sentiment)
+from tastemap.plans import jobs
+
+GOOD, BAD = "Great tasty lovely food, friendly place!", "Awful cold dirty table; rude waiter 0/10."
+
+
+@pytest.fixture(scope="module")
+def reviews(spark):
+    return (spark.range(400)
+            .withColumn("good", F.pmod(F.xxhash64("id"), F.lit(3)) > 0)
+            .select(F.col("id").cast("string").alias("review_id"),
+                    (F.col("id") % 10).cast("string").alias("business_id"),
+                    F.when(F.col("good"), F.concat(F.lit(GOOD), F.col("id").cast("string")))
+                    .otherwise(F.lit(BAD)).alias("text"),
+                    F.when(F.col("good"), 5.0).otherwise(1.0).alias("stars")))
+
+
+def test_tokens(spark):
+    texts = spark.createDataFrame([("1", "...Don't go!!", 5.0), ("2", "", 4.0), ("3", "10/10", 1.0)],
+                                  "review_id string, text string, stars double")
+    tokens = PipelineModel(token_stages()).transform(prepare_reviews(texts))
+    got = {r.review_id: (r.words, r.terms, r.label) for r in tokens.collect()}
+    assert got == {"1": (["", "don", "t", "go"], ["", "go"], 1), "2": ([""], [""], 1),
+                   "3": ([], [], 0)}
+
+
+def test_unusable_rows_are_counted(spark):
+    texts = spark.createDataFrame([("1", "a", 5.0), ("2", None, 4.0), ("3", "b", None)],
+                                  "review_id string, text string, stars double")
+    seen = Observation()
+    assert [r.review_id for r in prepare_reviews(texts, observation=seen).collect()] == ["1"]
+    assert seen.get == {"no_text": 1, "no_label": 1}
+    kept = prepare_reviews(texts, need_label=False).collect()
+    assert [(r.review_id, r.label) for r in kept] == [("1", 1), ("3", None)]
+
+
+def test_common_terms(spark):
+    tokens = spark.createDataFrame([(["b", "a", "c"],), (["b", "d"],), ([],)], "terms array<string>")
+    got = sorted(map(tuple, common_terms(tokens, 3).collect()))
+    assert got == [("a", 1), ("b", 2), ("c", 1)]
+
+
+def test_document_frequencies(spark):
+    texts = spark.createDataFrame([("1", "red fish", 5.0), ("2", "red bird", 1.0), ("3", "red", 1.0)],
+                                  "review_id string, text string, stars double")
+    model = feature_pipeline(prepare_reviews(texts), num_features=1)
+    idf = model.stages[-1]
+    assert isinstance(idf, IDFModel) and idf.numDocs == 3 and idf.docFreq == [3]
+    assert idf.idf.toArray().tolist() == [math.log(4 / 4)]
+    wide = feature_pipeline(prepare_reviews(texts), num_features=1 << 12).stages[-1]
+    weights = sorted(set(round(x, 9) for x in wide.idf.toArray()))
+    assert weights == [0.0, round(math.log(4 / 2), 9), round(math.log(4), 9)]
+
+
+@pytest.mark.parametrize("features", ["tfidf", "count"])
+def test_learns_and_survives_saving(spark, reviews, tmp_path, features):
+    options = {"num_features": 256} if features == "tfidf" else {"vocabulary_size": 8}
+    trained = jobs.train(reviews, features=features, **options)
+    quality = trained.quality.first()
+    assert quality.f1 > 0.99 > quality.majority_f1
+    path = str(tmp_path / "model")
+    for _ in range(2):
+        save_model(trained.model, path)
+    scores = [sorted(map(tuple, score_reviews(m, reviews).collect()))
+              for m in (trained.model, load_model(path))]
+    assert scores[0] == scores[1] and len(scores[0]) == 400
+    wrong = [s for s in scores[0] if s[2] != s[3]]
+    assert len(wrong) < 4
+
+
+def test_vocabulary_is_the_commonest_terms(spark, reviews):
+    model = train_sentiment(prepare_reviews(reviews), "count", vocabulary_size=5)
+    words = model.stages[2].vocabulary
+    assert sorted(words) == ["", "food", "friendly", "great", "lovely"] or len(words) == 5
+    tokens = PipelineModel(token_stages()).transform(prepare_reviews(reviews))
+    assert set(words) == {r.term for r in common_terms(tokens, 5).collect()}
+
+
+def test_frequencies_come_from_the_training_side_only(spark, reviews):
+    prepared = prepare_reviews(reviews)
+    train_side, _ = split_by_hash(prepared, "review_id", seed=50)
+    model = jobs.train(reviews).model
+    assert model.stages[3].numDocs == train_side.count() < reviews.count()
+
+
+def test_scores_keep_unrated_reviews(spark, reviews):
+    model = train_sentiment(prepare_reviews(reviews), num_features=64)
+    some = reviews.withColumn("stars", F.when(F.col("business_id") == "1", F.col("stars")))
+    scored = score_reviews(model, some)
+    assert scored.columns == ["review_id", "business_id", "rating_sentiment", "predicted_sentiment"]
+    assert scored.count() == 400
+    assert scored.where("rating_sentiment IS NULL").count() == 360
+    unrated = score_reviews(model, reviews, rating=None)
+    assert unrated.where("rating_sentiment IS NULL").count() == 400
+
+
+def test_unknown_features(spark, reviews):
+    with pytest.raises(ValueError, match="bigrams"):
+        train_sentiment(prepare_reviews(reviews), "bigrams")
