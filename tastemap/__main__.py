@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from tastemap.operators.filters import filter_points
 from tastemap.operators.points import map_points
+from tastemap.operators.ranking import take_rows
 from tastemap.operators.sampling import take_exact_fraction, take_fraction
 from tastemap.operators.sentiment import load_model, save_model
 from tastemap.plans import jobs
@@ -46,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--model", required=True, help="model directory")
         if job != "train":
             command.add_argument("--out", required=True, help="table or folder to replace")
+        if job not in ("train", "export-points"):
+            command.add_argument("--show", action="store_true", help="print some of the result")
         command.add_argument("--format", default="parquet")
         command.add_argument("--target-option", default="path",
                              help="option by which the format names a table")
@@ -61,6 +64,7 @@ def parser() -> argparse.ArgumentParser:
         if job == "train":
             command.add_argument("--features", choices=("tfidf", "count"), default="tfidf")
             command.add_argument("--num-features", type=int, default=20)
+            command.add_argument("--rows", type=int, help="use the first rows by review_id only")
         if job == "export-points":
             command.add_argument("--rows", type=int, default=1000)
             command.add_argument("--postal-code")
@@ -74,8 +78,10 @@ def run(spark: SparkSession, argv=None) -> None:
     sources = [getattr(args, t) for t in INPUTS[args.job]]
     tables = {}
     for table, columns in INPUTS[args.job].items():
-        # JSON and CSV get the schema the job expects, so that nothing is inferred.
-        schema = SCHEMAS[table] if args.format in ("json", "csv") else None
+        # Large JSON tables get their schema, so that no pass infers it. Businesses
+        # are few and keep whatever further columns they have.
+        large = table in ("reviews", "sentiment")
+        schema = SCHEMAS[table] if large and args.format == "json" else None
         df = read_table(spark, getattr(args, table), args.format, schema,
                         args.target_option, **options)
         check_columns(df, SCHEMAS[table], columns)
@@ -89,7 +95,10 @@ def run(spark: SparkSession, argv=None) -> None:
     if args.job == "train":
         grade = jobs.train if args.features == "tfidf" else jobs.train_count_features
         extra = {"num_features": args.num_features} if args.features == "tfidf" else {}
-        trained = grade(tables["reviews"], **extra)
+        reviews = tables["reviews"]
+        if args.rows is not None:
+            reviews = take_rows(reviews, "review_id", args.rows)
+        trained = grade(reviews, **extra)
         save_model(trained.model, args.model)
         trained.quality.show()
         return
@@ -112,6 +121,10 @@ def run(spark: SparkSession, argv=None) -> None:
         result = jobs.rating_by_cuisine(tables["business"])
     write_table(result, args.out, args.format, target_option=args.target_option,
                 sources=sources, **options)
+    if args.show:
+        written = read_table(spark, args.out, args.format, None, args.target_option, **options)
+        written.printSchema()
+        written.show(truncate=False)
 
 
 def main() -> None:

@@ -1,6 +1,5 @@
 """Sentiment classifier: cleaning, features, linear SVM, scoring."""
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StopWordsRemover, Tokenizer
@@ -103,16 +102,12 @@ def train_sentiment(prepared: DataFrame, features: str = "tfidf", *, max_iter: i
         idf = IDF(inputCol="counts", outputCol="features").fit(kept)
         stages.append(idf)
         kept = idf.transform(kept)
+    # The SVM keeps its own blocks of rows in memory or on disk between rounds.
     svm = LinearSVC(featuresCol="features", labelCol="label", maxIter=max_iter,
                     regParam=reg_param, aggregationDepth=aggregation_depth)
-    kept = kept.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # The copy is without the training summary, which would send the session,
-        # and the training data's plan, to every scoring task.
-        stages.append(svm.fit(kept).copy())
-    finally:
-        kept.unpersist()
-    return PipelineModel(stages)
+    # The copy is without the training summary, which would send the session,
+    # and the training data's plan, to every scoring task.
+    return PipelineModel([*stages, svm.fit(kept).copy()])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

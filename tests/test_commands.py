@@ -39,6 +39,27 @@ def test_ratings(spark, folder):
         ("Thai", 2.0, 1.0, 3.0, 2.0), ("Greek", 2.0, 0.0, 4.0, 2.0)}
 
 
+def test_result_is_shown(spark, folder, capsys):
+    run(spark, ["rating-by-state", f"--business={folder}/business", f"--out={folder}/shown",
+                "--format=parquet", "--show"])
+    printed = capsys.readouterr().out
+    assert "avg: double" in printed and "3.5" in printed
+
+
+def test_count_features_on_the_first_rows(spark, folder, capsys):
+    run(spark, ["train", f"--reviews={folder}/reviews", f"--model={folder}/counts",
+                "--features=count", "--rows=90"])
+    assert "majority_f1" in capsys.readouterr().out
+
+
+def test_json_tables(spark, folder):
+    spark.read.parquet(f"{folder}/business").write.json(f"{folder}/json_business")
+    run(spark, ["rating-by-state", f"--business={folder}/json_business",
+                f"--out={folder}/json_state", "--format=json"])
+    got = spark.read.json(f"{folder}/json_state").select("state", "avg").collect()
+    assert {tuple(r) for r in got} == {("NV", 1.0), ("CA", 3.5)}
+
+
 def test_sentiment_chain(spark, folder):
     run(spark, ["train", f"--reviews={folder}/reviews", f"--model={folder}/model",
                 "--num-features=64"])
