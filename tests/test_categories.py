@@ -1,3 +1,5 @@
+import random
+
 from tastemap.functions.categories import CUISINES, first_category
 from tastemap.operators.filters import filter_categories
 from tastemap.plans.jobs import rating_by_cuisine
@@ -39,6 +41,17 @@ def test_separator_is_comma_and_blank(spark):
     assert got == [by_hand(t) for t in texts]
 
 
+def test_random_lists(spark):
+    rng = random.Random(11)
+    pieces = ["Thai", "Greek", "Cajun/Creole", "Cajun", ", ", ", ", ", ", ",", " ", "x", "\n", "a+b"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(9))) for _ in range(3000)]
+    wanted = ("Thai", "Cajun", "a+b", "x")
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, c string")
+    got = df.select("i", first_category("c", wanted).alias("label")).sort("i").collect()
+    for row, text in zip(got, texts):
+        assert row.label == next((t for t in text.split(", ") if t in wanted), "Other"), text
+
+
 def test_all_statistics_in_one_table(spark):
     rows = [(str(i), "Restaurants, Greek", float(s)) for i, s in enumerate((1, 2, 2, 5))]
     rows.append(("z", "Korean, Restaurants", 3.0))
