@@ -2,7 +2,7 @@
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from tastemap.operators.filters import filter_points
 from tastemap.operators.points import map_points
@@ -98,9 +98,11 @@ def run(spark: SparkSession, argv=None) -> None:
         reviews = tables["reviews"]
         if args.rows is not None:
             reviews = take_rows(reviews, "review_id", args.rows)
-        trained = grade(reviews, **extra)
+        left_out = Observation("left out")
+        trained = grade(reviews, observation=left_out, **extra)
         save_model(trained.model, args.model)
         trained.quality.show()
+        print("left out:", left_out.get)
         return
     if args.job == "export-points":
         joined = filter_points(tables["joined"], postal_code=args.postal_code,

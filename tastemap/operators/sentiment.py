@@ -25,9 +25,11 @@ def prepare_reviews(reviews: DataFrame, *, keep=("review_id",), text: str = "tex
     """
     stars = F.lit(None).cast("double") if rating is None else F.col(rating)
     if observation is not None:
-        reviews = reviews.observe(observation,
-                                  F.count_if(F.col(text).isNull()).alias("no_text"),
-                                  F.count_if(stars.isNull()).alias("no_label"))
+        # Nothing is pruned or pushed through the counting, so prune here.
+        read = [*keep, text] if rating is None else [*keep, text, rating]
+        reviews = reviews.select(*dict.fromkeys(read)).observe(
+            observation, F.count_if(F.col(text).isNull()).alias("no_text"),
+            F.count_if(stars.isNull()).alias("no_label"))
     # Tested on the raw columns, so that the test reaches the scan; on the cleaned
     # ones it would be pushed down together with the cleaning, which then runs twice.
     usable = F.col(text).isNotNull()

@@ -7,7 +7,7 @@ review schema as default, so that any rated and located table will do.
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from tastemap.functions.categories import CUISINES, RESTAURANT, first_category
 from tastemap.operators.filters import filter_categories
@@ -64,15 +64,16 @@ class Trained(NamedTuple):
 
 def train(reviews: DataFrame, *, key: str = "review_id", text: str = "text",
           rating: str = "stars", threshold: float = 4, seed: int = 50, collapse: bool = True,
-          features: str = "tfidf", **options) -> Trained:
+          features: str = "tfidf", observation: Observation | None = None,
+          **options) -> Trained:
     """Fit on four fifths of the reviews and grade on the rest.
 
     The split comes first, so that the test side plays no part in the document
     frequencies. ``quality`` holds the weighted F1 of the model and of always
-    guessing the commoner class.
+    guessing the commoner class. An ``observation`` counts the reviews left out.
     """
     prepared = prepare_reviews(reviews, keep=(key,), text=text, rating=rating,
-                               threshold=threshold, collapse=collapse)
+                               threshold=threshold, collapse=collapse, observation=observation)
     fit_side, test_side = split_by_hash(prepared, key, seed=seed)
     model = train_sentiment(fit_side, features, **options)
     return Trained(model, weighted_f1(model.transform(test_side)))

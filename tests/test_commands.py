@@ -16,7 +16,8 @@ def folder(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("tables")
     spark.createDataFrame(
         [(f"r{i}", f"b{i % 4}", GOOD if i % 3 else BAD, 5.0 if i % 3 else 1.0)
-         for i in range(120)], REVIEW).write.parquet(f"{root}/reviews")
+         for i in range(120)] + [("s0", "b0", None, 5.0), ("s1", "b1", GOOD, None)],
+        REVIEW).write.parquet(f"{root}/reviews")
     spark.createDataFrame(
         [(f"b{i}", f"Place {i}", "1 Main St", "Reno", "NV" if i < 3 else "CA", "89501",
           "Restaurants, Thai" if i % 2 else "Restaurants, Greek", float(i), 39.5, -119.8)
@@ -49,7 +50,8 @@ def test_result_is_shown(spark, folder, capsys):
 def test_count_features_on_the_first_rows(spark, folder, capsys):
     run(spark, ["train", f"--reviews={folder}/reviews", f"--model={folder}/counts",
                 "--features=count", "--rows=90"])
-    assert "majority_f1" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "majority_f1" in printed and "'no_text': 0, 'no_label': 0" in printed
 
 
 def test_json_tables(spark, folder):
@@ -60,20 +62,24 @@ def test_json_tables(spark, folder):
     assert {tuple(r) for r in got} == {("NV", 1.0), ("CA", 3.5)}
 
 
-def test_sentiment_chain(spark, folder):
+def test_sentiment_chain(spark, folder, capsys):
     run(spark, ["train", f"--reviews={folder}/reviews", f"--model={folder}/model",
                 "--num-features=64"])
+    assert "'no_text': 1, 'no_label': 1" in capsys.readouterr().out
     run(spark, ["score", f"--reviews={folder}/reviews", f"--model={folder}/model",
                 f"--out={folder}/scored"])
     run(spark, ["business-sentiment", f"--sentiment={folder}/scored",
                 f"--business={folder}/business", f"--out={folder}/joined"])
     joined = {r.business_id: r for r in spark.read.parquet(f"{folder}/joined").collect()}
     assert set(joined) == {"b0", "b1", "b2", "b3"}
-    assert all(abs(r.predicted_sentiment - 2 / 3) < 1e-9 for r in joined.values())
+    assert joined["b1"].predicted_sentiment_n == 31
+    assert abs(joined["b1"].predicted_sentiment - 21 / 31) < 1e-9
+    assert all(abs(joined[b].predicted_sentiment - 2 / 3) < 1e-9 for b in ("b0", "b2", "b3"))
     for extra in ([], ["--weighted"]):
         run(spark, ["sentiment-by-state", f"--joined={folder}/joined", f"--out={folder}/s", *extra])
-        assert {(s, round(v, 6)) for s, v in rows(spark, folder / "s")} == {
-            ("NV", 0.666667), ("CA", 0.666667)}
+        nevada = (20 + 21 + 20) / 91 if extra else (2 / 3 + 21 / 31 + 2 / 3) / 3
+        assert {(s, round(v, 9)) for s, v in rows(spark, folder / "s")} == {
+            ("NV", round(nevada, 9)), ("CA", round(2 / 3, 9))}
         run(spark, ["sentiment-by-cuisine", f"--joined={folder}/joined", f"--out={folder}/c", *extra])
         assert {r[0] for r in rows(spark, folder / "c")} == {"Thai", "Greek"}
     run(spark, ["export-points", f"--joined={folder}/joined", f"--out={folder}/map", "--rows=3",

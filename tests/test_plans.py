@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
@@ -70,6 +71,13 @@ def test_text_is_cleaned_once(spark, plan):
     assert graded.count("regexp_replace") == 1
 
 
+def test_counting_unusable_rows_keeps_the_scan_narrow(spark, plan):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    prepared = prepare_reviews(documents, keep=("doc_id",), rating="n_chars",
+                               observation=Observation())
+    assert "ReadSchema: struct<doc_id:bigint,text:string,n_chars:bigint>" in plan(prepared)
+
+
 def test_common_terms_rest_on_written_counts(spark, plan):
     tokens = spark.createDataFrame([(["b", "a"],)], "terms array<string>")
     assert "Scan parquet" in plan(common_terms(tokens, 1))

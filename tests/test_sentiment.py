@@ -66,7 +66,7 @@ def test_document_frequencies(spark):
 @pytest.mark.parametrize("features", ["tfidf", "count"])
 def test_learns_and_survives_saving(spark, reviews, tmp_path, features):
     options = {"num_features": 256} if features == "tfidf" else {"vocabulary_size": 8}
-    trained = jobs.train(reviews, features=features, **options)
+    trained = jobs.train(reviews, features=features, max_iter=15, **options)
     quality = trained.quality.first()
     assert quality.f1 > 0.99 > quality.majority_f1
     path = str(tmp_path / "model")
@@ -80,9 +80,9 @@ def test_learns_and_survives_saving(spark, reviews, tmp_path, features):
 
 
 def test_vocabulary_is_the_commonest_terms(spark, reviews):
-    model = train_sentiment(prepare_reviews(reviews), "count", vocabulary_size=5)
+    model = feature_pipeline(prepare_reviews(reviews), "count", vocabulary_size=5)
     words = model.stages[2].vocabulary
-    assert sorted(words) == ["", "food", "friendly", "great", "lovely"] or len(words) == 5
+    assert len(words) == 5
     tokens = PipelineModel(token_stages()).transform(prepare_reviews(reviews))
     assert set(words) == {r.term for r in common_terms(tokens, 5).collect()}
 
@@ -90,12 +90,12 @@ def test_vocabulary_is_the_commonest_terms(spark, reviews):
 def test_frequencies_come_from_the_training_side_only(spark, reviews):
     prepared = prepare_reviews(reviews)
     train_side, _ = split_by_hash(prepared, "review_id", seed=50)
-    model = jobs.train(reviews).model
+    model = jobs.train(reviews, max_iter=2).model
     assert model.stages[3].numDocs == train_side.count() < reviews.count()
 
 
 def test_scores_keep_unrated_reviews(spark, reviews):
-    model = train_sentiment(prepare_reviews(reviews), num_features=64)
+    model = train_sentiment(prepare_reviews(reviews), num_features=64, max_iter=2)
     some = reviews.withColumn("stars", F.when(F.col("business_id") == "1", F.col("stars")))
     scored = score_reviews(model, some)
     assert scored.columns == ["review_id", "business_id", "rating_sentiment", "predicted_sentiment"]
