@@ -34,15 +34,15 @@ def join_unique(unique: DataFrame, many: DataFrame, key: str,
     other side is repeated per slice. At most rows / ``hot_rows`` keys can be
     hot, which bounds what is broadcast.
     """
-    hot = (many.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-           .where(F.col("rows") > hot_rows)
-           .select(key, F.expr(f"(rows - 1) div {hot_rows} + 1").alias("slices")))
+    hot = (many.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+           .where(F.col("_rows") > hot_rows)
+           .select(key, F.expr(f"(_rows - 1) div {hot_rows} + 1").alias("_slices")))
     hot = F.broadcast(hot)
-    slices = F.coalesce(F.col("slices"), F.lit(1))
+    slices = F.coalesce(F.col("_slices"), F.lit(1))
     left = (unique.join(hot, key, "left")
-            .withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
-            .drop("slices"))
+            .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
+            .drop("_slices"))
     right = (many.join(hot, key, "left")
-             .withColumn("slice", F.pmod(F.spark_partition_id().cast("bigint"), slices))
-             .drop("slices"))
-    return left.join(right, [key, "slice"]).drop("slice")
+             .withColumn("_slice", F.pmod(F.spark_partition_id().cast("bigint"), slices))
+             .drop("_slices"))
+    return left.join(right, [key, "_slice"]).drop("_slice")

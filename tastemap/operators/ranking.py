@@ -14,7 +14,7 @@ from tastemap.sources.durable import durable
 
 
 def range_slices(df: DataFrame, *order: str) -> DataFrame:
-    return durable(df.repartitionByRange(*order).withColumn("slice", F.spark_partition_id()))
+    return durable(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
 
 
 def median_by(df: DataFrame, key: str, value: str, name: str = "median") -> DataFrame:
@@ -25,17 +25,17 @@ def median_by(df: DataFrame, key: str, value: str, name: str = "median") -> Data
 
     # Ranks count from 1; an even group has two middle ones.
     group = Window.partitionBy("k")
-    middle = (slices.groupBy("k", "slice").agg(F.sum("n").alias("rows"))
-              .withColumn("upto", F.sum("rows").over(group.orderBy("slice")))
+    middle = (slices.groupBy("k", "_slice").agg(F.sum("n").alias("rows"))
+              .withColumn("_upto", F.sum("rows").over(group.orderBy("_slice")))
               .withColumn("total", F.sum("rows").over(group))
-              .select(F.col("k").alias("mk"), F.col("slice").alias("mslice"),
-                      (F.col("upto") - F.col("rows")).alias("before"), "upto",
+              .select(F.col("k").alias("mk"), F.col("_slice").alias("mslice"),
+                      (F.col("_upto") - F.col("rows")).alias("before"), "_upto",
                       F.expr("(total + 1) div 2").alias("low"),
                       F.expr("total div 2 + 1").alias("high"))
-              .where("upto >= low AND before < high"))
-    at = F.sum("n").over(Window.partitionBy("k", "slice").orderBy("v")) + F.col("before")
+              .where("_upto >= low AND before < high"))
+    at = F.sum("n").over(Window.partitionBy("k", "_slice").orderBy("v")) + F.col("before")
     return (slices
-            .join(middle, F.col("k").eqNullSafe(F.col("mk")) & (F.col("slice") == F.col("mslice")))
+            .join(middle, F.col("k").eqNullSafe(F.col("mk")) & (F.col("_slice") == F.col("mslice")))
             .withColumn("at", at)
             .where("at >= low AND at - n < high")
             .groupBy("k").agg(F.avg("v").alias(name))
@@ -45,18 +45,18 @@ def median_by(df: DataFrame, key: str, value: str, name: str = "median") -> Data
 def take_rows(df: DataFrame, order, n: int) -> DataFrame:
     """Exactly the first ``n`` rows by the ascending ``order`` columns, still distributed.
 
-    Unlike ``limit`` this leaves a filter on ``df``, not one partition. Rows
-    with equal order columns cannot be told apart: a cut between them, or at a
-    NULL, is an error.
+    Unlike ``limit`` this leaves a filter on ``df``, not one partition. NULL
+    comes first. Rows with equal order columns cannot be told apart: a cut
+    between them, or at a NULL, is an error.
     """
     order = [order] if isinstance(order, str) else list(order)
     if n <= 0:
         return df.where(F.lit(False))
     # Copies collapse first, so that no slice is larger for them.
-    counts = df.groupBy(*order).agg(F.count(F.lit(1)).alias("copies"))
+    counts = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_copies"))
     slices = range_slices(counts, *order)
     # One row per range partition reaches the driver.
-    sizes = slices.groupBy("slice").agg(F.sum("copies").alias("rows")).orderBy("slice").collect()
+    sizes = slices.groupBy("_slice").agg(F.sum("_copies").alias("rows")).orderBy("_slice").collect()
     before = 0
     for number, rows in sizes:
         if before + rows >= n:
@@ -64,11 +64,11 @@ def take_rows(df: DataFrame, order, n: int) -> DataFrame:
         before += rows
     else:
         return df
-    upto = F.sum("copies").over(Window.partitionBy("slice").orderBy(*order)) + before
-    last = (slices.where(F.col("slice") == number).withColumn("upto", upto)
-            .where(F.col("upto") >= n).orderBy("upto").first())
+    upto = F.sum("_copies").over(Window.partitionBy("_slice").orderBy(*order)) + before
+    last = (slices.where(F.col("_slice") == number).withColumn("_upto", upto)
+            .where(F.col("_upto") >= n).orderBy("_upto").first())
     values = [last[c] for c in order]
-    if last["upto"] != n or None in values:
+    if last["_upto"] != n or None in values:
         raise ValueError(f"cannot cut at row {n}: {order} does not identify it")
     return df.where(_not_after(order, values))
 
@@ -76,5 +76,6 @@ def take_rows(df: DataFrame, order, n: int) -> DataFrame:
 def _not_after(order, last):
     upto = F.lit(True)
     for column, value in reversed(list(zip(order, last))):
-        upto = (F.col(column) < value) | ((F.col(column) == value) & upto)
+        here = F.col(column)
+        upto = here.isNull() | (here < value) | ((here == value) & upto)
     return upto

@@ -31,9 +31,9 @@ def stats_by(df: DataFrame, key: str, value: str, stats=("avg",)) -> DataFrame:
     result = df.groupBy(key).agg(*columns) if columns else df.select(key).distinct()
     for out, stat in named.items():
         if stat == "median":
-            medians = median_by(df, key, value, out).withColumnRenamed(key, "median_key")
-            result = (result.join(medians, F.col(key).eqNullSafe(F.col("median_key")), "left")
-                            .drop("median_key"))
+            medians = median_by(df, key, value, out).withColumnRenamed(key, "_median_key")
+            result = (result.join(medians, F.col(key).eqNullSafe(F.col("_median_key")), "left")
+                            .drop("_median_key"))
     return result.select(key, *named)
 
 

@@ -44,6 +44,12 @@ def test_hot_key_is_cut_into_slices(spark):
     assert got.columns == plain.columns
 
 
+def test_columns_of_any_name_survive(spark):
+    many = spark.createDataFrame([(1, "a", 2, 3)], "k int, slice string, slices int, rows int")
+    got = join_unique(spark.createDataFrame([(1, 0.5)], "k int, upto double"), many, "k")
+    assert got.first().asDict() == {"k": 1, "upto": 0.5, "slice": "a", "slices": 2, "rows": 3}
+
+
 def test_rows_of_a_hot_key_reach_many_tasks(spark, plan):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

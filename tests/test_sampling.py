@@ -53,6 +53,18 @@ def test_exact_rows_by_two_columns(spark):
     assert got == sorted(rows)[:150]
 
 
+def test_exact_rows_by_columns_of_any_name(spark):
+    df = spark.range(100).select(F.col("id").alias("slice"), (-F.col("id")).alias("copies"))
+    assert ids(take_rows(df, ["slice", "copies"], 10), "slice") == list(range(10))
+
+
+def test_null_keys_come_first(spark):
+    df = spark.createDataFrame([(None, "b"), (None, "a"), (1, None), (1, "c"), (2, "d")],
+                               "a int, b string")
+    got = [tuple(r) for r in take_rows(df, ["a", "b"], 4).collect()]
+    assert set(got) == {(None, "b"), (None, "a"), (1, None), (1, "c")}
+
+
 def test_cut_between_copies_is_an_error(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "id int")
     with pytest.raises(ValueError, match="does not identify"):
