@@ -32,7 +32,9 @@ from tastemap.sources.tables import read_table, spread
 # Stand-ins for the required word and the cuisines. "ol" is only ever part of a word.
 REQUIRED = "PROMO"
 WANTED = ("red", "blue", "hot", "ol", "ring")
-VOCABULARY = 1000
+# Sizes of a vocabulary: one that cuts, and the default one.
+TOP_TERMS = 1000
+VOCABULARY = 1 << 18
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -184,14 +186,14 @@ def hashed_counts(spark, sf):
 
 def vocabulary(spark, sf):
     terms = PipelineModel(token_stages()).transform(_texts(spark, sf))
-    return common_terms(terms, VOCABULARY)
+    return common_terms(terms, TOP_TERMS)
 
 
 def idf_weights(spark, sf):
     texts = _texts(spark, sf)
     counts = count_stages(texts, "count", vocabulary_size=VOCABULARY)
     idf = IDF(inputCol="features", outputCol="weights").fit(counts.transform(texts))
-    # The model is on the driver: one weight per word of the vocabulary.
+    # The model, one weight per word of a vocabulary of set size, is on the driver.
     weights = zip(counts.stages[-1].vocabulary, idf.idf.toArray().tolist())
     return _rounded(spark.createDataFrame(list(weights), "term string, idf double"), 6, "idf")
 
@@ -445,7 +447,7 @@ def oracle_sql() -> dict[str, str]:
         "vocabulary": f"""
             WITH {TOKENS}
             SELECT term, count(*) AS n FROM (SELECT unnest(terms) AS term FROM kept)
-            GROUP BY term ORDER BY n DESC, term LIMIT {VOCABULARY}""",
+            GROUP BY term ORDER BY n DESC, term LIMIT {TOP_TERMS}""",
         "idf_weights": f"""
             WITH {TOKENS},
               words AS (SELECT doc_id, unnest(terms) AS term FROM kept),

@@ -23,7 +23,9 @@ def median_by(df: DataFrame, key: str, value: str, name: str = "median") -> Data
                 .agg(F.count(F.lit(1)).alias("n")))
     slices = range_slices(counts, "k", "v").where(F.col("v").isNotNull())
 
-    # Ranks count from 1; an even group has two middle ones.
+    # Ranks count from 1; an even group has two middle ones. Written out, this
+    # table has a known size: for few groups Spark broadcasts it and drops all
+    # but the middle slices before the next shuffle.
     group = Window.partitionBy("k")
     middle = (slices.groupBy("k", "_slice").agg(F.sum("n").alias("rows"))
               .withColumn("_upto", F.sum("rows").over(group.orderBy("_slice")))
@@ -33,6 +35,7 @@ def median_by(df: DataFrame, key: str, value: str, name: str = "median") -> Data
                       F.expr("(total + 1) div 2").alias("low"),
                       F.expr("total div 2 + 1").alias("high"))
               .where("_upto >= low AND before < high"))
+    middle = durable(middle)
     at = F.sum("n").over(Window.partitionBy("k", "_slice").orderBy("v")) + F.col("before")
     return (slices
             .join(middle, F.col("k").eqNullSafe(F.col("mk")) & (F.col("_slice") == F.col("mslice")))
