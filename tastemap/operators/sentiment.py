@@ -86,30 +86,42 @@ def feature_pipeline(prepared: DataFrame, features: str = "tfidf", **options) ->
     return PipelineModel([*counts.stages, idf])
 
 
-def train_sentiment(prepared: DataFrame, features: str = "tfidf", *, max_iter: int = 50,
-                    reg_param: float = 0.3, aggregation_depth: int = 2,
-                    **options) -> PipelineModel:
-    """Fit features and linear SVM; the model holds every stage from ``text`` on.
+def term_counts(counts: PipelineModel, prepared: DataFrame, keep=()) -> DataFrame:
+    """``keep``, label and term counts of each review, written out.
 
-    The text is read once, for the counts. These are small and written out, so
-    that the document frequencies and the many rounds of the SVM start from
-    them even after a lost executor, in as few tasks as their number asks for.
+    They are small beside the text. Document frequencies, the many rounds of
+    the SVM and its grading all start from them, even after a lost executor.
     """
-    counts = count_stages(prepared, features, **options)
-    column = "features" if features == "count" else "counts"
-    kept = durable(counts.transform(prepared).select("label", column))
-    kept = kept.coalesce(kept.count() // ROWS_PER_TASK + 1)
-    stages = list(counts.stages)
-    if column == "counts":
-        idf = IDF(inputCol="counts", outputCol="features").fit(kept)
+    column = counts.stages[-1].getOutputCol()
+    return durable(counts.transform(prepared).select(*keep, "label", column))
+
+
+def fit_classifier(table: DataFrame, *, max_iter: int = 50, reg_param: float = 0.3,
+                   aggregation_depth: int = 2) -> PipelineModel:
+    """Linear SVM on ``features``, preceded by the IDF of ``counts`` where there are any."""
+    # Every round is a job: as few tasks as the number of rows asks for.
+    table = table.coalesce(table.count() // ROWS_PER_TASK + 1)
+    stages = []
+    if "counts" in table.columns:
+        idf = IDF(inputCol="counts", outputCol="features").fit(table)
         stages.append(idf)
-        kept = idf.transform(kept)
+        table = idf.transform(table)
     # The SVM keeps its own blocks of rows in memory or on disk between rounds.
     svm = LinearSVC(featuresCol="features", labelCol="label", maxIter=max_iter,
                     regParam=reg_param, aggregationDepth=aggregation_depth)
     # The copy is without the training summary, which would send the session,
     # and the training data's plan, to every scoring task.
-    return PipelineModel([*stages, svm.fit(kept).copy()])
+    return PipelineModel([*stages, svm.fit(table).copy()])
+
+
+def train_sentiment(prepared: DataFrame, features: str = "tfidf", *, max_iter: int = 50,
+                    reg_param: float = 0.3, aggregation_depth: int = 2,
+                    **options) -> PipelineModel:
+    """Fit features and linear SVM; the model holds every stage from ``text`` on."""
+    counts = count_stages(prepared, features, **options)
+    classifier = fit_classifier(term_counts(counts, prepared), max_iter=max_iter,
+                                reg_param=reg_param, aggregation_depth=aggregation_depth)
+    return PipelineModel([*counts.stages, *classifier.stages])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

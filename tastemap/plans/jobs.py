@@ -13,7 +13,8 @@ from tastemap.functions.categories import CUISINES, RESTAURANT, first_category
 from tastemap.operators.filters import filter_categories
 from tastemap.operators.joins import join_entity_score
 from tastemap.operators.sampling import split_by_hash
-from tastemap.operators.sentiment import prepare_reviews, score_reviews, train_sentiment
+from tastemap.operators.sentiment import (count_stages, fit_classifier, prepare_reviews,
+                                          score_reviews, term_counts)
 from tastemap.operators.stats import stats_by, weighted_f1, weighted_mean_by
 
 SENTIMENT = "predicted_sentiment"
@@ -64,19 +65,24 @@ class Trained(NamedTuple):
 
 def train(reviews: DataFrame, *, key: str = "review_id", text: str = "text",
           rating: str = "stars", threshold: float = 4, seed: int = 50, collapse: bool = True,
-          features: str = "tfidf", observation: Observation | None = None,
+          features: str = "tfidf", max_iter: int = 50, reg_param: float = 0.3,
+          aggregation_depth: int = 2, observation: Observation | None = None,
           **options) -> Trained:
     """Fit on four fifths of the reviews and grade on the rest.
 
-    The split comes first, so that the test side plays no part in the document
-    frequencies. ``quality`` holds the weighted F1 of the model and of always
-    guessing the commoner class. An ``observation`` counts the reviews left out.
+    The test side plays no part in vocabulary and document frequencies.
+    ``quality`` holds the weighted F1 of the model and of always guessing the
+    commoner class. An ``observation`` counts the reviews left out.
     """
     prepared = prepare_reviews(reviews, keep=(key,), text=text, rating=rating,
                                threshold=threshold, collapse=collapse, observation=observation)
-    fit_side, test_side = split_by_hash(prepared, key, seed=seed)
-    model = train_sentiment(fit_side, features, **options)
-    return Trained(model, weighted_f1(model.transform(test_side)))
+    counts = count_stages(split_by_hash(prepared, key, seed=seed)[0], features, **options)
+    # Both sides are counted in one reading of the text.
+    fit_side, test_side = split_by_hash(term_counts(counts, prepared, (key,)), key, seed=seed)
+    classifier = fit_classifier(fit_side, max_iter=max_iter, reg_param=reg_param,
+                                aggregation_depth=aggregation_depth)
+    return Trained(PipelineModel([*counts.stages, *classifier.stages]),
+                   weighted_f1(classifier.transform(test_side)))
 
 
 def train_count_features(reviews: DataFrame, **options) -> Trained:

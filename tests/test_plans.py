@@ -9,7 +9,8 @@ import __spark_entry__ as entry_points
 from tastemap.functions.categories import first_category
 from tastemap.operators.filters import filter_categories
 from tastemap.operators.sampling import take_fraction
-from tastemap.operators.sentiment import common_terms, prepare_reviews, token_stages
+from tastemap.operators.sentiment import (common_terms, prepare_reviews, token_stages,
+                                          train_sentiment)
 from tastemap.operators.stats import stats_by, weighted_f1
 from tastemap.plans import jobs
 
@@ -65,12 +66,19 @@ def test_text_is_cleaned_once(spark, plan):
     counted = PipelineModel(token_stages()).transform(prepared).select(
         F.explode_outer("terms").alias("term")).where("term IS NOT NULL").groupBy("term").count()
     assert plan(counted).count("regexp_replace") == 1
-    model = jobs.train_sentiment(prepared.withColumn("label", (F.col("doc_id") % 2).cast("int")),
+    model = train_sentiment(prepared.withColumn("label", (F.col("doc_id") % 2).cast("int")),
                                  max_iter=2)
     graded = plan(weighted_f1(model.transform(prepared)))
     assert graded.count("regexp_replace") == 1
 
 
+def test_grading_reads_no_text(spark, plan):
+    documents = spark.read.parquet(f"{SF}/documents.parquet").withColumn(
+        "stars", F.col("doc_id") % 2 * 5)
+    quality = plan(jobs.train(documents, key="doc_id", max_iter=2).quality)
+    assert "regexp_replace" not in quality and "documents.parquet" not in quality
+
+
 def test_counting_unusable_rows_keeps_the_scan_narrow(spark, plan):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     prepared = prepare_reviews(documents, keep=("doc_id",), rating="n_chars",
