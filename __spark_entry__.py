@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -194,8 +195,8 @@ def idf_weights(spark, sf):
     counts = count_stages(texts, "count", vocabulary_size=VOCABULARY)
     idf = IDF(inputCol="features", outputCol="weights").fit(counts.transform(texts))
     # The model, one weight per word of a vocabulary of set size, is on the driver.
-    weights = zip(counts.stages[-1].vocabulary, idf.idf.toArray().tolist())
-    return _rounded(spark.createDataFrame(list(weights), "term string, idf double"), 6, "idf")
+    weights = pa.table({"term": counts.stages[-1].vocabulary, "idf": idf.idf.toArray()})
+    return _rounded(spark.createDataFrame(weights), 6, "idf")
 
 
 def fractions_by_status(spark, sf):

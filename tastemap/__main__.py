@@ -67,6 +67,8 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--rows", type=int, help="use the first rows by review_id only")
         if job == "export-points":
             command.add_argument("--rows", type=int, default=1000)
+            command.add_argument("--raw", action="store_true",
+                                 help="the joined rows, for a page that places them itself")
             command.add_argument("--postal-code")
             command.add_argument("--category")
     return top
@@ -107,8 +109,8 @@ def run(spark: SparkSession, argv=None) -> None:
     if args.job == "export-points":
         joined = filter_points(tables["joined"], postal_code=args.postal_code,
                                category=args.category)
-        export_points(map_points(joined, keep=("business_id",)), args.out, "business_id",
-                      args.rows)
+        points = joined if args.raw else map_points(joined, keep=("business_id",))
+        export_points(points, args.out, "business_id", args.rows)
         return
     if args.job == "score":
         result = jobs.score(load_model(args.model), tables["reviews"])

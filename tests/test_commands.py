@@ -86,6 +86,10 @@ def test_sentiment_chain(spark, folder, capsys):
                 "--category=Thai"])
     text = "".join(p.read_text() for p in Path(folder / "map").glob("part-*"))
     assert [p["name"] for p in json.loads(text)] == ["Place 1", "Place 3"]
+    run(spark, ["export-points", f"--joined={folder}/joined", f"--out={folder}/raw", "--raw"])
+    text = "".join(p.read_text() for p in Path(folder / "raw").glob("part-*"))
+    assert [(p["business_id"], p["longitude"], p["city"]) for p in json.loads(text)] == [
+        (f"b{i}", -119.8, "Reno") for i in range(4)]
 
 
 def test_source_is_not_overwritten(spark, folder):

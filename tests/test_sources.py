@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +50,14 @@ def test_durable_stays_as_it_was(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(cluster)
+
+
 def test_spread_only_small_scans(spark, tmp_path):
     spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
     few = spread(read_table(spark, str(tmp_path / "one")))
