@@ -86,9 +86,7 @@ def run(spark: SparkSession, argv=None) -> None:
         schema = SCHEMAS[table] if large and args.format == "json" else None
         df = read_table(spark, getattr(args, table), args.format, schema,
                         args.target_option, **options)
-        check_columns(df, SCHEMAS[table], columns)
-        # Cleaning and counting words is the costly part of a job on reviews.
-        tables[table] = spread(df) if table == "reviews" else df
+        tables[table] = check_columns(df, SCHEMAS[table], columns)
     if getattr(args, "fraction", None):
         num, den = map(int, args.fraction.split("/"))
         cut = take_exact_fraction if args.exact else take_fraction
@@ -101,7 +99,7 @@ def run(spark: SparkSession, argv=None) -> None:
         if args.rows is not None:
             reviews = take_rows(reviews, "review_id", args.rows)
         left_out = Observation("left out")
-        trained = grade(reviews, observation=left_out, **extra)
+        trained = grade(spread(reviews), observation=left_out, **extra)
         save_model(trained.model, args.model)
         trained.quality.show()
         print("left out:", left_out.get)
@@ -113,7 +111,7 @@ def run(spark: SparkSession, argv=None) -> None:
         export_points(points, args.out, "business_id", args.rows)
         return
     if args.job == "score":
-        result = jobs.score(load_model(args.model), tables["reviews"])
+        result = jobs.score(load_model(args.model), spread(tables["reviews"]))
     elif args.job == "business-sentiment":
         result = jobs.business_sentiment(tables["sentiment"], tables["business"])
     elif args.job.startswith("sentiment-by"):

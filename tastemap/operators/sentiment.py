@@ -2,12 +2,13 @@
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, SQLTransformer,
+                                StopWordsRemover, Tokenizer)
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tastemap.functions.ratings import binarize_rating
-from tastemap.functions.text import clean_text
+from tastemap.functions.text import BLANK, BLANK_RUN
 from tastemap.operators.ranking import take_rows
 from tastemap.sources.durable import durable
 
@@ -16,9 +17,9 @@ ROWS_PER_TASK = 50_000
 
 
 def prepare_reviews(reviews: DataFrame, *, keep=("review_id",), text: str = "text",
-                    rating: str | None = "stars", threshold: float = 4, collapse: bool = True,
+                    rating: str | None = "stars", threshold: float = 4,
                     need_label: bool = True, observation: Observation | None = None) -> DataFrame:
-    """Columns ``keep``, clean ``text`` and binary ``label``, without unusable rows.
+    """Columns ``keep``, ``text`` and binary ``label``, without unusable rows.
 
     A row without text, or without rating where a label is needed, is unusable. An
     ``observation`` counts them (``no_text``, ``no_label``) along the way.
@@ -30,20 +31,26 @@ def prepare_reviews(reviews: DataFrame, *, keep=("review_id",), text: str = "tex
         reviews = reviews.select(*dict.fromkeys(read)).observe(
             observation, F.count_if(F.col(text).isNull()).alias("no_text"),
             F.count_if(stars.isNull()).alias("no_label"))
-    # Tested on the raw columns, so that the test reaches the scan; on the cleaned
-    # ones it would be pushed down together with the cleaning, which then runs twice.
+    # Tested on the raw columns, so that the test reaches the scan; after cleaning
+    # it would be pushed down together with the cleaning, which then runs twice.
     usable = F.col(text).isNotNull()
     if need_label:
         usable &= stars.isNotNull()
     return (reviews.where(usable)
-            .select(*keep, clean_text(F.col(text), collapse).alias("text"),
+            .select(*keep, F.col(text).alias("text"),
                     binarize_rating(stars, threshold).alias("label")))
 
 
-def token_stages(language: str = "english") -> list:
-    """Tokens of ``text`` in ``words``, without stop words in ``terms``."""
+def token_stages(language: str = "english", collapse: bool = True) -> list:
+    """Cleaned ``text`` in ``clean``, its tokens in ``words``, without stop words in ``terms``.
+
+    Cleaning is a stage, so that a saved model cleans as it was trained.
+    """
+    blank = BLANK_RUN if collapse else BLANK
     return [
-        Tokenizer(inputCol="text", outputCol="words"),
+        SQLTransformer(
+            statement=f"SELECT *, regexp_replace(text, r'{blank}', ' ') AS clean FROM __THIS__"),
+        Tokenizer(inputCol="clean", outputCol="words"),
         StopWordsRemover(inputCol="words", outputCol="terms",
                          stopWords=StopWordsRemover.loadDefaultStopWords(language)),
     ]
@@ -61,9 +68,10 @@ def common_terms(tokens: DataFrame, size: int) -> DataFrame:
 
 
 def count_stages(prepared: DataFrame, features: str = "tfidf", num_features: int = 20,
-                 vocabulary_size: int = 1 << 18, language: str = "english") -> PipelineModel:
+                 vocabulary_size: int = 1 << 18, language: str = "english",
+                 collapse: bool = True) -> PipelineModel:
     """Text to term counts: hashed for ``"tfidf"``, by vocabulary for ``"count"``."""
-    stages = token_stages(language)
+    stages = token_stages(language, collapse)
     if features == "tfidf":
         stages.append(HashingTF(inputCol="terms", outputCol="counts", numFeatures=num_features))
     elif features == "count":
@@ -134,9 +142,9 @@ def load_model(path: str) -> PipelineModel:
 
 
 def score_reviews(model: PipelineModel, reviews: DataFrame, *, keep=("review_id", "business_id"),
-                  collapse: bool = True, **columns) -> DataFrame:
+                  **columns) -> DataFrame:
     """``keep``, the label from the rating and the predicted one, for every review with text."""
-    prepared = prepare_reviews(reviews, keep=keep, collapse=collapse, need_label=False, **columns)
+    prepared = prepare_reviews(reviews, keep=keep, need_label=False, **columns)
     return model.transform(prepared).select(
         *keep, F.col("label").alias("rating_sentiment"),
         F.col("prediction").alias("predicted_sentiment"))

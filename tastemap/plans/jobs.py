@@ -64,7 +64,7 @@ class Trained(NamedTuple):
 
 
 def train(reviews: DataFrame, *, key: str = "review_id", text: str = "text",
-          rating: str = "stars", threshold: float = 4, seed: int = 50, collapse: bool = True,
+          rating: str = "stars", threshold: float = 4, seed: int = 50,
           features: str = "tfidf", max_iter: int = 50, reg_param: float = 0.3,
           aggregation_depth: int = 2, observation: Observation | None = None,
           **options) -> Trained:
@@ -75,7 +75,7 @@ def train(reviews: DataFrame, *, key: str = "review_id", text: str = "text",
     commoner class. An ``observation`` counts the reviews left out.
     """
     prepared = prepare_reviews(reviews, keep=(key,), text=text, rating=rating,
-                               threshold=threshold, collapse=collapse, observation=observation)
+                               threshold=threshold, observation=observation)
     counts = count_stages(split_by_hash(prepared, key, seed=seed)[0], features, **options)
     # Both sides are counted in one reading of the text.
     fit_side, test_side = split_by_hash(term_counts(counts, prepared, (key,)), key, seed=seed)

@@ -61,8 +61,7 @@ def test_statistics_take_one_shuffle(spark, plan):
 def test_text_is_cleaned_once(spark, plan):
     documents = spark.read.parquet(f"{SF}/documents.parquet").withColumn("stars", F.lit(5.0))
     prepared = prepare_reviews(documents, keep=("doc_id",))
-    text = plan(prepared)
-    assert text.count("regexp_replace") == 1 and "IsNotNull(text)" in text
+    assert "IsNotNull(text)" in plan(prepared)
     counted = PipelineModel(token_stages()).transform(prepared).select(
         F.explode_outer("terms").alias("term")).where("term IS NOT NULL").groupBy("term").count()
     assert plan(counted).count("regexp_replace") == 1

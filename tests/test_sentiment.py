@@ -35,6 +35,15 @@ def test_tokens(spark):
                    "3": ([], [], 0)}
 
 
+def test_a_saved_model_cleans_as_trained(spark, reviews, tmp_path):
+    rated = spark.createDataFrame([("1", "a,, b", 5.0), ("2", "c", 1.0)],
+                                  "review_id string, text string, stars double")
+    model = jobs.count_stages(prepare_reviews(rated), "count", collapse=False)
+    save_model(model, str(tmp_path / "counts"))
+    words = load_model(str(tmp_path / "counts")).transform(prepare_reviews(rated))
+    assert {r.review_id: r.words for r in words.collect()} == {"1": ["a", "", "", "b"], "2": ["c"]}
+
+
 def test_unusable_rows_are_counted(spark):
     texts = spark.createDataFrame([("1", "a", 5.0), ("2", None, 4.0), ("3", "b", None)],
                                   "review_id string, text string, stars double")
@@ -81,7 +90,7 @@ def test_learns_and_survives_saving(spark, reviews, tmp_path, features):
 
 def test_vocabulary_is_the_commonest_terms(spark, reviews):
     model = feature_pipeline(prepare_reviews(reviews), "count", vocabulary_size=5)
-    words = model.stages[2].vocabulary
+    words = model.stages[3].vocabulary
     assert len(words) == 5
     tokens = PipelineModel(token_stages()).transform(prepare_reviews(reviews))
     assert set(words) == {r.term for r in common_terms(tokens, 5).collect()}
@@ -91,7 +100,7 @@ def test_frequencies_come_from_the_training_side_only(spark, reviews):
     prepared = prepare_reviews(reviews)
     train_side, _ = split_by_hash(prepared, "review_id", seed=50)
     model = jobs.train(reviews, max_iter=2).model
-    assert model.stages[3].numDocs == train_side.count() < reviews.count()
+    assert model.stages[4].numDocs == train_side.count() < reviews.count()
 
 
 def test_scores_keep_unrated_reviews(spark, reviews):
