@@ -70,7 +70,13 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--raw", action="store_true",
                                  help="the joined rows, for a page that places them itself")
             command.add_argument("--postal-code")
-            command.add_argument("--category")
+            command.add_argument("--category", help="text that the categories contain")
+            command.add_argument("--price", action="append", help="price point, repeatable")
+            command.add_argument("--price-range", nargs=2, type=float, metavar=("LOW", "HIGH"))
+            command.add_argument("--price-column", default="price")
+            command.add_argument("--colour-by", help="numeric column, the rating by default")
+            command.add_argument("--colour-best", type=float, default=5.0,
+                                 help="greenest value of that column")
     return top
 
 
@@ -105,9 +111,10 @@ def run(spark: SparkSession, argv=None) -> None:
         print("left out:", left_out.get)
         return
     if args.job == "export-points":
-        joined = filter_points(tables["joined"], postal_code=args.postal_code,
-                               category=args.category)
-        points = joined if args.raw else map_points(joined, keep=("business_id",))
+        joined = filter_points(tables["joined"], args.price, args.price_range, args.postal_code,
+                               args.category, price_col=args.price_column)
+        points = joined if args.raw else map_points(
+            joined, keep=("business_id",), colour_by=args.colour_by, colour_best=args.colour_best)
         export_points(points, args.out, "business_id", args.rows)
         return
     if args.job == "score":

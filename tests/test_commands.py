@@ -86,6 +86,11 @@ def test_sentiment_chain(spark, folder, capsys):
                 "--category=Thai"])
     text = "".join(p.read_text() for p in Path(folder / "map").glob("part-*"))
     assert [p["name"] for p in json.loads(text)] == ["Place 1", "Place 3"]
+    run(spark, ["export-points", f"--joined={folder}/joined", f"--out={folder}/few",
+                "--price-column=stars", "--price-range", "1", "2.5", "--price=2.0",
+                "--colour-by=predicted_sentiment", "--colour-best=1"])
+    text = "".join(p.read_text() for p in Path(folder / "few").glob("part-*"))
+    assert [(p["name"], round(p["hue"])) for p in json.loads(text)] == [("Place 2", 80)]
     run(spark, ["export-points", f"--joined={folder}/joined", f"--out={folder}/raw", "--raw"])
     text = "".join(p.read_text() for p in Path(folder / "raw").glob("part-*"))
     assert [(p["business_id"], p["longitude"], p["city"]) for p in json.loads(text)] == [
