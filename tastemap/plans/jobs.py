@@ -23,6 +23,7 @@ CUISINE_STATS = ("avg", "min", "max", "median", "stddev")
 
 def rating_by_state(business: DataFrame, state: str = "state", rating: str = "stars",
                     stats=("avg",)) -> DataFrame:
+    """Rating statistics by state, the mean alone unless asked for more."""
     return stats_by(business, state, rating, stats)
 
 
@@ -53,6 +54,7 @@ def sentiment_by_state(joined: DataFrame, state: str = "state", sentiment: str =
 def sentiment_by_cuisine(joined: DataFrame, categories: str = "categories",
                          sentiment: str = SENTIMENT, weighted: bool = False,
                          required: str = RESTAURANT, wanted=CUISINES) -> DataFrame:
+    """Mean over restaurants of the wanted cuisines, or over their reviews when ``weighted``."""
     kept = filter_categories(joined, categories, required, wanted)
     labelled = kept.withColumn(categories, first_category(categories, wanted))
     return sentiment_by_state(labelled, categories, sentiment, weighted)

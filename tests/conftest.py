@@ -26,3 +26,11 @@ def spark(tmp_path_factory):
 def plan():
     """The executed plan of a DataFrame as text."""
     return lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def many_slices(spark):
+    """Keep small shuffles in all their partitions, as large ones would be."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

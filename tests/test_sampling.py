@@ -37,7 +37,7 @@ def test_fractions_nest(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 332, 333, 999, 1000, 5000])
-def test_exact_rows(spark, n):
+def test_exact_rows(spark, n, many_slices):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("id")).repartition(5)
     assert ids(take_rows(df, "id", n)) == list(range(min(n, 1000)))
 
@@ -46,7 +46,7 @@ def test_exact_fraction(spark):
     assert take_exact_fraction(spark.range(1001), "id", 2, 3).count() == 667
 
 
-def test_exact_rows_by_two_columns(spark):
+def test_exact_rows_by_two_columns(spark, many_slices):
     rows = [(i % 3, f"t{i:03}") for i in range(300)]
     df = spark.createDataFrame(rows, "a int, b string")
     got = sorted(tuple(r) for r in take_rows(df, ["a", "b"], 150).collect())

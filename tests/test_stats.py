@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastemap.functions.ratings import binarize_rating, hue
-from tastemap.operators.ranking import median_by
+from tastemap.operators.ranking import median_by, range_slices
 from tastemap.operators.stats import stats_by, weighted_f1, weighted_mean_by
 
 
@@ -45,7 +45,7 @@ def test_names_and_unknown_statistic(spark):
 
 
 @pytest.mark.parametrize("distinct", [3, 10_000])
-def test_median_of_a_hot_group(spark, distinct):
+def test_median_of_a_hot_group(spark, distinct, many_slices):
     rng = random.Random(distinct)
     keys = ["hot"] * 3000 + [f"k{i % 400}" for i in range(6000)]
     rows = [(k, float(rng.randrange(distinct)) / 8 - 40) for k in keys]
@@ -57,6 +57,12 @@ def test_median_of_a_hot_group(spark, distinct):
     assert got == {k: statistics.median(v) for k, v in groups.items()}
 
 
+def test_a_hot_group_spans_slices(spark, many_slices):
+    df = spark.range(8000).select(F.lit("hot").alias("k"), F.rand(1).alias("v"))
+    sizes = [r["count"] for r in range_slices(df, "k", "v").groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 4000
+
+
 def test_order_of_statistics(spark):
     df = spark.range(5000).select((F.col("id") % 7).alias("k"), F.xxhash64("id").alias("v"))
     for r in stats_by(df, "k", "v", ("min", "median", "max", "approx_median")).collect():
