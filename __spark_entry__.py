@@ -6,8 +6,10 @@ are the businesses, orders and lines their rated reviews, documents the texts.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import reduce
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.ml import PipelineModel
@@ -16,6 +18,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# This file may be loaded by path, from anywhere.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from tastemap.functions.categories import first_category
 from tastemap.functions.ratings import binarize_rating
 from tastemap.functions.text import clean_text

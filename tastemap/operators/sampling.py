@@ -27,6 +27,8 @@ def take_fraction(df: DataFrame, key: str, num: int, den: int, seed: int = 0,
 
 def take_exact_fraction(df: DataFrame, key: str, num: int, den: int) -> DataFrame:
     """The first ``rows * num // den`` rows by ``key``, which must identify a row."""
+    if num >= den:
+        return df
     return take_rows(df, key, df.count() * num // den)
 
 
