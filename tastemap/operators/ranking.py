@@ -4,7 +4,8 @@ The values are range-partitioned into slices, so that one hot group spreads
 over as many slices as it needs. Slice totals, one row per group and slice,
 tell which slice holds a wanted rank; only that slice is looked into. The
 slices are written out first: range bounds come from a sample, and numbering
-them anew after a lost executor would mix two numberings.
+them anew after a lost executor would mix two numberings. So these functions
+run jobs when called; what they return is lazy as usual.
 """
 
 from pyspark.sql import DataFrame, Window
