@@ -46,18 +46,19 @@ def median_by(df: DataFrame, key: str, value: str, name: str = "median") -> Data
             .withColumnRenamed("k", key))
 
 
-def take_rows(df: DataFrame, order, n: int) -> DataFrame:
+def take_rows(df: DataFrame, order, n: int, unique: bool = False) -> DataFrame:
     """Exactly the first ``n`` rows by the ascending ``order`` columns, still distributed.
 
     Unlike ``limit`` this leaves a filter on ``df``, not one partition. NULL
     comes first. Rows with equal order columns cannot be told apart: a cut
-    between them, or at a NULL, is an error.
+    between them, or at a NULL, is an error. ``unique`` says that there are none.
     """
     order = [order] if isinstance(order, str) else list(order)
     if n <= 0:
         return df.where(F.lit(False))
     # Copies collapse first, so that no slice is larger for them.
-    counts = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_copies"))
+    counts = (df.select(*order, F.lit(1).alias("_copies")) if unique
+              else df.groupBy(*order).agg(F.count(F.lit(1)).alias("_copies")))
     slices = range_slices(counts, *order)
     # One row per range partition reaches the driver.
     sizes = slices.groupBy("_slice").agg(F.sum("_copies").alias("rows")).orderBy("_slice").collect()

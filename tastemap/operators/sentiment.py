@@ -64,7 +64,9 @@ def common_terms(tokens: DataFrame, size: int) -> DataFrame:
                      .where(F.col("term").isNotNull())
                      .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
                      .withColumn("rarity", -F.col("n")))
-    return take_rows(counts, ["rarity", "term"], size).select("term", "n")
+    if counts.count() > size:
+        counts = take_rows(counts, ["rarity", "term"], size, unique=True)
+    return counts.select("term", "n")
 
 
 def count_stages(prepared: DataFrame, features: str = "tfidf", num_features: int = 20,

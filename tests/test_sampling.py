@@ -58,6 +58,11 @@ def test_exact_rows_by_columns_of_any_name(spark):
     assert ids(take_rows(df, ["slice", "copies"], 10), "slice") == list(range(10))
 
 
+def test_exact_rows_by_a_unique_key(spark, many_slices):
+    df = spark.range(500).repartition(3)
+    assert ids(take_rows(df, "id", 123, unique=True)) == list(range(123))
+
+
 def test_null_keys_come_first(spark):
     df = spark.createDataFrame([(None, "b"), (None, "a"), (1, None), (1, "c"), (2, "d")],
                                "a int, b string")
