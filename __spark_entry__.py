@@ -6,6 +6,7 @@ are the businesses, orders and lines their rated reviews, documents the texts.
 
 from __future__ import annotations
 
+import importlib
 import sys
 from collections.abc import Callable
 from functools import reduce
@@ -35,6 +36,14 @@ from tastemap.sources.durable import scratch_path
 from tastemap.sources.export import first_points
 from tastemap.sources.tables import read_table, spread
 
+# The training-data operators come with their subpackage, and leave with it.
+try:
+    llm = importlib.import_module("tastemap.llm.queries")
+except ModuleNotFoundError as missing:
+    if missing.name not in ("tastemap.llm", "tastemap.llm.queries", "corpus_pipeline"):
+        raise
+    llm = None
+
 # Stand-ins for the required word and the cuisines. "ol" is only ever part of a word.
 REQUIRED = "PROMO"
 WANTED = ("red", "blue", "hot", "ol", "ring")
@@ -305,6 +314,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "train_and_score": train_and_score,
         "sentiment_quality": sentiment_quality,
         "count_features_svm": count_features_svm,
+        **(llm.queries() if llm else {}),
     }
 
 
@@ -498,4 +508,5 @@ def oracle_sql() -> dict[str, str]:
             WITH {PARTS}
             SELECT p_partkey, p_size, categories FROM parts
             WHERE p_size IN (1, 2, 3, 4) AND contains(categories, 'ring')""",
+        **(llm.oracle_sql() if llm else {}),
     }
