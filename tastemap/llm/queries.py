@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemap.llm import seekable
+from tastemap.llm import packing, seekable
 from tastemap.llm.shared import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -18,10 +18,18 @@ def op1_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seekable.read_tokens(files)
 
 
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut and packed into sequences of 4096 tokens."""
+    pieces = packing.cut_documents(table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path(TOKENIZER), end_id=1, max_tokens=4096)
+    return packing.pack_pieces(pieces, 4096)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name -> callable of session and folder of tables."""
     return {
         "op1_seekable_tokens": op1_seekable_tokens,
+        "op10_pattern_packing": op10_pattern_packing,
     }
 
 
