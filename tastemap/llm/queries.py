@@ -4,8 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tastemap.llm import packing, seekable
+from tastemap.llm import packing, seekable, slots
 from tastemap.llm.shared import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +19,13 @@ def op1_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seekable.read_tokens(files)
 
 
+def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of near equal bytes."""
+    placed = slots.shard_documents(table(spark, sf_dir, "documents"), 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut and packed into sequences of 4096 tokens."""
     pieces = packing.cut_documents(table(spark, sf_dir, "documents"),
@@ -29,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name -> callable of session and folder of tables."""
     return {
         "op1_seekable_tokens": op1_seekable_tokens,
+        "op2_virtual_slots": op2_virtual_slots,
         "op10_pattern_packing": op10_pattern_packing,
     }
 
