@@ -90,7 +90,8 @@ def read_tokens(files: DataFrame) -> DataFrame:
                 with TokenFile(path) as file:
                     yield from file.digests(start)
 
-    return files.repartition("path").mapInArrow(read, READ_SCHEMA)
+    # As many tasks as files: their rows are too small to be dealt out by size.
+    return files.repartition(max(1, files.count()), "path").mapInArrow(read, READ_SCHEMA)
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
