@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import packing, seekable, slots
+from tastemap.llm import packing, seekable, simhash, slots
 from tastemap.llm.shared import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +26,11 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op6_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=4)
+
+
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut and packed into sequences of 4096 tokens."""
     pieces = packing.cut_documents(table(spark, sf_dir, "documents"),
@@ -38,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_seekable_tokens": op1_seekable_tokens,
         "op2_virtual_slots": op2_virtual_slots,
+        "op6_gray_simhash": op6_gray_simhash,
         "op10_pattern_packing": op10_pattern_packing,
     }
 
