@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import packing, seekable, simhash, slots
+from tastemap.llm import outliers, packing, seekable, simhash, slots
 from tastemap.llm.shared import table
+from tastemap.sources.durable import durable
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -31,6 +32,15 @@ def op6_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=4)
 
 
+def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    statistics = durable(outliers.with_statistics(docs, keep=["doc_id", "lang", "source"]))
+    judged = outliers.judge(statistics, outliers.fit(statistics))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents cut and packed into sequences of 4096 tokens."""
     pieces = packing.cut_documents(table(spark, sf_dir, "documents"),
@@ -44,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_seekable_tokens": op1_seekable_tokens,
         "op2_virtual_slots": op2_virtual_slots,
         "op6_gray_simhash": op6_gray_simhash,
+        "op9_robust_outliers": op9_robust_outliers,
         "op10_pattern_packing": op10_pattern_packing,
     }
 
