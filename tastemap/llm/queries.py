@@ -6,12 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import outliers, packing, seekable, simhash, slots
+from tastemap.llm import outliers, packing, seekable, simhash, slots, urls
 from tastemap.llm.shared import table
 from tastemap.sources.durable import durable
 
 TOKENIZER = "word_bpe_49k.json"
 
+# The URL rules, as host, path and verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
 
 def op1_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back."""
@@ -27,6 +36,12 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op4_bloom_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on the url of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 def op6_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=4)
@@ -53,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_seekable_tokens": op1_seekable_tokens,
         "op2_virtual_slots": op2_virtual_slots,
+        "op4_bloom_urls": op4_bloom_urls,
         "op6_gray_simhash": op6_gray_simhash,
         "op9_robust_outliers": op9_robust_outliers,
         "op10_pattern_packing": op10_pattern_packing,
@@ -61,4 +77,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Query name -> the same in SQL, where SQL can express it."""
-    return {}
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    return {
+        "op4_bloom_urls": f"""
+            WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
+              rests AS (SELECT page_id, CASE WHEN contains(url, '://')
+                               THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+                        FROM pages),
+              parts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rests),
+              urls AS (SELECT page_id, translate(raw, '{urls.UPPER}', '{urls.LOWER}') AS host,
+                              regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+                       FROM parts),
+              fits AS (SELECT page_id, rule_host || rule_path AS rule, rule_verdict,
+                              row_number() OVER (PARTITION BY page_id ORDER BY
+                                  length(rule_host || rule_path) DESC, length(rule_host) DESC) AS n
+                       FROM urls JOIN rules
+                         ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                        AND starts_with(path, rule_path))
+            SELECT urls.page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
+            FROM urls LEFT JOIN fits ON urls.page_id = fits.page_id AND n = 1""",
+    }
