@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import outliers, packing, seekable, simhash, slots, urls
+from tastemap.llm import outliers, packing, seekable, simhash, slots, urls, vectors
 from tastemap.llm.shared import table
 from tastemap.sources.durable import durable
 
@@ -36,6 +36,11 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op3_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate class of every vector."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op4_bloom_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on the url of every page."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -68,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_seekable_tokens": op1_seekable_tokens,
         "op2_virtual_slots": op2_virtual_slots,
+        "op3_pca_tiles": op3_pca_tiles,
         "op4_bloom_urls": op4_bloom_urls,
         "op6_gray_simhash": op6_gray_simhash,
         "op9_robust_outliers": op9_robust_outliers,

@@ -4,6 +4,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -94,3 +95,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
     moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"),
                                                          F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def join_groups(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Union-find on an array: join the groups of ``a`` and ``b``.
+
+    A group's label is the first place in it.
+    """
+    while len(a):
+        one, two = label[a], label[b]
+        apart = one != two
+        if not apart.any():
+            return
+        np.minimum.at(label, np.maximum(one, two)[apart], np.minimum(one, two)[apart])
+        while not np.array_equal(higher := label[label], label):
+            label[:] = higher

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tastemap.llm.shared import components, ship_code
+from tastemap.llm.shared import components, join_groups, ship_code
 from tastemap.sources.durable import durable
 
 SEED = 42
@@ -251,18 +251,6 @@ def _edges(bits: np.ndarray, label: np.ndarray) -> tuple[pa.Array, pa.Array]:
     return pa.array(signed[moved]), pa.array(signed[label[moved]])
 
 
-def _union(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Join the groups of ``a`` and ``b``; a group's label is its first place."""
-    while True:
-        one, two = label[a], label[b]
-        apart = one != two
-        if not apart.any():
-            return
-        np.minimum.at(label, np.maximum(one, two)[apart], np.minimum(one, two)[apart])
-        while not np.array_equal(higher := label[label], label):
-            label[:] = higher
-
-
 def _link_short(bits: np.ndarray, label: np.ndarray, sizes: np.ndarray, starts: np.ndarray,
                 max_bits: int) -> None:
     """Link inside short runs: each member with the next, the one after next and so on."""
@@ -275,7 +263,7 @@ def _link_short(bits: np.ndarray, label: np.ndarray, sizes: np.ndarray, starts:
         place, ends = place[there], ends[there]
         near = np.bitwise_count(bits[place] ^ bits[place + step]) <= max_bits
         if near.any():
-            _union(label, place[near], place[near] + step)
+            join_groups(label, place[near], place[near] + step)
 
 
 def _levels(bits: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -321,12 +309,12 @@ def _link_groups(bits: np.ndarray, label: np.ndarray, left: np.ndarray, right: n
         i, j, free, apart = i[near], j[near], free[near], apart[near]
         whole = apart + np.bitwise_count(free) <= max_bits
         if level == 0:
-            _union(label, left[i], other[j])
+            join_groups(label, left[i], other[j])
             continue
         reach = FANOUT ** level
         for a, b in zip(i[whole], j[whole]):
             members = np.r_[left[a * reach:(a + 1) * reach], other[b * reach:(b + 1) * reach]]
-            _union(label, members, np.full(len(members), members[0]))
+            join_groups(label, members, np.full(len(members), members[0]))
         i, j = i[~whole], j[~whole]
         chunk = PAIRS // FANOUT ** 2
         for at in range(0, len(i), chunk):
