@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import outliers, packing, seekable, simhash, slots, urls, vectors
+from tastemap.llm import outliers, packing, seekable, simhash, slots, toxicity, urls, vectors
 from tastemap.llm.shared import table
 from tastemap.sources.durable import durable
 
@@ -52,6 +52,16 @@ def op6_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=4)
 
 
+def op7_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a third of the ids is held out of training."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    machine = toxicity.train(toxicity.training_rows(docs, labels.where(~held_out)))
+    scored = toxicity.score(docs, machine)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -76,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pca_tiles": op3_pca_tiles,
         "op4_bloom_urls": op4_bloom_urls,
         "op6_gray_simhash": op6_gray_simhash,
+        "op7_string_kernel": op7_string_kernel,
         "op9_robust_outliers": op9_robust_outliers,
         "op10_pattern_packing": op10_pattern_packing,
     }
