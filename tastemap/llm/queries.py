@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import outliers, packing, seekable, simhash, slots, toxicity, urls, vectors
+from tastemap.llm import lines, outliers, packing, seekable, simhash, slots, toxicity, urls, vectors
 from tastemap.llm.shared import table
 from tastemap.sources.durable import durable
 
@@ -47,6 +47,12 @@ def op4_bloom_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, and the numbers of those that duplicate others."""
+    found = lines.duplicate_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
+
+
 def op6_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=4)
@@ -85,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_virtual_slots": op2_virtual_slots,
         "op3_pca_tiles": op3_pca_tiles,
         "op4_bloom_urls": op4_bloom_urls,
+        "op5_fuzzy_lines": op5_fuzzy_lines,
         "op6_gray_simhash": op6_gray_simhash,
         "op7_string_kernel": op7_string_kernel,
         "op9_robust_outliers": op9_robust_outliers,
