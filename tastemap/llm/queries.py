@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import lines, outliers, packing, seekable, simhash, slots, toxicity, urls, vectors
+from tastemap.llm import lines, mixing, outliers, packing, seekable, simhash, slots, toxicity, urls, vectors
 from tastemap.llm.shared import table
 from tastemap.sources.durable import durable
 
@@ -68,6 +68,14 @@ def op7_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic, probability and draw of every document, raked to tempered shares."""
+    rows, _, chances = mixing.mixture(table(spark, sf_dir, "documents"))
+    return mixing.judge(rows, chances).select(
+        F.col("_c0").alias("doc_id"), F.col("_topic").alias("topic"),
+        F.col("_tokens").alias("n_tokens"), "probability", "kept")
+
+
 def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -94,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_fuzzy_lines": op5_fuzzy_lines,
         "op6_gray_simhash": op6_gray_simhash,
         "op7_string_kernel": op7_string_kernel,
+        "op8_raked_mixture": op8_raked_mixture,
         "op9_robust_outliers": op9_robust_outliers,
         "op10_pattern_packing": op10_pattern_packing,
     }
