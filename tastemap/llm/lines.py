@@ -10,10 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from tastemap.llm.shared import components, ship_code
+from tastemap.llm.shared import components, row_key, ship_code, with_row_key
 from tastemap.llm.urls import build_filter, may_contain
 from tastemap.sources.durable import durable
 
@@ -90,11 +89,6 @@ def _band_keys(lines: list[str]) -> np.ndarray:
     return keys
 
 
-def _doc_key(doc_id: int | None, text: bytes | None) -> bytes:
-    """A document's identity; only rows with equal id and text share it."""
-    return xxh3_128_digest(repr(doc_id).encode() + b"|" + (b"-" if text is None else b"+" + text))
-
-
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per line that is not blank, and one without a line per document."""
     names = ["doc_id", "doc", "line", "digest", "bands", "n_lines"]
@@ -105,7 +99,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns = [[] for _ in names]
             new: dict[bytes, str] = {}
             for doc_id, text in zip(*(some.column(c).to_pylist() for c in ("doc_id", "text"))):
-                doc, n = _doc_key(doc_id, text), 0
+                doc, n = row_key(doc_id, text), 0
                 for number, line in enumerate(normal_lines(text)):
                     if line:
                         n += 1
@@ -259,27 +253,16 @@ def keep_first_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A document that had no lines before, null texts included, stays as it is. All
     other columns pass untouched, whatever their names.
     """
-    names = [f"_c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
+    rows, names = with_row_key(docs, id_col, text_col)
     text = names[docs.columns.index(text_col)]
-    doc_id = names[docs.columns.index(id_col)]
     removed = (duplicate_lines(docs, id_col, text_col)
                .where(F.size("removed") > 0).select("doc", "copy", "removed", "n_lines"))
-    keyed = StructType([*plain.schema.fields, StructField("_doc", BinaryType())])
-
-    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [_doc_key(i, None if t is None else t.encode()) for i, t in zip(
-                batch.column("_id").to_pylist(), batch.column(text).to_pylist())]
-            yield pa.record_batch([*(batch.column(n) for n in names), pa.array(found, pa.binary())],
-                                  [*names, "_doc"])
-
-    rows = (plain.withColumn("_id", F.col(doc_id).cast("long")).mapInArrow(key, keyed)
-            .withColumn("_copy", F.row_number().over(Window.partitionBy("_doc").orderBy("_doc"))))
+    rows = rows.withColumn("_copy", F.row_number().over(
+        Window.partitionBy("_doc").orderBy("_doc")))
     joined = rows.join(removed, (F.col("_doc") == F.col("doc"))
                        & (F.col("_copy") == F.col("copy")), "left")
     left = joined.where("removed IS NULL OR size(removed) < n_lines")
-    schema = StructType(plain.schema.fields)
+    schema = rows.select(*names).schema
     place = names.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,11 +2,15 @@
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
+from xxhash import xxh3_128_digest
 
 from tastemap.sources.durable import durable
 from tastemap.sources.tables import read_table
@@ -33,6 +37,31 @@ def ship_code(spark: SparkSession) -> None:
     context._tastemap_shipped = True
 
 
+def row_key(row_id: int | None, text: bytes | None) -> bytes:
+    """A row's identity wherever it is read; only rows with equal id and text share it."""
+    mark = b"-" if text is None else b"+"
+    return xxh3_128_digest(repr(row_id).encode() + mark + (text or b""))
+
+
+def with_row_key(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[str]]:
+    """``df`` under column names that clash with nothing, with its :func:`row_key` as ``_doc``."""
+    ship_code(df.sparkSession)
+    names = [f"_c{i}" for i in range(len(df.columns))]
+    plain = df.toDF(*names)
+    schema = StructType([*plain.schema.fields, StructField("_doc", BinaryType())])
+    row_id, text = (F.col(names[df.columns.index(c)]) for c in (id_col, text_col))
+    wide = plain.withColumns({"_id": row_id.cast("long"), "_bytes": text.cast("binary")})
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(map(row_key, batch.column("_id").to_pylist(),
+                             batch.column("_bytes").to_pylist()))
+            yield pa.record_batch([*(batch.column(n) for n in names), pa.array(found, pa.binary())],
+                                  schema.names)
+
+    return wide.mapInArrow(key, schema), names
+
+
 def cell() -> "F.Column":
     """An even deal of rows into cells, whatever their values. Write it out before using it twice."""
     return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(CELLS)).cast("int")

@@ -15,11 +15,11 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tastemap.llm.shared import components, join_groups, ship_code
+from tastemap.llm.shared import components, join_groups, row_key, ship_code, with_row_key
 from tastemap.sources.durable import durable
 
 SEED = 42
@@ -55,21 +55,23 @@ def fingerprint(text: bytes | None, words_per_shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, bits``: the fingerprint of every whole text, as a signed 64-bit integer."""
+    """``doc_id, doc, bits``: the row's key, and the fingerprint of its whole text as a signed
+    64-bit integer."""
     ship_code(docs.sparkSession)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 some = batch.slice(first, 512)
-                bits = np.array([fingerprint(t) for t in some.column("text").to_pylist()],
-                                np.uint64)
-                yield pa.record_batch([some.column("doc_id"), pa.array(bits.view(np.int64))],
-                                      ["doc_id", "bits"])
+                texts = some.column("text").to_pylist()
+                keys = list(map(row_key, some.column("doc_id").to_pylist(), texts))
+                bits = np.array([fingerprint(t) for t in texts], np.uint64)
+                yield pa.record_batch([some.column("doc_id"), pa.array(keys, pa.binary()),
+                                       pa.array(bits.view(np.int64))], ["doc_id", "doc", "bits"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("binary").alias("text")).mapInArrow(
-        compute, "doc_id long, bits long")
+        compute, "doc_id long, doc binary, bits long")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = 4, id_col: str = "doc_id",
@@ -83,14 +85,35 @@ def near_duplicates(docs: DataFrame, max_bits: int = 4, id_col: str = "doc_id",
     repeated rows are rows of the result; no documents give no rows.
     """
     found = durable(fingerprints(docs, id_col, text_col))
-    different = durable(found.groupBy("bits").agg(F.min("doc_id").alias("least")))
+    classes = _classes(found, max_bits).select("bits", F.col("stays.doc_id").alias("component_id"))
+    return found.join(classes, "bits").select(
+        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, max_bits: int = 4, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """One row of each class of near duplicates: the one of the smallest id, null last.
+
+    Columns and nulls are as in ``docs``; of rows with equal id and text one stays.
+    """
+    found = fingerprints(docs, id_col, text_col)
+    stays = _classes(durable(found), max_bits).select(F.col("stays.doc").alias("_doc")).distinct()
+    rows, names = with_row_key(docs, id_col, text_col)
+    kept = rows.join(stays, "_doc")
+    # A repeated row has its key in common with the one that stays.
+    first = F.row_number().over(Window.partitionBy("_doc").orderBy("_doc"))
+    return kept.withColumn("_copy", first).where("_copy = 1").select(*names).toDF(*docs.columns)
+
+
+def _classes(found: DataFrame, max_bits: int) -> DataFrame:
+    """``bits, stays``: of each fingerprint the first row of its class."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc")
+    different = durable(found.groupBy("bits").agg(F.min(row).alias("least")))
     grouped = components(links(different.select("bits"), max_bits))
     classes = (different.join(grouped, different["bits"] == grouped["node"], "left")
                .select("bits", "least", F.coalesce("component", "bits").alias("component")))
-    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = classes.join(least, "component").select("bits", "component_id")
-    return found.join(classes, "bits").select(
-        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+    stays = classes.groupBy("component").agg(F.min("least").alias("stays"))
+    return classes.select("bits", "component").join(stays, "component")
 
 
 def block_edges(blocks: int) -> list[tuple[int, int]]:
