@@ -12,9 +12,7 @@ from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
 
-import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +25,13 @@ from tastemap.functions.ratings import binarize_rating
 from tastemap.functions.text import clean_text
 from tastemap.operators.filters import filter_categories, filter_points
 from tastemap.operators.points import map_points as points_of
-from tastemap.operators.sampling import split_by_hash, take_exact_fraction, take_fraction
-from tastemap.operators.sentiment import (common_terms, count_stages, load_model,
+from tastemap.operators.sampling import split_by_hash, take_exact_fractions, take_fraction
+from tastemap.operators.sentiment import (common_terms, count_stages, idf_weights, load_model,
                                           prepare_reviews, save_model, token_stages)
 from tastemap.operators.stats import stats_by, weighted_f1
 from tastemap.plans import jobs
 from tastemap.sources.durable import scratch_path
-from tastemap.sources.export import first_points
+from tastemap.sources.export import export_points
 from tastemap.sources.tables import read_table, spread
 
 # The training-data operators come with their subpackage, and leave with it.
@@ -47,9 +45,16 @@ except ModuleNotFoundError as missing:
 # Stand-ins for the required word and the cuisines. "ol" is only ever part of a word.
 REQUIRED = "PROMO"
 WANTED = ("red", "blue", "hot", "ol", "ring")
-# Sizes of a vocabulary: one that cuts, and the default one.
+# Categories to colour by, one of those in the table left out.
+SEGMENTS = ("MACHINERY", "AUTOMOBILE", "FURNITURE", "BUILDING")
+# Size of a vocabulary that cuts, and of the one to train on.
 TOP_TERMS = 1000
-VOCABULARY = 1 << 18
+TRAIN_TERMS = 2000
+# Widths of hashed counts; the wide one folds into the narrow one.
+NARROW, WIDE = 16, 4096
+# The test tables are one file each: partitions for work on their texts, and for the
+# rounds of training.
+TEXT_PARTITIONS, FIT_PARTITIONS = 8, 2
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -108,7 +113,7 @@ def _points(spark, sf):
 
 
 def _documents(spark, sf):
-    return spread(_table(spark, sf, "documents"))
+    return spread(_table(spark, sf, "documents"), TEXT_PARTITIONS)
 
 
 def _texts(spark, sf):
@@ -116,9 +121,8 @@ def _texts(spark, sf):
 
 
 def _labelled(spark, sf):
-    """Labelled documents; quality 1 is a good rating."""
-    return (_documents(spark, sf).join(_table(spark, sf, "labels"), "doc_id")
-            .withColumn("stars", F.col("quality") * 5))
+    """Documents with a rating that their text can tell: 5 for English, 0 for other languages."""
+    return _documents(spark, sf).withColumn("stars", (F.col("lang") == "en").cast("int") * 5)
 
 
 # Queries
@@ -137,7 +141,7 @@ def stats_by_flag(spark, sf):
 
 def stats_by_category(spark, sf):
     parts = jobs.rating_by_cuisine(_parts(spark, sf), "categories", "p_retailprice",
-                                   required=REQUIRED, wanted=WANTED)
+                                   jobs.CUISINE_STATS, required=REQUIRED, wanted=WANTED)
     return _rounded(parts, 4, "avg", "median", "stddev")
 
 
@@ -193,10 +197,25 @@ def token_counts(spark, sf):
 
 
 def hashed_counts(spark, sf):
-    hashing = HashingTF(inputCol="terms", outputCol="counts", numFeatures=20)
-    hashed = PipelineModel([*token_stages(), hashing]).transform(_texts(spark, sf))
-    total = F.aggregate(vector_to_array("counts"), F.lit(0.0), lambda a, b: a + b)
-    return hashed.select("doc_id", total.cast("bigint").alias("n_terms"))
+    """Hashed counts of two widths: their sums, whether the wide ones fold into the narrow
+    ones, and how many different ones a text's copies have."""
+    texts = _texts(spark, sf)
+    counts = {}
+    for width in (NARROW, WIDE):
+        hashed = count_stages(texts, num_features=width).transform(texts)
+        counts[width] = hashed.select("doc_id", F.xxhash64("text").alias("of_text"),
+                                      vector_to_array("counts").alias(f"in_{width}"))
+    both = counts[NARROW].join(counts[WIDE].drop("of_text"), "doc_id")
+    total = {w: F.aggregate(f"in_{w}", F.lit(0.0), lambda a, b: a + b) for w in (NARROW, WIDE)}
+    folded = F.transform(F.sequence(F.lit(0), F.lit(NARROW - 1)), lambda i: F.aggregate(
+        F.filter(f"in_{WIDE}", lambda _, at: at % NARROW == i), F.lit(0.0), lambda a, b: a + b))
+    found = both.select("doc_id", "of_text", F.hash(f"in_{WIDE}").alias("vector"),
+                        total[NARROW].cast("bigint").alias("n_terms"),
+                        total[WIDE].cast("bigint").alias("n_terms_wide"),
+                        (folded == F.col(f"in_{NARROW}")).alias("folds"),
+                        (F.array_min(f"in_{WIDE}") >= 0).alias("non_negative"))
+    copies = found.groupBy("of_text").agg(F.countDistinct("vector").alias("vectors_of_text"))
+    return found.join(copies, "of_text").drop("of_text", "vector")
 
 
 def vocabulary(spark, sf):
@@ -204,13 +223,10 @@ def vocabulary(spark, sf):
     return common_terms(terms, TOP_TERMS)
 
 
-def idf_weights(spark, sf):
+def idf_of_terms(spark, sf):
     texts = _texts(spark, sf)
-    counts = count_stages(texts, "count", vocabulary_size=VOCABULARY)
-    idf = IDF(inputCol="features", outputCol="weights").fit(counts.transform(texts))
-    # The model, one weight per word of a vocabulary of set size, is on the driver.
-    weights = pa.table({"term": counts.stages[-1].vocabulary, "idf": idf.idf.toArray()})
-    return _rounded(spark.createDataFrame(weights), 6, "idf")
+    tokens = PipelineModel(token_stages()).transform(texts)
+    return _rounded(idf_weights(tokens, texts.count()), 6, "idf")
 
 
 def fractions_by_status(spark, sf):
@@ -222,10 +238,11 @@ def fractions_by_status(spark, sf):
 
 
 def exact_fractions_by_status(spark, sf):
-    orders = _table(spark, sf, "orders")
-    sweep = [stats_by(take_exact_fraction(orders, "o_orderkey", j, 3), "o_orderstatus",
-                      "o_totalprice", ("avg", "count")).withColumn("thirds", F.lit(j))
-             for j in (1, 2, 3)]
+    cuts = take_exact_fractions(_table(spark, sf, "orders"), "o_orderkey",
+                                [(j, 3) for j in (1, 2, 3)])
+    sweep = [stats_by(cut, "o_orderstatus", "o_totalprice",
+                      ("avg", "count")).withColumn("thirds", F.lit(j))
+             for j, cut in enumerate(cuts, 1)]
     return _rounded(reduce(DataFrame.unionByName, sweep), 4, "avg")
 
 
@@ -246,8 +263,35 @@ def map_points(spark, sf):
     return _points(spark, sf)
 
 
+def map_points_by_price(spark, sf):
+    """Points coloured by a price point of one to five dollar signs, of which four count."""
+    priced = _located(spark, sf).withColumn("price", F.repeat(
+        F.lit("$"), (F.col("c_custkey") % 5 + 1).cast("int")))
+    points = points_of(priced, name="c_name", address=("c_name",), rating="c_acctbal",
+                       keep=("c_custkey", "price"), colour_by="price", colour_kind="price",
+                       colour_best=4)
+    return points.select("c_custkey", "price", "hue")
+
+
+def map_points_by_category(spark, sf):
+    points = points_of(_located(spark, sf), name="c_name", address=("c_name",),
+                       rating="c_acctbal", keep=("c_custkey", "c_mktsegment"),
+                       colour_by="c_mktsegment", colour_kind="category",
+                       colour_categories=SEGMENTS)
+    return _rounded(points.select("c_custkey", "c_mktsegment", "hue"), 6, "hue")
+
+
 def map_export(spark, sf):
-    return first_points(_points(spark, sf), "c_custkey", 1000)
+    """The first points as written for the page and read again, some without a sentiment."""
+    points = _points(spark, sf).withColumn(
+        "sentiment", F.when(F.col("c_custkey") % 7 != 0, F.col("sentiment")))
+    path = scratch_path(spark, "map")
+    export_points(points, path, "c_custkey", 1000)
+    lines = read_table(spark, path, "text")
+    # Members that are NULL are written out, so each line has them all.
+    members = F.size(F.json_object_keys("value")).alias("members")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields)
+    return lines.select(F.from_json("value", schema).alias("p"), members).select("p.*", "members")
 
 
 def filter_points_by_range(spark, sf):
@@ -264,24 +308,47 @@ def filter_points_by_price(spark, sf):
 
 
 def train_and_score(spark, sf):
-    """Train on the labelled documents, save, load, score every document; means by source."""
+    """Train, save, load, score every document; by source, is the mean near the label's?"""
     path = scratch_path(spark, "model")
-    save_model(jobs.train(_labelled(spark, sf), key="doc_id").model, path)
-    scored = jobs.score(load_model(path), _documents(spark, sf), key="doc_id", entity="source",
-                        rating=None)
-    # Labels meet the scores, not the texts: a shuffle of either moves no text.
-    scored = scored.join(_table(spark, sf, "labels"), "doc_id", "left")
-    return scored.groupBy("source").agg(F.avg("predicted_sentiment").alias("predicted"),
-                                        F.avg("quality").alias("labelled"),
-                                        F.count("*").alias("n"))
+    labelled = _labelled(spark, sf)
+    trained = jobs.train(labelled, key="doc_id", num_features=WIDE, partitions=FIT_PARTITIONS)
+    save_model(trained.model, path)
+    scored = jobs.score(load_model(path), labelled, key="doc_id", entity="source")
+    label, predicted = F.avg("rating_sentiment"), F.avg("predicted_sentiment")
+    return scored.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rating_sentiment").alias("n_good"),
+        (F.abs(label - predicted) < 0.1).alias("near"))
+
+
+def score_rows(spark, sf):
+    """Every document is scored, every seventh without its text; what comes out of them."""
+    labelled = _labelled(spark, sf)
+    model = jobs.train(labelled, key="doc_id", num_features=64, max_iter=5,
+                       partitions=FIT_PARTITIONS).model
+    holed = labelled.withColumn("text", F.when(F.col("doc_id") % 7 != 0, F.col("text")))
+    scored = jobs.score(model, holed, key="doc_id", entity="source")
+    return scored.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.count("predicted_sentiment").alias("n_scored"),
+        F.count_if(F.col("predicted_sentiment").isin(0, 1)).alias("n_binary"),
+        F.count_if((F.col("doc_id") % 7 == 0) & F.col("predicted_sentiment").isNull())
+        .alias("n_without_text"))
+
+
+def _quality(trained):
+    """Beside guessing, which is known, whether the model does better by far."""
+    return _rounded(trained.quality, 6, "majority_f1").select(
+        "majority_f1", (F.col("f1") > F.col("majority_f1") + 0.3).alias("learnt"))
 
 
 def sentiment_quality(spark, sf):
-    return jobs.train(_labelled(spark, sf), key="doc_id").quality
+    return _quality(jobs.train(_labelled(spark, sf), key="doc_id", hashed=False,
+                               num_features=WIDE, partitions=FIT_PARTITIONS))
 
 
 def count_features_svm(spark, sf):
-    return jobs.train_count_features(_labelled(spark, sf), key="doc_id").quality
+    return _quality(jobs.train_count_features(
+        _labelled(spark, sf), key="doc_id", hashed=False, vocabulary_size=TRAIN_TERMS,
+        partitions=FIT_PARTITIONS))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -302,16 +369,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "token_counts": token_counts,
         "hashed_counts": hashed_counts,
         "vocabulary": vocabulary,
-        "idf_weights": idf_weights,
+        "idf_weights": idf_of_terms,
         "take_fraction": fractions_by_status,
         "take_exact_fraction": exact_fractions_by_status,
         "split_by_hash": split_sides,
         "weighted_f1": label_f1,
         "map_points": map_points,
+        "map_points_by_price": map_points_by_price,
+        "map_points_by_category": map_points_by_category,
         "map_export": map_export,
         "filter_points_by_range": filter_points_by_range,
         "filter_points_by_price": filter_points_by_price,
         "train_and_score": train_and_score,
+        "score_rows": score_rows,
         "sentiment_quality": sentiment_quality,
         "count_features_svm": count_features_svm,
         **(llm.queries() if llm else {}),
@@ -411,7 +481,8 @@ POINTS = CUSTOMER_SENTIMENT + """,
 
 
 def oracle_sql() -> dict[str, str]:
-    """Query name -> the same in SQL; the queries that train a model have none."""
+    """Query name -> the same in SQL; of a trained model, what must hold for it."""
+    segments = ", ".join(f"'{c}'" for c in SEGMENTS)
     return {
         "avg_by_region_key": """
             SELECT n_name, round(avg(c_acctbal), 4) AS avg
@@ -459,7 +530,10 @@ def oracle_sql() -> dict[str, str]:
         "token_counts": f"""
             WITH {TOKENS}
             SELECT doc_id, len(words) AS n_words, len(terms) AS n_terms FROM kept""",
-        "hashed_counts": f"WITH {TOKENS} SELECT doc_id, len(terms) AS n_terms FROM kept",
+        "hashed_counts": f"""
+            WITH {TOKENS}
+            SELECT doc_id, len(terms) AS n_terms, len(terms) AS n_terms_wide, true AS folds,
+                   true AS non_negative, CAST(1 AS BIGINT) AS vectors_of_text FROM kept""",
         "vocabulary": f"""
             WITH {TOKENS}
             SELECT term, count(*) AS n FROM (SELECT unnest(terms) AS term FROM kept)
@@ -467,10 +541,9 @@ def oracle_sql() -> dict[str, str]:
         "idf_weights": f"""
             WITH {TOKENS},
               words AS (SELECT doc_id, unnest(terms) AS term FROM kept),
-              chosen AS (SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs FROM words
-                         GROUP BY term ORDER BY n DESC, term LIMIT {VOCABULARY})
+              spread AS (SELECT term, count(DISTINCT doc_id) AS docs FROM words GROUP BY term)
             SELECT term, round(ln(((SELECT count(*) FROM documents) + 1) / (docs + 1)), 6) AS idf
-            FROM chosen""",
+            FROM spread""",
         "take_fraction": " UNION ALL ".join(f"""
             SELECT o_orderstatus, round(avg(o_totalprice), 4) AS avg,
                    count(o_totalprice) AS count, {j} AS quarters
@@ -499,7 +572,24 @@ def oracle_sql() -> dict[str, str]:
                          * 2 * max(support) / (max(support) + sum(support)), 6) AS majority_f1
             FROM counted""",
         "map_points": f"WITH {POINTS} SELECT * FROM points",
-        "map_export": f"WITH {POINTS} SELECT * FROM points ORDER BY c_custkey LIMIT 1000",
+        "map_points_by_price": f"""
+            WITH {POINTS}
+            SELECT c_custkey, repeat('$', CAST(c_custkey % 5 + 1 AS BIGINT)) AS price,
+                   CASE WHEN c_custkey % 5 < 4 THEN (c_custkey % 5 + 1) * CAST(30 AS DOUBLE)
+                        END AS hue
+            FROM points""",
+        "map_points_by_category": f"""
+            WITH {POINTS}
+            SELECT c_custkey, c_mktsegment,
+                   round(CASE WHEN list_contains([{segments}], c_mktsegment)
+                              THEN (list_position([{segments}], c_mktsegment) - 1)
+                                   * CAST({120 / (len(SEGMENTS) - 1)} AS DOUBLE) END, 6) AS hue
+            FROM located""",
+        "map_export": f"""
+            WITH {POINTS}
+            SELECT * REPLACE (CASE WHEN c_custkey % 7 <> 0 THEN sentiment END AS sentiment),
+                   8 AS members
+            FROM points ORDER BY c_custkey LIMIT 1000""",
         "filter_points_by_range": """
             SELECT c_custkey, c_acctbal, c_nationkey, c_mktsegment FROM customer
             WHERE c_acctbal BETWEEN 0 AND 5000 AND c_nationkey = 7
@@ -508,5 +598,19 @@ def oracle_sql() -> dict[str, str]:
             WITH {PARTS}
             SELECT p_partkey, p_size, categories FROM parts
             WHERE p_size IN (1, 2, 3, 4) AND contains(categories, 'ring')""",
+        "train_and_score": """
+            SELECT source, count(*) AS n, count(*) FILTER (lang = 'en') AS n_good, true AS near
+            FROM documents GROUP BY source""",
+        "score_rows": """
+            SELECT source, count(*) AS n, count(*) FILTER (doc_id % 7 <> 0) AS n_scored,
+                   count(*) FILTER (doc_id % 7 <> 0) AS n_binary,
+                   count(*) FILTER (doc_id % 7 = 0) AS n_without_text
+            FROM documents GROUP BY source""",
+        **{name: """
+            WITH counted AS (SELECT count(*) AS n FROM documents WHERE doc_id % 5 = 4
+                             GROUP BY lang = 'en')
+            SELECT round(max(n) / sum(n) * 2 * max(n) / (max(n) + sum(n)), 6) AS majority_f1,
+                   true AS learnt
+            FROM counted""" for name in ("sentiment_quality", "count_features_svm")},
         **(llm.oracle_sql() if llm else {}),
     }

@@ -8,12 +8,14 @@ from tastemap.operators.filters import filter_points
 from tastemap.operators.points import map_points
 from tastemap.operators.ranking import take_rows
 from tastemap.operators.sampling import take_exact_fraction, take_fraction
-from tastemap.operators.sentiment import load_model, save_model
+from tastemap.operators.sentiment import VOCABULARY_SIZE, load_model, save_model
+from tastemap.operators.stats import STATS
 from tastemap.plans import jobs
-from tastemap.sources.export import export_points
+from tastemap.sources.durable import intermediates
+from tastemap.sources.export import export_page, export_points
 from tastemap.sources.schemas import (BUSINESS, JOINED_SENTIMENT, REVIEW, REVIEW_SENTIMENT,
                                       check_columns)
-from tastemap.sources.tables import read_table, spread, write_table
+from tastemap.sources.tables import check_target, read_table, spread, write_table
 
 # Per job: its input tables, and the columns it reads of each.
 INPUTS = {
@@ -47,6 +49,12 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--model", required=True, help="model directory")
         if job != "train":
             command.add_argument("--out", required=True, help="table or folder to replace")
+        if job == "rating-by-cuisine":
+            command.add_argument("--stats", nargs="+", default=["avg"], metavar="NAME",
+                                 choices=[*STATS, "median"], help="statistics, avg by default")
+        if job in ("train", "score"):
+            command.add_argument("--partitions", type=int,
+                                 help="deal the reviews out over so many partitions first")
         if job not in ("train", "export-points"):
             command.add_argument("--show", action="store_true", help="print some of the result")
         command.add_argument("--format", default="parquet")
@@ -64,9 +72,18 @@ def parser() -> argparse.ArgumentParser:
         if job == "train":
             command.add_argument("--features", choices=("tfidf", "count"), default="tfidf")
             command.add_argument("--num-features", type=int, default=20)
+            command.add_argument("--vocabulary-size", type=int, default=VOCABULARY_SIZE,
+                                 help="commonest terms that count features keep")
+            command.add_argument("--max-iter", type=int, default=50)
+            command.add_argument("--reg-param", type=float, default=0.3)
+            command.add_argument("--seed", type=int, help="seed of the split into train and test")
+            command.add_argument("--fit-partitions", type=int,
+                                 help="partitions of the term counts in each round")
             command.add_argument("--rows", type=int, help="use the first rows by review_id only")
         if job == "export-points":
             command.add_argument("--rows", type=int, default=1000)
+            command.add_argument("--single-file", action="store_true",
+                                 help="one JSON array in a file of that name, not a folder of lines")
             command.add_argument("--raw", action="store_true",
                                  help="the joined rows, for a page that places them itself")
             command.add_argument("--postal-code")
@@ -74,22 +91,40 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--price", action="append", help="price point, repeatable")
             command.add_argument("--price-range", nargs=2, type=float, metavar=("LOW", "HIGH"))
             command.add_argument("--price-column", default="price")
-            command.add_argument("--colour-by", help="numeric column, the rating by default")
+            command.add_argument("--colour-by", help="column, the rating by default")
+            command.add_argument("--colour-kind", choices=("number", "price", "category"),
+                                 default="number")
             command.add_argument("--colour-best", type=float, default=5.0,
-                                 help="greenest value of that column")
+                                 help="greenest value of that column, or number of dollar signs")
+            command.add_argument("--colour-category", action="append", default=[],
+                                 help="category from red to green, repeatable")
     return top
 
 
 def run(spark: SparkSession, argv=None) -> None:
+    """Run one job; what it writes in between is removed at its end."""
     args = parser().parse_args(argv)
-    options = dict(o.split("=", 1) for o in args.option)
     sources = [getattr(args, t) for t in INPUTS[args.job]]
+    if args.job == "score":
+        sources.append(args.model)
+    # Before any work: a target that would destroy what the job reads.
+    if args.job == "train":
+        check_target(spark, args.model, sources)
+    elif args.target_option == "path" or args.job == "export-points":
+        check_target(spark, args.out, sources)
+    with intermediates(spark):
+        _run(spark, args, sources)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace, sources: list[str]) -> None:
+    options = dict(o.split("=", 1) for o in args.option)
     tables = {}
     for table, columns in INPUTS[args.job].items():
-        # Large JSON tables get their schema, so that no pass infers it. Businesses
-        # are few and keep whatever further columns they have.
-        large = table in ("reviews", "sentiment")
-        schema = SCHEMAS[table] if large and args.format == "json" else None
+        # A job that keeps all columns of a JSON table infers them; the others get
+        # their schema, so that no pass infers it.
+        whole = args.job == "business-sentiment" and table == "business" or (
+            args.job == "export-points")
+        schema = SCHEMAS[table] if args.format == "json" and not whole else None
         df = read_table(spark, getattr(args, table), args.format, schema,
                         args.target_option, **options)
         tables[table] = check_columns(df, SCHEMAS[table], columns)
@@ -100,13 +135,21 @@ def run(spark: SparkSession, argv=None) -> None:
 
     if args.job == "train":
         grade = jobs.train if args.features == "tfidf" else jobs.train_count_features
-        extra = {"num_features": args.num_features} if args.features == "tfidf" else {}
+        extra = {"max_iter": args.max_iter, "reg_param": args.reg_param,
+                 "partitions": args.fit_partitions}
+        if args.seed is not None:
+            extra["seed"] = args.seed
+        if args.features == "tfidf":
+            extra["num_features"] = args.num_features
+        else:
+            extra |= {"vocabulary_size": args.vocabulary_size, "on_terms": lambda total, out: print(
+                f"terms: {total}, left out of the vocabulary: {out}")}
         reviews = tables["reviews"]
         if args.rows is not None:
             reviews = take_rows(reviews, "review_id", args.rows)
         left_out = Observation("left out")
-        trained = grade(spread(reviews), observation=left_out, **extra)
-        save_model(trained.model, args.model)
+        trained = grade(spread(reviews, args.partitions), observation=left_out, **extra)
+        save_model(trained.model, args.model, sources)
         trained.quality.show()
         print("left out:", left_out.get)
         return
@@ -114,11 +157,13 @@ def run(spark: SparkSession, argv=None) -> None:
         joined = filter_points(tables["joined"], args.price, args.price_range, args.postal_code,
                                args.category, price_col=args.price_column)
         points = joined if args.raw else map_points(
-            joined, keep=("business_id",), colour_by=args.colour_by, colour_best=args.colour_best)
-        export_points(points, args.out, "business_id", args.rows)
+            joined, keep=("business_id",), colour_by=args.colour_by, colour_best=args.colour_best,
+            colour_kind=args.colour_kind, colour_categories=args.colour_category)
+        export = export_page if args.single_file else export_points
+        export(points, args.out, "business_id", args.rows, sources)
         return
     if args.job == "score":
-        result = jobs.score(load_model(args.model), spread(tables["reviews"]))
+        result = jobs.score(load_model(args.model), spread(tables["reviews"], args.partitions))
     elif args.job == "business-sentiment":
         result = jobs.business_sentiment(tables["sentiment"], tables["business"])
     elif args.job.startswith("sentiment-by"):
@@ -127,7 +172,7 @@ def run(spark: SparkSession, argv=None) -> None:
     elif args.job == "rating-by-state":
         result = jobs.rating_by_state(tables["business"])
     else:
-        result = jobs.rating_by_cuisine(tables["business"])
+        result = jobs.rating_by_cuisine(tables["business"], stats=args.stats)
     write_table(result, args.out, args.format, target_option=args.target_option,
                 sources=sources, **options)
     if args.show:

@@ -3,18 +3,20 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Entity rows of one key that one task may take.
+# Entity rows of one key that one task may take when keys repeat.
 HOT_ROWS = 1_000_000
 
 
 def join_entity_score(reviews: DataFrame, entities: DataFrame, key: str, value: str,
-                      *, entity_key: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                      *, entity_key: str | None = None, repeated: bool = False,
+                      hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mean of ``value`` per ``key``, joined to every column of ``entities``.
 
     An inner join: entities without a review and reviews of unknown entities
     drop out. ``<value>_sum`` and ``<value>_n`` let a later step weight by
     review. The many side is aggregated first, so a much-reviewed entity
-    shuffles no more rows than any other.
+    shuffles no more rows than any other. Entities are taken to have a key each;
+    say ``repeated`` if one key may have very many rows there.
     """
     entity_key = entity_key or key
     scores = (reviews.where(F.col(key).isNotNull())
@@ -22,27 +24,30 @@ def join_entity_score(reviews: DataFrame, entities: DataFrame, key: str, value:
               .agg(F.avg(value).alias(value),
                    F.sum(value).cast("double").alias(f"{value}_sum"),
                    F.count(value).alias(f"{value}_n")))
-    return join_unique(scores, entities, entity_key, hot_rows)
+    if repeated:
+        return join_unique(scores, entities, entity_key, hot_rows)
+    return scores.join(entities, entity_key)
 
 
 def join_unique(unique: DataFrame, many: DataFrame, key: str,
                 hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner join of a side with one row per ``key`` to a side that may repeat keys.
+    """Inner join of a side with one row per ``key`` to a side that repeats keys.
 
     A key with more than ``hot_rows`` rows is cut into slices of about that
     size by the input partition its rows come from, and its one row on the
     other side is repeated per slice. At most rows / ``hot_rows`` keys can be
-    hot, which bounds what is broadcast.
+    hot. That costs a further reading of ``many``, so it is for callers who
+    know that keys repeat. Whether the hot keys are sent out is left to Spark's
+    size check.
     """
     hot = (many.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
            .where(F.col("_rows") > hot_rows)
            .select(key, F.expr(f"(_rows - 1) div {hot_rows} + 1").alias("_slices")))
-    hot = F.broadcast(hot)
     slices = F.coalesce(F.col("_slices"), F.lit(1))
     left = (unique.join(hot, key, "left")
             .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
             .drop("_slices"))
-    right = (many.join(hot, key, "left")
-             .withColumn("_slice", F.pmod(F.spark_partition_id().cast("bigint"), slices))
-             .drop("_slices"))
+    right = (many.withColumn("_from", F.spark_partition_id().cast("bigint"))
+             .join(hot, key, "left").withColumn("_slice", F.pmod("_from", slices))
+             .drop("_slices", "_from"))
     return left.join(right, [key, "_slice"]).drop("_slice")

@@ -4,10 +4,12 @@ A bucket test is a filter: it moves no row, and a row stays on its side
 however the table is partitioned or re-read.
 """
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.operators.ranking import take_rows
+from tastemap.operators.ranking import take_row_counts
 
 
 def bucket(key: str, buckets: int, seed: int = 0, hashed: bool = True) -> Column:
@@ -27,9 +29,14 @@ def take_fraction(df: DataFrame, key: str, num: int, den: int, seed: int = 0,
 
 def take_exact_fraction(df: DataFrame, key: str, num: int, den: int) -> DataFrame:
     """The first ``rows * num // den`` rows by ``key``, which must identify a row."""
-    if num >= den:
-        return df
-    return take_rows(df, key, df.count() * num // den)
+    return take_exact_fractions(df, key, [(num, den)])[0]
+
+
+def take_exact_fractions(df: DataFrame, key: str, fractions) -> list[DataFrame]:
+    """:func:`take_exact_fraction` for each ``(num, den)``, from one slicing of the table."""
+    parts = [Fraction(num, den) for num, den in fractions]
+    cuts = iter(take_row_counts(df, key, [p for p in parts if p < 1]))
+    return [df if p >= 1 else next(cuts) for p in parts]
 
 
 def split_by_hash(df: DataFrame, key: str, parts: int = 5, train_parts: int = 4,

@@ -2,18 +2,19 @@
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, SQLTransformer,
+from pyspark.ml.feature import (IDF, CountVectorizerModel, HashingTF, SQLTransformer,
                                 StopWordsRemover, Tokenizer)
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tastemap.functions.ratings import binarize_rating
 from tastemap.functions.text import BLANK, BLANK_RUN
 from tastemap.operators.ranking import take_rows
 from tastemap.sources.durable import durable
+from tastemap.sources.tables import check_target
 
-# Rows of features that one task of a training round takes.
-ROWS_PER_TASK = 50_000
+# Terms of a vocabulary unless the caller says otherwise.
+VOCABULARY_SIZE = 1 << 18
 
 
 def prepare_reviews(reviews: DataFrame, *, keep=("review_id",), text: str = "text",
@@ -21,8 +22,8 @@ def prepare_reviews(reviews: DataFrame, *, keep=("review_id",), text: str = "tex
                     need_label: bool = True, observation: Observation | None = None) -> DataFrame:
     """Columns ``keep``, ``text`` and binary ``label``, without unusable rows.
 
-    A row without text, or without rating where a label is needed, is unusable. An
-    ``observation`` counts them (``no_text``, ``no_label``) along the way.
+    A row without text, or without rating where a label is needed, is unusable for
+    training. An ``observation`` counts them (``no_text``, ``no_label``) along the way.
     """
     stars = F.lit(None).cast("double") if rating is None else F.col(rating)
     if observation is not None:
@@ -56,7 +57,7 @@ def token_stages(language: str = "english", collapse: bool = True) -> list:
     ]
 
 
-def common_terms(tokens: DataFrame, size: int) -> DataFrame:
+def common_terms(tokens: DataFrame, size: int, on_terms=None) -> DataFrame:
     """The ``size`` commonest ``terms`` and their counts, ties by term."""
     # Unlike explode, explode_outer puts no size test, and so no second round of
     # tokenising, in front of itself.
@@ -64,36 +65,41 @@ def common_terms(tokens: DataFrame, size: int) -> DataFrame:
                      .where(F.col("term").isNotNull())
                      .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
                      .withColumn("rarity", -F.col("n")))
-    if counts.count() > size:
+    total = counts.count()
+    if on_terms is not None:
+        on_terms(total, max(0, total - size))
+    if total > size:
         counts = take_rows(counts, ["rarity", "term"], size, unique=True)
     return counts.select("term", "n")
 
 
 def count_stages(prepared: DataFrame, features: str = "tfidf", num_features: int = 20,
-                 vocabulary_size: int = 1 << 18, language: str = "english",
-                 collapse: bool = True) -> PipelineModel:
-    """Text to term counts: hashed for ``"tfidf"``, by vocabulary for ``"count"``."""
+                 vocabulary_size: int = VOCABULARY_SIZE, language: str = "english",
+                 collapse: bool = True, on_terms=None) -> PipelineModel:
+    """Text to term counts: hashed for ``"tfidf"``, by vocabulary for ``"count"``.
+
+    A vocabulary holds the ``vocabulary_size`` commonest terms, commonest first;
+    ``on_terms`` is told how many terms there are and how many are left out.
+    """
     stages = token_stages(language, collapse)
     if features == "tfidf":
         stages.append(HashingTF(inputCol="terms", outputCol="counts", numFeatures=num_features))
     elif features == "count":
-        # The vectorizer merges its counts on the driver, so it is given chosen terms only.
-        chosen = common_terms(PipelineModel(stages).transform(prepared), vocabulary_size)
-        vectorizer = CountVectorizer(inputCol="terms", outputCol="features",
-                                     vocabSize=vocabulary_size)
-        stages.append(vectorizer.fit(chosen.select(F.array("term").alias("terms"))))
+        chosen = common_terms(PipelineModel(stages).transform(prepared), vocabulary_size, on_terms)
+        # The model is a list of ``vocabulary_size`` words at most, so the driver holds it.
+        words = [r.term for r in chosen.orderBy(F.desc("n"), "term").collect()]
+        stages.append(CountVectorizerModel.from_vocabulary(
+            words, inputCol="terms", outputCol="features"))
     else:
         raise ValueError(f"features must be tfidf or count, not {features}")
     return PipelineModel(stages)
 
 
-def feature_pipeline(prepared: DataFrame, features: str = "tfidf", **options) -> PipelineModel:
-    """Fit the stages from ``text`` to ``features`` on ``prepared``."""
-    counts = count_stages(prepared, features, **options)
-    if features == "count":
-        return counts
-    idf = IDF(inputCol="counts", outputCol="features").fit(counts.transform(prepared))
-    return PipelineModel([*counts.stages, idf])
+def idf_weights(tokens: DataFrame, rows: int) -> DataFrame:
+    """``term, idf`` for every term of ``rows`` tokenised texts, ``ln((rows + 1) / (texts + 1))``."""
+    terms = tokens.select(F.explode_outer(F.array_distinct("terms")).alias("term"))
+    return (terms.where(F.col("term").isNotNull()).groupBy("term")
+            .agg(F.ln(F.lit(rows + 1) / (F.count(F.lit(1)) + 1)).alias("idf")))
 
 
 def term_counts(counts: PipelineModel, prepared: DataFrame, keep=()) -> DataFrame:
@@ -107,10 +113,14 @@ def term_counts(counts: PipelineModel, prepared: DataFrame, keep=()) -> DataFram
 
 
 def fit_classifier(table: DataFrame, *, max_iter: int = 50, reg_param: float = 0.3,
-                   aggregation_depth: int = 2) -> PipelineModel:
-    """Linear SVM on ``features``, preceded by the IDF of ``counts`` where there are any."""
-    # Every round is a job: as few tasks as the number of rows asks for.
-    table = table.coalesce(table.count() // ROWS_PER_TASK + 1)
+                   aggregation_depth: int = 2, partitions: int | None = None) -> PipelineModel:
+    """Linear SVM on ``features``, preceded by the IDF of ``counts`` where there are any.
+
+    Every round is a job over the partitions of ``table``, or over so many
+    ``partitions`` if the caller knows that fewer will do.
+    """
+    if partitions is not None:
+        table = table.coalesce(partitions)
     stages = []
     if "counts" in table.columns:
         idf = IDF(inputCol="counts", outputCol="features").fit(table)
@@ -124,18 +134,9 @@ def fit_classifier(table: DataFrame, *, max_iter: int = 50, reg_param: float = 0
     return PipelineModel([*stages, svm.fit(table).copy()])
 
 
-def train_sentiment(prepared: DataFrame, features: str = "tfidf", *, max_iter: int = 50,
-                    reg_param: float = 0.3, aggregation_depth: int = 2,
-                    **options) -> PipelineModel:
-    """Fit features and linear SVM; the model holds every stage from ``text`` on."""
-    counts = count_stages(prepared, features, **options)
-    classifier = fit_classifier(term_counts(counts, prepared), max_iter=max_iter,
-                                reg_param=reg_param, aggregation_depth=aggregation_depth)
-    return PipelineModel([*counts.stages, *classifier.stages])
-
-
-def save_model(model: PipelineModel, path: str) -> None:
-    """Replace the model at ``path``."""
+def save_model(model: PipelineModel, path: str, sources=()) -> None:
+    """Replace the model at ``path``, which holds none of the ``sources`` of the job."""
+    check_target(SparkSession.active(), path, sources)
     model.write().overwrite().save(path)
 
 
@@ -144,9 +145,16 @@ def load_model(path: str) -> PipelineModel:
 
 
 def score_reviews(model: PipelineModel, reviews: DataFrame, *, keep=("review_id", "business_id"),
-                  **columns) -> DataFrame:
-    """``keep``, the label from the rating and the predicted one, for every review with text."""
-    prepared = prepare_reviews(reviews, keep=keep, need_label=False, **columns)
-    return model.transform(prepared).select(
+                  text: str = "text", rating: str | None = "stars",
+                  threshold: float = 4) -> DataFrame:
+    """``keep``, the label from the rating and the predicted one, a row for every review.
+
+    The prediction of a review without text is NULL.
+    """
+    stars = F.lit(None).cast("double") if rating is None else F.col(rating)
+    rows = reviews.select(*keep, F.col(text).isNotNull().alias("_has_text"),
+                          F.coalesce(F.col(text), F.lit("")).alias("text"),
+                          binarize_rating(stars, threshold).alias("label"))
+    return model.transform(rows).select(
         *keep, F.col("label").alias("rating_sentiment"),
-        F.col("prediction").alias("predicted_sentiment"))
+        F.when(F.col("_has_text"), F.col("prediction")).alias("predicted_sentiment"))

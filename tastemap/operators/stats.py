@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.operators.ranking import median_by
+from tastemap.operators.ranking import value_statistics
 
 # Each of these keeps a few numbers per group and is combined before the shuffle.
 STATS = {
@@ -17,24 +17,23 @@ STATS = {
 
 
 def stats_by(df: DataFrame, key: str, value: str, stats=("avg",)) -> DataFrame:
-    """Statistics of ``value`` per group in one aggregation.
+    """Statistics of ``value`` per group from one reading of ``df``.
 
-    ``stats`` lists names, or maps output columns to names. The exact
-    ``median`` needs ranks and so takes a second pass; ``approx_median`` is a
-    sketch of fixed size within the first one.
+    ``stats`` lists names, or maps output columns to names. Without the exact
+    ``median`` that is one aggregation. The median needs ranks, so all statistics
+    then come from counts of equal values; ``approx_median``, a sketch of fixed
+    size, does not go with it.
     """
     named = stats if isinstance(stats, dict) else {s: s for s in stats}
     unknown = set(named.values()) - set(STATS) - {"median"}
     if unknown:
         raise ValueError(f"unknown statistics: {', '.join(sorted(unknown))}")
-    columns = [STATS[s](F.col(value)).alias(out) for out, s in named.items() if s != "median"]
-    result = df.groupBy(key).agg(*columns) if columns else df.select(key).distinct()
-    for out, stat in named.items():
-        if stat == "median":
-            medians = median_by(df, key, value, out).withColumnRenamed(key, "_median_key")
-            result = (result.join(medians, F.col(key).eqNullSafe(F.col("_median_key")), "left")
-                            .drop("_median_key"))
-    return result.select(key, *named)
+    if "median" not in named.values():
+        return df.groupBy(key).agg(*(STATS[s](F.col(value)).alias(out)
+                                     for out, s in named.items()))
+    if "approx_median" in named.values():
+        raise ValueError("median and approx_median together: ask for one of them")
+    return value_statistics(df, key, value, named)
 
 
 def weighted_mean_by(df: DataFrame, key: str, total: str, count: str, name: str) -> DataFrame:

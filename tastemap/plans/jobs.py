@@ -28,9 +28,10 @@ def rating_by_state(business: DataFrame, state: str = "state", rating: str = "st
 
 
 def rating_by_cuisine(business: DataFrame, categories: str = "categories",
-                      rating: str = "stars", stats=CUISINE_STATS, required: str = RESTAURANT,
+                      rating: str = "stars", stats=("avg",), required: str = RESTAURANT,
                       wanted=CUISINES) -> DataFrame:
-    """Rating statistics of restaurants of the wanted cuisines, all in one table."""
+    """Rating statistics of restaurants of the wanted cuisines, the mean alone unless
+    asked for more."""
     kept = filter_categories(business, categories, required, wanted)
     return stats_by(kept.withColumn(categories, first_category(categories, wanted)),
                     categories, rating, stats)
@@ -66,23 +67,25 @@ class Trained(NamedTuple):
 
 
 def train(reviews: DataFrame, *, key: str = "review_id", text: str = "text",
-          rating: str = "stars", threshold: float = 4, seed: int = 50,
+          rating: str = "stars", threshold: float = 4, seed: int = 50, hashed: bool = True,
           features: str = "tfidf", max_iter: int = 50, reg_param: float = 0.3,
-          aggregation_depth: int = 2, observation: Observation | None = None,
-          **options) -> Trained:
+          aggregation_depth: int = 2, partitions: int | None = None,
+          observation: Observation | None = None, **options) -> Trained:
     """Fit on four fifths of the reviews and grade on the rest.
 
     The test side plays no part in vocabulary and document frequencies.
     ``quality`` holds the weighted F1 of the model and of always guessing the
-    commoner class. An ``observation`` counts the reviews left out.
+    commoner class. An ``observation`` counts the reviews left out. The side of a
+    review is by a hash of its ``key``, or by an integer key itself without ``hashed``.
     """
     prepared = prepare_reviews(reviews, keep=(key,), text=text, rating=rating,
                                threshold=threshold, observation=observation)
-    counts = count_stages(split_by_hash(prepared, key, seed=seed)[0], features, **options)
+    sides = {"seed": seed, "hashed": hashed}
+    counts = count_stages(split_by_hash(prepared, key, **sides)[0], features, **options)
     # Both sides are counted in one reading of the text.
-    fit_side, test_side = split_by_hash(term_counts(counts, prepared, (key,)), key, seed=seed)
+    fit_side, test_side = split_by_hash(term_counts(counts, prepared, (key,)), key, **sides)
     classifier = fit_classifier(fit_side, max_iter=max_iter, reg_param=reg_param,
-                                aggregation_depth=aggregation_depth)
+                                aggregation_depth=aggregation_depth, partitions=partitions)
     return Trained(PipelineModel([*counts.stages, *classifier.stages]),
                    weighted_f1(classifier.transform(test_side)))
 
@@ -94,8 +97,8 @@ def train_count_features(reviews: DataFrame, **options) -> Trained:
 
 def score(model: PipelineModel, reviews: DataFrame, *, key: str = "review_id",
           entity: str = "business_id", **columns) -> DataFrame:
-    """Every review with text, with the label of its rating and the predicted one.
+    """Every review, with the label of its rating and the predicted one.
 
-    Without a ``rating`` column the first is NULL.
+    Without a ``rating`` column the first is NULL, without text the second.
     """
     return score_reviews(model, reviews, keep=(key, entity), **columns)

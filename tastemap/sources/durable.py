@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +20,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Paths of the jobs that are open, innermost last.
+_open_jobs: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession):
+    """Remove on exit what :func:`durable` and :func:`scratch_path` leave inside.
+
+    DataFrames that rest on written tables can be used inside only. Outside of
+    any such context intermediate tables stay until the folder is cleared.
+    """
+    paths: list[str] = []
+    _open_jobs.append(paths)
+    try:
+        yield
+    finally:
+        _open_jobs.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _open_jobs:
+        _open_jobs[-1].append(path)
+    return path
 
 
 def durable(df: DataFrame) -> DataFrame:

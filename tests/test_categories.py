@@ -2,7 +2,7 @@ import random
 
 from tastemap.functions.categories import CUISINES, first_category
 from tastemap.operators.filters import filter_categories
-from tastemap.plans.jobs import rating_by_cuisine
+from tastemap.plans.jobs import CUISINE_STATS, rating_by_cuisine
 
 ROWS = [("a", "Restaurants, Thai, Chinese", 4.0),
         ("b", "American (New), Restaurants", 3.0),
@@ -55,7 +55,8 @@ def test_random_lists(spark):
 def test_all_statistics_in_one_table(spark):
     rows = [(str(i), "Restaurants, Greek", float(s)) for i, s in enumerate((1, 2, 2, 5))]
     rows.append(("z", "Korean, Restaurants", 3.0))
-    got = {r.categories: r.asDict() for r in rating_by_cuisine(table(spark, rows)).collect()}
+    stats = rating_by_cuisine(table(spark, rows), stats=CUISINE_STATS)
+    got = {r.categories: r.asDict() for r in stats.collect()}
     greek = got["Greek"]
     assert (greek["avg"], greek["min"], greek["max"], greek["median"]) == (2.5, 1.0, 5.0, 2.0)
     assert abs(greek["stddev"] - 3 ** 0.5) < 1e-12

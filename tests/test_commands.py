@@ -1,6 +1,7 @@
 """The jobs from the command line, one feeding the next."""
 
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -29,6 +30,11 @@ def rows(spark, path):
     return {tuple(r) for r in spark.read.parquet(str(path)).collect()}
 
 
+def objects(path):
+    return [json.loads(line) for p in sorted(Path(path).glob("part-*"))
+            for line in p.read_text().splitlines()]
+
+
 def test_ratings(spark, folder):
     run(spark, ["rating-by-state", f"--business={folder}/business", f"--out={folder}/by_state"])
     assert rows(spark, folder / "by_state") == {("NV", 1.0), ("CA", 3.5)}
@@ -36,7 +42,10 @@ def test_ratings(spark, folder):
                 "--fraction=3/5", "--exact"])
     assert rows(spark, folder / "half") == {("NV", 1.0)}
     run(spark, ["rating-by-cuisine", f"--business={folder}/business", f"--out={folder}/cuisine"])
-    assert {r[:5] for r in rows(spark, folder / "cuisine")} == {
+    assert rows(spark, folder / "cuisine") == {("Thai", 2.0), ("Greek", 2.0)}
+    run(spark, ["rating-by-cuisine", f"--business={folder}/business", f"--out={folder}/cuisine",
+                "--stats", "avg", "min", "max", "median"])
+    assert rows(spark, folder / "cuisine") == {
         ("Thai", 2.0, 1.0, 3.0, 2.0), ("Greek", 2.0, 0.0, 4.0, 2.0)}
 
 
@@ -49,8 +58,10 @@ def test_result_is_shown(spark, folder, capsys):
 
 def test_count_features_on_the_first_rows(spark, folder, capsys):
     run(spark, ["train", f"--reviews={folder}/reviews", f"--model={folder}/counts",
-                "--features=count", "--rows=90"])
+                "--features=count", "--rows=90", "--vocabulary-size=3", "--max-iter=5",
+                "--reg-param=0.1", "--seed=7", "--partitions=3", "--fit-partitions=1"])
     printed = capsys.readouterr().out
+    assert "terms: 8, left out of the vocabulary: 5" in printed
     assert "majority_f1" in printed and "'no_text': 0, 'no_label': 0" in printed
 
 
@@ -70,6 +81,8 @@ def test_sentiment_chain(spark, folder, capsys):
                 f"--out={folder}/scored"])
     run(spark, ["business-sentiment", f"--sentiment={folder}/scored",
                 f"--business={folder}/business", f"--out={folder}/joined"])
+    scored = spark.read.parquet(f"{folder}/scored")
+    assert scored.count() == 122 and scored.where("predicted_sentiment IS NULL").count() == 1
     joined = {r.business_id: r for r in spark.read.parquet(f"{folder}/joined").collect()}
     assert set(joined) == {"b0", "b1", "b2", "b3"}
     assert joined["b1"].predicted_sentiment_n == 31
@@ -82,24 +95,43 @@ def test_sentiment_chain(spark, folder, capsys):
             ("NV", round(nevada, 9)), ("CA", round(2 / 3, 9))}
         run(spark, ["sentiment-by-cuisine", f"--joined={folder}/joined", f"--out={folder}/c", *extra])
         assert {r[0] for r in rows(spark, folder / "c")} == {"Thai", "Greek"}
-    run(spark, ["export-points", f"--joined={folder}/joined", f"--out={folder}/map", "--rows=3",
-                "--category=Thai"])
-    text = "".join(p.read_text() for p in Path(folder / "map").glob("part-*"))
-    assert [p["name"] for p in json.loads(text)] == ["Place 1", "Place 3"]
+    run(spark, ["export-points", f"--joined={folder}/joined", f"--out={folder}/map.json",
+                "--rows=3", "--category=Thai", "--single-file"])
+    assert [p["name"] for p in json.loads(Path(folder / "map.json").read_text())] == [
+        "Place 1", "Place 3"]
     run(spark, ["export-points", f"--joined={folder}/joined", f"--out={folder}/few",
                 "--price-column=stars", "--price-range", "1", "2.5", "--price=2.0",
                 "--colour-by=predicted_sentiment", "--colour-best=1"])
-    text = "".join(p.read_text() for p in Path(folder / "few").glob("part-*"))
-    assert [(p["name"], round(p["hue"])) for p in json.loads(text)] == [("Place 2", 80)]
+    assert [(p["name"], round(p["hue"])) for p in objects(folder / "few")] == [("Place 2", 80)]
+    run(spark, ["export-points", f"--joined={folder}/joined", f"--out={folder}/by_state",
+                "--colour-by=state", "--colour-kind=category", "--colour-category=CA",
+                "--colour-category=NV"])
+    assert [p["hue"] for p in objects(folder / "by_state")] == [120, 120, 120, 0]
     run(spark, ["export-points", f"--joined={folder}/joined", f"--out={folder}/raw", "--raw"])
-    text = "".join(p.read_text() for p in Path(folder / "raw").glob("part-*"))
-    assert [(p["business_id"], p["longitude"], p["city"]) for p in json.loads(text)] == [
+    assert [(p["business_id"], p["longitude"], p["city"]) for p in objects(folder / "raw")] == [
         (f"b{i}", -119.8, "Reno") for i in range(4)]
-
-
-def test_source_is_not_overwritten(spark, folder):
+    # What a job writes in between goes with it.
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("durable-*/*"))
+
+
+@pytest.mark.parametrize("command", [
+    ["export-points", "--joined={0}/t", "--out={0}/t"],
+    ["export-points", "--joined={0}/t", "--out={0}/t/page.json", "--single-file"],
+    ["train", "--reviews={0}/t", "--model={0}/t"],
+    ["sentiment-by-state", "--joined={0}/t", "--out={1}/t"],
+    ["sentiment-by-state", "--joined={1}/t", "--out=./{1}/t"],
+    ["sentiment-by-state", "--joined={0}/t", "--out={0}"],
+    ["sentiment-by-state", "--joined={0}/t", "--out=file:{0}/x/../t"],
+    ["sentiment-by-state", "--joined={0}/link", "--out={0}/t"],
+    ["rating-by-state", "--business={0}/t", "--out={0}/link"],
+    ["score", "--reviews={0}/r", "--model={0}/t", "--out={0}/t/out"],
+])
+def test_no_command_overwrites_what_it_reads(spark, tmp_path, command):
+    spark.range(5).write.parquet(f"{tmp_path}/t")
+    (tmp_path / "link").symlink_to(tmp_path / "t")
     with pytest.raises(ValueError, match="source"):
-        run(spark, ["rating-by-state", f"--business={folder}/business", f"--out={folder}/business"])
+        run(spark, [part.format(tmp_path, os.path.relpath(tmp_path)) for part in command])
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 5
 
 
 def test_unfit_table_is_refused(spark, folder):

@@ -9,22 +9,50 @@ import __spark_entry__ as entry_points
 from tastemap.functions.categories import first_category
 from tastemap.operators.filters import filter_categories
 from tastemap.operators.sampling import take_fraction
-from tastemap.operators.sentiment import (common_terms, prepare_reviews, token_stages,
-                                          train_sentiment)
+from tastemap.operators.sentiment import common_terms, prepare_reviews, token_stages
 from tastemap.operators.stats import stats_by, weighted_f1
 from tastemap.plans import jobs
 
 SF = "/root/testdata/sf0.001"
-# Final one-row results and bounded top-k gather; nothing else does.
+# Final one-row results gather; nothing else does.
 GATHERING = {"weighted_f1", "sentiment_quality", "count_features_svm"}
-PLAIN = sorted(n for n in entry_points.queries()
-               if n not in {"train_and_score", "sentiment_quality", "count_features_svm",
-                            "idf_weights", "vocabulary"})
-
-
-@pytest.mark.parametrize("name", PLAIN)
-def test_no_python_and_no_gathering(spark, plan, name):
-    text = plan(entry_points.queries()[name](spark, SF))
+OWN = sorted(n for n in entry_points.queries() if not (n.startswith("op") or n == "pipeline"))
+TRAINED = ("train_and_score", "sentiment_quality", "count_features_svm")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def executed_plans(spark, run):
+    """The final plans of all queries that ``run`` executes, as adaptive execution left them."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    listed = store.executionsList(before, store.executionsCount() - before)
+    return [listed.apply(i).physicalPlanDescription() for i in range(listed.size())]
+
+
+@pytest.mark.parametrize("name", TRAINED)
+def test_no_text_is_shuffled_to_train_or_score(spark, no_broadcast, name):
+    plans = executed_plans(spark, lambda: entry_points.queries()[name](spark, SF).collect())
+    assert len(plans) > 3
+    shuffles = [line for text in plans for line in text.split("\n")
+                if "Arguments: " in line and "hashpartitioning" in line
+                or "Arguments: " in line and "rangepartitioning" in line]
+    assert shuffles
+    assert not any("text#" in line for line in shuffles)
+
+
+@pytest.mark.parametrize("name", OWN)
+def test_no_python_and_no_gathering(spark, plan, no_broadcast, name):
+    df = entry_points.queries()[name](spark, SF)
+    df.collect()
+    text = plan(df)
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct",
                  "BroadcastNestedLoopJoin"):
         assert node not in text
@@ -58,6 +86,23 @@ def test_statistics_take_one_shuffle(spark, plan):
     assert text.count("Exchange") == 1
 
 
+def test_median_reads_its_source_once(spark):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    stats = ("avg", "min", "max", "median", "stddev", "count")
+    plans = executed_plans(spark, lambda: stats_by(lines, "l_returnflag", "l_tax", stats).collect())
+    scans = [text for text in plans if "lineitem.parquet" in text]
+    # Range bounds are sampled inside the one query that reads the table.
+    assert len(scans) == 1
+
+
+@pytest.mark.parametrize("name", ["entity_score", "mean_of_means", "map_points"])
+def test_scores_are_joined_plainly(spark, plan, no_broadcast, name):
+    df = entry_points.queries()[name](spark, SF)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("orders.parquet") == 1 and final.count("customer.parquet") == 1
+
+
 def test_text_is_cleaned_once(spark, plan):
     documents = spark.read.parquet(f"{SF}/documents.parquet").withColumn("stars", F.lit(5.0))
     prepared = prepare_reviews(documents, keep=("doc_id",))
@@ -65,8 +110,8 @@ def test_text_is_cleaned_once(spark, plan):
     counted = PipelineModel(token_stages()).transform(prepared).select(
         F.explode_outer("terms").alias("term")).where("term IS NOT NULL").groupBy("term").count()
     assert plan(counted).count("regexp_replace") == 1
-    model = train_sentiment(prepared.withColumn("label", (F.col("doc_id") % 2).cast("int")),
-                                 max_iter=2)
+    model = jobs.train(documents.withColumn("stars", F.col("doc_id") % 2 * 5), key="doc_id",
+                       max_iter=2).model
     graded = plan(weighted_f1(model.transform(prepared)))
     assert graded.count("regexp_replace") == 1
 

@@ -1,13 +1,12 @@
 import json
 import math
-from pathlib import Path
 
 import pytest
 
 from tastemap.functions.geo import EDGE_LATITUDE, HALF_SIDE
 from tastemap.operators.filters import filter_points
 from tastemap.operators.points import map_points
-from tastemap.sources.export import MAX_POINTS, export_points, first_points
+from tastemap.sources.export import export_page, first_points
 
 COLUMNS = ("business_id string, name string, address string, city string, state string, "
            "postal_code string, stars double, predicted_sentiment double, longitude double, "
@@ -65,16 +64,26 @@ def test_filters(joined):
     assert names(category="Thai", postal_code="89501") == set()
 
 
-def test_export_is_one_json_array(joined, tmp_path):
-    export_points(map_points(joined, keep=("business_id",)), str(tmp_path / "out"),
-                  "business_id", 2)
-    files = list(Path(tmp_path / "out").glob("part-*"))
-    points = [p for f in files if f.read_text() for p in json.loads(f.read_text())]
+def test_page_is_one_json_array(joined, tmp_path):
+    export_page(map_points(joined, keep=("business_id",)), str(tmp_path / "out.json"),
+                "business_id", 2)
+    points = json.loads((tmp_path / "out.json").read_text())
     assert [p["business_id"] for p in points] == ["b0", "b1"]
     assert points[1]["name"] == "Noodles" and points[1]["hue"] == 120.0
 
 
-def test_export_is_bounded(joined):
+def test_first_points_have_no_upper_bound(joined):
     assert first_points(joined, "business_id", 3).count() == 3
-    with pytest.raises(ValueError):
-        first_points(joined, "business_id", MAX_POINTS + 1)
+    assert first_points(joined, "business_id", 10 ** 9).count() == 4
+
+
+def test_colours_of_points(joined):
+    def hues(**colour):
+        return [r.hue for r in map_points(joined, keep=("business_id",), **colour)
+                .orderBy("business_id").collect()]
+
+    assert hues(colour_by="price", colour_kind="price", colour_best=4) == [90, 30, None, None]
+    assert hues(colour_by="city", colour_kind="category",
+                colour_categories=("Reno", "Las Vegas")) == [0, 120, None, None]
+    with pytest.raises(ValueError, match="shade"):
+        hues(colour_kind="shade")

@@ -42,15 +42,9 @@ def test_every_oracle_has_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", ["train_and_score", "sentiment_quality", "count_features_svm"])
-def test_trained_queries(spark, name):
-    df = entry_points.queries()[name](spark, SF)
-    rows = df.collect()
-    assert rows
-    if name != "train_and_score":
-        assert 0 <= rows[0].f1 <= 1 and 0 < rows[0].majority_f1 <= 1
-    else:
-        assert sum(r.n for r in rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+def test_every_query_of_the_reference_has_its_sql():
+    own = [n for n in entry_points.queries() if not (n.startswith("op") or n == "pipeline")]
+    assert set(own) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastemap.operators.ranking import take_rows
-from tastemap.operators.sampling import split_by_hash, take_exact_fraction, take_fraction
+from tastemap.operators.sampling import (split_by_hash, take_exact_fraction,
+                                         take_exact_fractions, take_fraction)
 
 
 def ids(df, key="id"):
@@ -46,6 +47,12 @@ def test_exact_fraction(spark):
     assert take_exact_fraction(spark.range(1001), "id", 2, 3).count() == 667
 
 
+def test_many_fractions_from_one_slicing(spark, many_slices):
+    cuts = take_exact_fractions(spark.range(1001).repartition(4), "id", [(0, 5), (1, 5), (2, 3), (5, 5)])
+    assert [c.count() for c in cuts] == [0, 200, 667, 1001]
+    assert ids(cuts[1]) == list(range(200))
+
+
 def test_exact_rows_by_two_columns(spark, many_slices):
     rows = [(i % 3, f"t{i:03}") for i in range(300)]
     df = spark.createDataFrame(rows, "a int, b string")

@@ -7,9 +7,9 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tastemap.operators.sampling import split_by_hash
-from tastemap.operators.sentiment import (common_terms, feature_pipeline, load_model,
-                                          prepare_reviews, save_model, score_reviews,
-                                          token_stages, train_sentiment)
+from tastemap.operators.sentiment import (common_terms, count_stages, fit_classifier,
+                                          idf_weights, load_model, prepare_reviews, save_model,
+                                          score_reviews, term_counts, token_stages)
 from tastemap.plans import jobs
 
 GOOD, BAD = "Great tasty lovely food, friendly place!", "Awful cold dirty table; rude waiter 0/10."
@@ -63,11 +63,15 @@ def test_common_terms(spark):
 def test_document_frequencies(spark):
     texts = spark.createDataFrame([("1", "red fish", 5.0), ("2", "red bird", 1.0), ("3", "red", 1.0)],
                                   "review_id string, text string, stars double")
-    model = feature_pipeline(prepare_reviews(texts), num_features=1)
-    idf = model.stages[-1]
+    def fitted(width):
+        prepared = prepare_reviews(texts)
+        counts = count_stages(prepared, num_features=width)
+        return fit_classifier(term_counts(counts, prepared), max_iter=1).stages[0]
+
+    idf = fitted(1)
     assert isinstance(idf, IDFModel) and idf.numDocs == 3 and idf.docFreq == [3]
     assert idf.idf.toArray().tolist() == [math.log(4 / 4)]
-    wide = feature_pipeline(prepare_reviews(texts), num_features=1 << 12).stages[-1]
+    wide = fitted(1 << 12)
     weights = sorted(set(round(x, 9) for x in wide.idf.toArray()))
     assert weights == [0.0, round(math.log(4 / 2), 9), round(math.log(4), 9)]
 
@@ -89,11 +93,36 @@ def test_learns_and_survives_saving(spark, reviews, tmp_path, features):
 
 
 def test_vocabulary_is_the_commonest_terms(spark, reviews):
-    model = feature_pipeline(prepare_reviews(reviews), "count", vocabulary_size=5)
+    told = []
+    model = count_stages(prepare_reviews(reviews), "count", vocabulary_size=5,
+                         on_terms=lambda total, out: told.append((total, out)))
     words = model.stages[3].vocabulary
-    assert len(words) == 5
     tokens = PipelineModel(token_stages()).transform(prepare_reviews(reviews))
-    assert set(words) == {r.term for r in common_terms(tokens, 5).collect()}
+    expected = sorted((-r.n, r.term) for r in common_terms(tokens, 5).collect())
+    assert words == [term for _, term in expected] and len(words) == 5
+    total = tokens.selectExpr("explode(terms) AS t").distinct().count()
+    assert told == [(total, total - 5)]
+    again = count_stages(prepare_reviews(reviews.repartition(7)), "count", vocabulary_size=5)
+    assert again.stages[3].vocabulary == words
+
+
+def test_idf_of_every_term(spark):
+    tokens = spark.createDataFrame([(["a", "a", "b"],), (["a"],), ([],)], "terms array<string>")
+    got = {r.term: round(r.idf, 9) for r in idf_weights(tokens, 3).collect()}
+    assert got == {"a": round(math.log(4 / 3), 9), "b": round(math.log(4 / 2), 9)}
+
+
+def test_every_review_is_scored(spark, reviews):
+    model = jobs.train(reviews, num_features=64, max_iter=3).model
+    holed = reviews.withColumn("text", F.when(F.col("business_id") != "3", F.col("text")))
+    scored = score_reviews(model, holed)
+    assert scored.count() == 400
+    assert scored.where("predicted_sentiment IS NULL").count() == 40
+    assert scored.where("business_id = '3' AND predicted_sentiment IS NULL").count() == 40
+    assert scored.where("rating_sentiment IS NULL").count() == 0
+    whole = {(r.review_id, r.predicted_sentiment) for r in score_reviews(model, reviews).collect()}
+    assert {(r.review_id, r.predicted_sentiment) for r in
+            scored.where("predicted_sentiment IS NOT NULL").collect()} <= whole
 
 
 def test_frequencies_come_from_the_training_side_only(spark, reviews):
@@ -104,7 +133,7 @@ def test_frequencies_come_from_the_training_side_only(spark, reviews):
 
 
 def test_scores_keep_unrated_reviews(spark, reviews):
-    model = train_sentiment(prepare_reviews(reviews), num_features=64, max_iter=2)
+    model = jobs.train(reviews, num_features=64, max_iter=2).model
     some = reviews.withColumn("stars", F.when(F.col("business_id") == "1", F.col("stars")))
     scored = score_reviews(model, some)
     assert scored.columns == ["review_id", "business_id", "rating_sentiment", "predicted_sentiment"]
@@ -116,4 +145,4 @@ def test_scores_keep_unrated_reviews(spark, reviews):
 
 def test_unknown_features(spark, reviews):
     with pytest.raises(ValueError, match="bigrams"):
-        train_sentiment(prepare_reviews(reviews), "bigrams")
+        jobs.train(reviews, features="bigrams")
