@@ -23,13 +23,15 @@ FEATURES = ("length", "word_length", "symbols", "dup_lines", "repeats")
 # Least spread of each feature: none is taken to vary less among good texts.
 FLOORS = (0.5, 0.1, 0.4, 0.1, 0.1)
 # Share of the rows of a group that the estimate is concentrated on, and its steps.
-CORE = 0.75
+CORE = 0.5
 STEPS = 4
 # Rows a group needs for an estimate of its own; smaller ones take that of their language,
 # small languages that of all rows.
 LEAST_ROWS = 100
 # Chance at which a good text of normal features would be rejected.
 TAIL = 1e-7
+# Parts that a level's sums are formed in.
+PARTS = 64
 # Bins of a feature, and of the logarithm of a distance, to the unit.
 BINS = 128
 
@@ -176,22 +178,29 @@ def distance(names: list, center: str = "center", precision: str = "precision")
 
 def _concentrate(rows: DataFrame, estimate: DataFrame, names: list[str]) -> DataFrame:
     """Estimates by the nearest rows of each level."""
-    near = rows.join(estimate, "_level").withColumn("_d", distance(names))
     # Distances are cut into bins, so that the cut of a level is a sum over few counts.
-    near = near.withColumn("_bin", F.floor(F.ln(F.col("_d") + 1e-9) * BINS))
-    counts = near.groupBy("_level", "_bin").count()
+    place = F.floor(F.ln(distance(names) + 1e-9) * BINS)
+    counts = rows.join(estimate, "_level").groupBy("_level", place.alias("_bin")).count()
     order = Window.partitionBy("_level").orderBy("_bin")
     share = F.sum("count").over(order) / F.sum("count").over(Window.partitionBy("_level"))
     cuts = (counts.withColumn("share", share).groupBy("_level")
             .agg(F.min(F.when(F.col("share") >= CORE, F.col("_bin"))).alias("_cut")))
-    core = near.join(cuts, "_level").where("_bin <= _cut")
+    # Written out, so that its size is known: a join with more levels than can be sent out
+    # splits a large level, and its sums are formed in parts.
+    cuts = durable(estimate.join(cuts, "_level"))
+    core = (rows.join(cuts, "_level").where(place <= F.col("_cut"))
+            .withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(PARTS))))
     size = len(names)
     off = [F.col(x) - F.get("center", F.lit(i)) for i, x in enumerate(names)]
-    sums = core.groupBy("_level").agg(
+    products = {f"s{i}": o for i, o in enumerate(off)} | {
+        f"p{i}_{j}": off[i] * off[j] for i in range(size) for j in range(i, size)}
+    parts = core.groupBy("_level", "_part").agg(
         F.count(F.lit(1)).alias("n"), F.first("center").alias("center"),
-        F.array(*(F.sum(o) for o in off)).alias("first"),
-        F.array(*(F.sum(off[i] * off[j]) for i in range(size) for j in range(i, size)))
-        .alias("second"))
+        *(F.sum(p).alias(name) for name, p in products.items()))
+    sums = parts.groupBy("_level").agg(
+        F.sum("n").alias("n"), F.first("center").alias("center"),
+        F.array(*(F.sum(f"s{i}") for i in range(size))).alias("first"),
+        F.array(*(F.sum(p) for p in products if p.startswith("p"))).alias("second"))
     schema = "_level string, center array<double>, precision array<double>"
     return sums.mapInArrow(_moments, schema)
 
@@ -269,8 +278,9 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     among them, pass untouched. The statistics are computed where the texts are
     read, once for the fit and once for the verdict, so that no text is shuffled.
     """
-    fitted = fit(durable(with_statistics(docs, text_col, [lang_col, source_col])),
-                 lang_col, source_col)
-    judged = judge(with_statistics(docs, text_col, prefix="_q_"), durable(fitted),
-                   lang_col, source_col, "_q_")
-    return judged.where("_q_kept").select(*docs.columns)
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    text, lang, source = (names[docs.columns.index(c)] for c in (text_col, lang_col, source_col))
+    plain = docs.toDF(*names)
+    fitted = fit(durable(with_statistics(plain, text, [lang, source])), lang, source)
+    judged = judge(with_statistics(plain, text, prefix="_q_"), durable(fitted), lang, source, "_q_")
+    return judged.where("_q_kept").select(*names).toDF(*docs.columns)
