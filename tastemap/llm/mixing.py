@@ -216,14 +216,15 @@ def probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] | None
 
 
 def mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None,
-            keep: float = KEEP) -> tuple[DataFrame, Topics, DataFrame]:
+            keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text",
+            lang_col: str = "lang", source_col: str = "source") -> tuple[DataFrame, Topics, DataFrame]:
     """What :func:`with_topics` says of every document, the topics, and the probabilities.
 
     Tokens are words. Nulls are a source, language or text (without tokens) of their
     own; an empty table has no cells.
     """
-    topics = train_topics(docs)
-    rows = durable(with_topics(docs, topics, ["doc_id"]))
+    topics = train_topics(docs, text_col, lang_col)
+    rows = durable(with_topics(docs, topics, [id_col], id_col, text_col, lang_col, source_col))
     cells = durable(rows.groupBy(*(f"_{d}" for d in DIMENSIONS))
                     .agg(F.sum("_tokens").alias("tokens")))
     return rows, topics, durable(probabilities(cells, targets, keep))
@@ -242,6 +243,9 @@ def sample(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None,
     A row's draw depends on its id and text alone, so equal rows stay or go together.
     Texts are not shuffled: topics are found again where they are read.
     """
-    _, topics, chances = mixture(docs, targets, keep)
-    kept = judge(with_topics(docs, topics), chances).where("kept")
-    return kept.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    columns = [names[docs.columns.index(c)] for c in ("doc_id", "text", "lang", "source")]
+    plain = docs.toDF(*names)
+    _, topics, chances = mixture(plain, targets, keep, *columns)
+    kept = judge(with_topics(plain, topics, None, *columns), chances).where("kept")
+    return kept.select(*(f"_c{i}" for i in range(len(names)))).toDF(*docs.columns)
