@@ -1,0 +1,139 @@
+"""The queries of the subpackage as registered, and the pipeline."""
+
+from zlib import crc32
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from tastemap.llm import lines, mixing, outliers, queries, simhash
+from tastemap.llm.shared import components
+from tastemap.sources.durable import durable
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_all_are_registered():
+    names = list(queries.queries())
+    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 11)]
+    assert names[-1] == "pipeline"
+    assert queries.queries().items() <= entry_points.queries().items()
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "line dedup", "near dedup", "mixing", "packing"]
+    assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_urls_as_in_sql(spark):
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    query = queries.queries()["op4_bloom_urls"](spark, SF)
+    expected = connection.sql(queries.oracle_sql()["op4_bloom_urls"])
+    columns = sorted(query.columns)
+    assert columns == sorted(expected.columns)
+    rows = expected.project(", ".join(columns)).fetchall()
+    assert sorted(map(str, rows)) == sorted(str(tuple(r)) for r in query.select(*columns).collect())
+
+
+CONTRACTS = {
+    "op1_seekable_tokens": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint",
+                            "ids_crc32": "bigint"},
+    "op2_virtual_slots": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint",
+                          "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
+    "op3_pca_tiles": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint",
+                      "kept": "boolean"},
+    "op5_fuzzy_lines": {"doc_id": "bigint", "n_lines": "int", "n_removed": "int",
+                        "removed": "array<int>"},
+    "op6_gray_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op7_string_kernel": {"doc_id": "bigint", "held_out": "boolean", "score": "double",
+                          "predicted": "int"},
+    "op8_raked_mixture": {"doc_id": "bigint", "topic": "int", "n_tokens": "bigint",
+                          "probability": "double", "kept": "boolean"},
+    "op9_robust_outliers": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint",
+                            "n_symbols": "bigint", "n_dup_lines": "bigint",
+                            "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+    "op10_pattern_packing": {"doc_id": "bigint", "piece": "int", "start": "bigint",
+                             "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint",
+                             "offset": "bigint"},
+}
+
+
+@pytest.mark.parametrize("name", CONTRACTS)
+def test_columns_and_rows(spark, name):
+    found = queries.queries()[name](spark, SF)
+    types = dict(found.dtypes)
+    assert {c: types.get(c) for c in CONTRACTS[name]} == CONTRACTS[name]
+    source = "embeddings" if name.startswith("op3") else "documents"
+    rows = spark.read.parquet(f"{SF}/{source}.parquet").count()
+    if name == "op10_pattern_packing":
+        found = found.where("piece = 0")
+    assert found.count() == rows
+
+
+def test_held_out_toxicity(spark):
+    rows = queries.op7_string_kernel(spark, SF).collect()
+    assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
+
+
+def test_pipeline_against_its_parts(spark):
+    """Each stage on its own input, by the operators' verdicts; the last one in full."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = []
+    for name, stage in corpus_pipeline.STAGES:
+        stages.append(durable(stage(spark, docs if not stages else stages[-1], SF)))
+    good, unique, single, mixed, packed = stages
+    for df in stages[:-1]:
+        assert df.columns == docs.columns
+
+    rows = durable(outliers.with_statistics(docs, keep=["doc_id", "lang", "source"]))
+    verdict = outliers.judge(rows, outliers.fit(rows))
+    kept = {r.doc_id for r in verdict.where("kept").collect()}
+    assert sorted(map(tuple, good.collect())) == sorted(
+        tuple(r) for r in docs.collect() if r.doc_id in kept)
+
+    gone = {r.doc_id: (set(r.removed), r.n_lines) for r in lines.duplicate_lines(good).collect()}
+    expected = {}
+    for row in good.collect():
+        removed, n = gone[row.doc_id]
+        if len(removed) < n or not n:
+            expected[row.doc_id] = "\n".join(
+                line for i, line in enumerate(row.text.split("\n")) if i not in removed)
+    assert {r.doc_id: r.text for r in unique.collect()} == expected
+    assert all(r.n_chars == len(r.text) for r in unique.collect())
+
+    classes = {r.component_id for r in simhash.near_duplicates(unique).collect()}
+    assert {r.doc_id for r in single.collect()} == classes
+
+    tokens, _, chances = mixing.mixture(single)
+    chosen = {r["_c0"] for r in mixing.judge(tokens, chances).where("kept").collect()}
+    assert {r.doc_id for r in mixed.collect()} == chosen
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = {}
+    for row in mixed.collect():
+        ids = np.array([*tokenizer.encode(row.text, add_special_tokens=False).ids, 1], "<u4")
+        for piece, at in enumerate(range(0, len(ids), 4096)):
+            pieces[row.doc_id, piece] = crc32(ids[at:at + 4096].tobytes())
+    assert {(r.doc_id, r.piece): r.ids_crc32 for r in packed.collect()} == pieces
+    assert corpus_pipeline.run(spark, SF).count() == packed.count()
+
+
+def test_an_empty_table_runs_through(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] \
+        + [(200, 201), (201, 200), (201, 201), (300, 300), (-5, 139), (-7, -5)]
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    expected = {i: 0 for i in range(61)} | {i: -7 for i in (-7, -5, *range(100, 140))} \
+        | {200: 200, 201: 200}
+    assert {r.node: r.component for r in found} == expected and len(found) == len(expected)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
