@@ -18,13 +18,19 @@ from tastemap.sources.durable import durable
 
 # Characters in a shingle. Long lines of one language share most shorter ones by chance.
 SHINGLE = 8
-# Bands of so many hashes: a pair of similarity 0.8 shares a band with chance 0.9998.
+# Bands of so many hashes, a byte of each kept: a pair of similarity 0.8 shares a band with
+# chance 0.9998.
 BANDS, ROWS = 16, 4
 THRESHOLD = 0.8
+# Equal bytes that a pair's signatures need to be verified. At similarity 0.8 one pair in
+# some 30,000 has fewer.
+LEAST_EQUAL = 38
+# Lines of a bucket compared in one go; a larger bucket is cut into tiles of this many.
+TILE = 1024
 # Characters hashed at once.
 CHUNK = 1 << 19
 
-LINE_SCHEMA = "doc_id long, doc binary, line int, digest binary, bands array<long>, n_lines int"
+LINE_SCHEMA = "doc_id long, doc binary, line int, digest binary, signature binary, n_lines int"
 
 
 def normal_lines(text: bytes | None) -> list[bytes]:
@@ -40,14 +46,14 @@ def shingles(line: str) -> set[str]:
     return {line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """MinHash bands of each line: the band's number and 32 bits of its hashes."""
-    found = np.empty((len(lines), BANDS), np.int64)
+def signatures(lines: list[str]) -> np.ndarray:
+    """MinHash signature of each line: a byte of each of its hashes."""
+    found = np.empty((len(lines), BANDS * ROWS), np.uint8)
     first, size = 0, 0
     for i, line in enumerate(lines):
         size += len(line)
         if size >= CHUNK or i + 1 == len(lines):
-            found[first:i + 1] = _band_keys(lines[first:i + 1])
+            found[first:i + 1] = _signatures(lines[first:i + 1])
             first, size = i + 1, 0
     return found
 
@@ -57,7 +63,7 @@ def _multipliers(n: int) -> np.ndarray:
     return np.random.default_rng(8).integers(0, 1 << 31, n, dtype=np.uint32) * 2 + 1
 
 
-def _band_keys(lines: list[str]) -> np.ndarray:
+def _signatures(lines: list[str]) -> np.ndarray:
     padded = [line.ljust(SHINGLE, "\0") for line in lines]
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -77,22 +83,15 @@ def _band_keys(lines: list[str]) -> np.ndarray:
         inside[ends[:-1] - step] = False
     hashes = hashes[inside]
     starts = np.r_[0, np.cumsum(sizes - SHINGLE + 1)[:-1]]
-    keys = np.empty((len(lines), BANDS), np.int64)
-    factors = _multipliers(BANDS * ROWS)
-    for band in range(BANDS):
-        total = np.zeros(len(lines), np.uint64)
-        for factor in factors[band * ROWS:(band + 1) * ROWS]:
-            least = np.minimum.reduceat(hashes * factor, starts)
-            total = (total ^ least) * np.uint64(0x9E3779B97F4A7C15)
-            total ^= total >> np.uint64(31)
-        keys[:, band] = (total >> np.uint64(32)).astype(np.int64) | band << 32
-    return keys
+    # The low byte of the least hash is as good as any.
+    return np.stack([(np.minimum.reduceat(hashes * factor, starts) & 0xFF).astype(np.uint8)
+                     for factor in _multipliers(BANDS * ROWS)], axis=1)
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per line that is not blank, and one without a line per document."""
-    names = ["doc_id", "doc", "line", "digest", "bands", "n_lines"]
-    types = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32()]
+    names = ["doc_id", "doc", "line", "digest", "signature", "n_lines"]
+    types = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int32()]
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             some = batch.slice(at, 256)
@@ -109,9 +108,10 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             column.append(value)
                 for column, value in zip(columns, (doc_id, doc, None, None, None, n)):
                     column.append(value)
-            # Each distinct line of these documents gives its bands at its first place only.
-            keys = dict(zip(new, band_keys([line.decode() for line in new.values()])))
-            columns[4] = [keys.pop(digest, None) for digest in columns[3]]
+            # Each distinct line of these documents has its signature at its first place only.
+            found = signatures([line.decode() for line in new.values()])
+            at_first = {digest: row.tobytes() for digest, row in zip(new, found)}
+            columns[4] = [at_first.pop(digest, None) for digest in columns[3]]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
@@ -126,8 +126,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first keeps lines. Blank lines stay. Null and empty texts have no lines; an
     empty table gives no rows.
 
-    Every pair of lines in a bucket is decided: all against the first, and those
-    that differ from it against all others of their bucket.
+    Lines that share a band are compared inside the task that holds their bucket; only
+    the links that connect it come out, so no pairs are written.
     """
     ship_code(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
@@ -136,9 +136,9 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     places = rows.where("digest IS NOT NULL")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc", "line")
     different = places.groupBy("digest").agg(
-        F.min(place).alias("first"), F.max("bands").alias("bands"))
+        F.min(place).alias("first"), F.max("signature").alias("signature"))
     different = durable(different.withColumn("node", F.monotonically_increasing_id()))
-    grouped = components(_linked(texts, different))
+    grouped = components(_links(texts, different))
     nodes = (different.select("digest", "first", "node").join(grouped, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     stays = nodes.groupBy("component").agg(F.min("first").alias("stays"))
@@ -159,45 +159,124 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         removed, F.array().cast("array<int>")).alias("removed"))
 
 
-def _linked(texts: DataFrame, different: DataFrame) -> DataFrame:
-    """Verified edges ``(a, b)`` between distinct lines."""
-    keyed = different.select("node", F.explode("bands").alias("key"))
+def _links(texts: DataFrame, different: DataFrame) -> DataFrame:
+    """Verified edges ``(a, b)`` that connect the lines that links connect."""
+    keyed = different.select("node", "signature").mapInArrow(_band_keys, "key long, node long")
     in_order = keyed.repartition("key").sortWithinPartitions("key", "node")
-    buckets = durable(in_order.mapInArrow(_bucket_pairs, "key long, a long, b long"))
-    members = (buckets.select("a").union(buckets.select("b")).distinct()
-               .withColumnRenamed("a", "node"))
-    wanted = durable(different.select("node", "digest").join(members, "node"))
-    line_texts = durable(_texts_of(texts, wanted))
-    stars = durable(_verified(buckets.select("a", "b").distinct(), line_texts))
-    # A line unlike the first of its bucket may still be like another one.
-    unlike = buckets.join(stars.where("NOT near").select("a", "b"), ["a", "b"])
-    others = (unlike.select("key", F.col("b").alias("x"))
-              .join(buckets.select("key", F.col("b").alias("y")), "key").where("x <> y")
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    more = _verified(others.join(stars, ["a", "b"], "left_anti"), line_texts)
-    return stars.where("near").select("a", "b").unionByName(more.where("near").select("a", "b"))
-
-
-def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each member of a bucket with the bucket's first, from rows in the order of buckets."""
-    key, head = None, None
+    members = durable(in_order.mapInArrow(_shared_buckets, "key long, tile int, node long"))
+    wanted = durable(different.select("node", "digest", "signature")
+                     .join(members.select("node").distinct(), "node"))
+    lines = durable(_texts_of(texts, wanted))
+    # Each tile of a large bucket meets itself and every other one.
+    large = members.where("tile > 0").groupBy("key").agg(F.max("tile").alias("last"))
+    placed = members.join(large, "key", "left").withColumn("other", F.explode(
+        F.sequence(F.lit(0), F.coalesce("last", F.lit(0)))))
+    rows = (placed.join(lines, "node")
+            .select("key", F.least("tile", "other").alias("one"),
+                    F.greatest("tile", "other").alias("two"), "tile", "node", "signature", "line")
+            .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two"))
+    return rows.mapInArrow(_bucket_links, "a long, b long").distinct()
+
+
+def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets of each line: the number of a band and the line's bytes there."""
+    for batch in batches:
+        nodes = batch.column("node").to_numpy()
+        raw = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u4")
+        keys = raw.reshape(-1, BANDS).astype(np.int64) | np.arange(BANDS) << 32
+        yield pa.record_batch([pa.array(keys.ravel()), pa.array(np.repeat(nodes, BANDS))],
+                              ["key", "node"])
+
+
+def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of buckets of two or more, in tiles, from rows in the order of buckets."""
+    key, size, alone = None, 0, None
     for batch in batches:
         keys, nodes = batch.column("key").to_numpy(), batch.column("node").to_numpy()
         if not len(keys):
             continue
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        heads = nodes[starts]
-        if keys[0] == key:
-            heads = np.r_[head, heads[1:]]
-        heads = np.repeat(heads, np.diff(np.r_[starts, len(keys)]))
-        key, head = keys[-1], heads[-1]
-        pair = heads != nodes
-        yield pa.record_batch([pa.array(keys[pair]), pa.array(heads[pair]),
-                               pa.array(nodes[pair])], ["key", "a", "b"])
+        sizes = np.diff(np.r_[starts, len(keys)])
+        place = np.arange(len(keys)) - np.repeat(starts, sizes)
+        shared = np.repeat(sizes > 1, sizes)
+        if keys[0] == key:  # the bucket began in the last batch
+            place[:sizes[0]] += size
+            shared[:sizes[0]] = True
+            sizes[0] += size
+            if alone is not None:
+                yield _members([key], [0], [alone])
+        key, size = keys[-1], int(sizes[-1])
+        alone = nodes[-1] if size == 1 else None
+        yield _members(keys[shared], place[shared] // TILE, nodes[shared])
+
+
+def _members(keys, tiles, nodes) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(keys, pa.int64()), pa.array(tiles, pa.int32()),
+                            pa.array(nodes, pa.int64())], ["key", "tile", "node"])
+
+
+def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges that connect each bucket, or pair of tiles, whose rows come together."""
+    rows, here, found = [], None, []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in (
+                "key", "one", "two", "tile", "node", "signature", "line"))):
+            if row[:3] != here:
+                found += _connected(rows)
+                rows, here = [], row[:3]
+            rows.append(row)
+        if found:
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+            found = []
+    found = _connected(rows)
+    if found:
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+
+def _connected(rows: list[tuple]) -> list[tuple[int, int]]:
+    """Verified links of the lines of a bucket that are needed to connect it.
+
+    A pair is compared in the first bucket that it shares, if its signatures are
+    alike enough and no link connects it yet.
+    """
+    if len(rows) < 2:
+        return []
+    key, one, two = rows[0][:3]
+    signature = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(len(rows), -1)
+    bands = signature.view("<u4")
+    tile = np.array([r[3] for r in rows])
+    head, links, known = list(range(len(rows))), [], {}
+
+    def find(i):
+        while head[i] != i:
+            head[i] = head[head[i]]
+            i = head[i]
+        return i
+
+    def shingles_of(i):
+        if i not in known:
+            known[i] = shingles(rows[i][6])
+        return known[i]
+
+    for i in range(len(rows) - 1):
+        alike = (signature[i + 1:] == signature[i]).sum(axis=1) >= LEAST_EQUAL
+        alike &= (bands[i + 1:] == bands[i]).argmax(axis=1) == key >> 32
+        if one != two:
+            alike &= tile[i + 1:] != tile[i]
+        for j in (i + 1 + np.flatnonzero(alike)).tolist():
+            a, b = find(i), find(j)
+            if a == b:
+                continue
+            x, y = shingles_of(i), shingles_of(j)
+            common = len(x & y)
+            if common >= THRESHOLD * (len(x) + len(y) - common):
+                head[max(a, b)] = min(a, b)
+                links.append((rows[i][4], rows[j][4]))
+    return links
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, line``: the text of the wanted lines, from a second reading of the documents.
+    """``node, signature, line``: the text of the wanted lines, from a second reading.
 
     A blocked Bloom filter passes over nearly all other lines where they are read.
     """
@@ -219,32 +298,8 @@ def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
     found = texts.select("text").mapInArrow(pick, "digest binary, line binary")
     return (found.join(wanted, "digest").groupBy("node")
-            .agg(F.first("line").cast("string").alias("line")))
-
-
-def _verified(pairs: DataFrame, line_texts: DataFrame) -> DataFrame:
-    """``pairs`` with ``near``: whether their shingles reach the threshold."""
-    one = line_texts.select(F.col("node").alias("a"), F.col("line").alias("line_a"))
-    two = line_texts.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
-    joined = pairs.select("a", "b").join(one, "a").join(two, "b")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, lines_a, lines_b = (batch.column(c) for c in ("a", "b", "line_a", "line_b"))
-            known: dict[int, set[str]] = {}
-            near = []
-            for i, j, x, y in zip(a.to_pylist(), b.to_pylist(), lines_a.to_pylist(),
-                                  lines_b.to_pylist()):
-                if len(known) > 256:
-                    known.clear()
-                for node, line in ((i, x), (j, y)):
-                    if node not in known:
-                        known[node] = shingles(line)
-                common = len(known[i] & known[j])
-                near.append(common >= THRESHOLD * (len(known[i]) + len(known[j]) - common))
-            yield pa.record_batch([a, b, pa.array(near, pa.bool_())], ["a", "b", "near"])
-
-    return joined.mapInArrow(verify, "a long, b long, near boolean")
+            .agg(F.first("signature").alias("signature"),
+                 F.first("line").cast("string").alias("line")))
 
 
 def keep_first_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
