@@ -8,7 +8,6 @@ so that scoring a text costs a look-up per triple.
 """
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -195,18 +194,22 @@ def train(rows: list[tuple[str, int]], seed: int = 0) -> Machine:
 def _counts(words: Words, y: np.ndarray) -> list[tuple[bytes, float, float, float]]:
     """Of each word of three letters or more: its share of toxic and of clean sentences, and
     by how many standard errors the first is higher."""
-    there = {(t, s) for t, s, n in zip(words.text.tolist(), words.strings(), words.length) if n > 2}
-    toxic, clean = Counter(), Counter()
-    for text, string in there:
-        (toxic if y[text] > 0 else clean)[string] += 1
+    strings = words.strings()
+    different = {s: i for i, s in enumerate(sorted({s for s in strings if len(s) > 2}))}
+    number = np.fromiter((different.get(s, -1) for s in strings), np.int64, len(strings))
+    # A word counts once a sentence.
+    pairs = np.unique(words.text[number >= 0].astype(np.int64) * len(different)
+                      + number[number >= 0])
+    sentence, word = np.divmod(pairs, max(1, len(different)))
+    toxic, clean = (np.bincount(word[y[sentence] == side], minlength=len(different))
+                    for side in (1, -1))
     n1, n0 = int((y > 0).sum()), int((y < 0).sum())
-    found = []
-    for string in sorted(toxic.keys() | clean.keys()):
-        a, b = toxic[string] / n1, clean[string] / n0
-        share = (toxic[string] + clean[string]) / (n1 + n0)
-        error = (share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12) ** 0.5
-        found.append((string, a, max(b, 0.5 / n0) if a else b, (a - b) / error))
-    return found
+    share = (toxic + clean) / (n1 + n0)
+    error = np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
+    a, b = toxic / n1, clean / n0
+    errors = (a - b) / error
+    b = np.where(toxic > 0, np.maximum(b, 0.5 / n0), b)
+    return list(zip(different, a.tolist(), b.tolist(), errors.tolist()))
 
 
 def _landmarks(counts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -246,7 +249,7 @@ def _features(strings: list[bytes], kernel: np.ndarray, triples: np.ndarray) ->
     place, at, weight = place[known], at[known], weight[known]
     order = np.argsort(place, kind="stable")
     place, at, weight = place[order], at[order], weight[order]
-    features = np.zeros((len(strings), kernel.shape[1]))
+    features = np.zeros((len(strings), kernel.shape[1]), np.float32)
     for first in range(0, len(place), 1 << 16):
         part = slice(first, first + (1 << 16))
         rows, where = np.unique(place[part], return_index=True)
@@ -281,8 +284,8 @@ def _learn(counts: list, kernel: np.ndarray, triples: np.ndarray,
 def linear_svm(x: np.ndarray, y: np.ndarray, random: np.random.Generator,
                cost: float = 1.0) -> tuple[np.ndarray, float]:
     """Support vector machine with squared hinge loss, by dual coordinate descent."""
-    x = np.c_[x, np.ones(len(x))]
-    size = (x * x).sum(axis=1) + 1 / (2 * cost)
+    x = np.c_[x, np.ones(len(x), x.dtype)]
+    size = np.einsum("ij,ij->i", x, x) + 1 / (2 * cost)
     alpha, w = np.zeros(len(x)), np.zeros(x.shape[1])
     for _ in range(EPOCHS):
         for i in random.permutation(len(x)):
