@@ -1,8 +1,9 @@
 """Token ids in files of independent zstandard frames with a trailing seek table.
 
 A file is a sequence of zstandard frames, each with the ids of one document (of a
-very long one: several frames in a row) as little-endian unsigned 32-bit integers;
-then a skippable frame with the documents of the file; then a skippable frame with
+very long one: several frames in a row) as little-endian unsigned integers, of 16
+bits if all ids of the vocabulary fit, else of 32; then a skippable frame with the
+documents of the file and that width; then a skippable frame with
 the seek table: compressed size, size and checksum of each frame. Any zstandard
 reader decompresses the file as a whole, and a reader that knows the seek table
 decompresses only the documents it is asked for.
@@ -53,6 +54,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
     """
     ship_code(docs.sparkSession)
     folder = folder or scratch_path(docs.sparkSession, "tokens")
+    ids_used = max(encoder(tokenizer).tokenizer.get_vocab_size(), end_id + 1)
+    width = "<u2" if ids_used <= 1 << 16 else "<u4"
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.monotonically_increasing_id().alias("row"),
                         F.col(text_col).cast("binary").alias("text"))
@@ -63,13 +66,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
         for batch in batches:
             for some in _slices(batch):
                 texts = [t + end for t in encode_texts(some.column("text").to_pylist())]
-                yield _frames(some, texts, packer)
+                yield _frames(some, texts, packer, width)
 
     # Written out, since the range bounds below are sampled in a run of their own.
     frames = durable(texts.mapInArrow(encode, FRAME_SCHEMA))
     in_order = (frames.repartitionByRange("doc_id", "row")
                 .sortWithinPartitions("doc_id", "row", "part"))
-    files = durable(in_order.mapInArrow(lambda batches: _write_file(batches, folder), FILE_SCHEMA))
+    files = durable(in_order.mapInArrow(lambda batches: _write_file(batches, folder, width), FILE_SCHEMA))
     before = Window.orderBy("doc_id", "row").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
@@ -99,13 +102,14 @@ def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(first, rows)
 
 
-def _frames(batch: pa.RecordBatch, ids: list[bytes], packer) -> pa.RecordBatch:
+def _frames(batch: pa.RecordBatch, ids: list[bytes], packer, width: str) -> pa.RecordBatch:
     columns = [[] for _ in range(6)]
     for doc, row, data in zip(batch.column("doc_id").to_pylist(),
                               batch.column("row").to_pylist(), ids):
         for part, first in enumerate(range(0, len(data), 4 * FRAME_IDS)):
-            raw = data[first:first + 4 * FRAME_IDS]
-            values = (doc, row, part, len(raw) // 4, xxh64_intdigest(raw) & 0xFFFFFFFF,
+            some = np.frombuffer(data[first:first + 4 * FRAME_IDS], "<u4").astype(width)
+            raw = some.tobytes()
+            values = (doc, row, part, len(some), xxh64_intdigest(raw) & 0xFFFFFFFF,
                       packer.compress(raw))
             for column, value in zip(columns, values):
                 column.append(value)
@@ -118,7 +122,8 @@ def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def _write_file(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def _write_file(batches: Iterator[pa.RecordBatch], folder: str,
+                width: str) -> Iterator[pa.RecordBatch]:
     """One file of the sorted frames of a task, under a name of its own."""
     path, out, first = f"{folder}/{uuid.uuid4().hex}.zst", None, None
     sizes, documents = [], []
@@ -133,12 +138,12 @@ def _write_file(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.R
             if part == 0:
                 documents.append([doc, len(sizes), 0])
             documents[-1][2] += n
-            sizes.append((len(frame), 4 * n, checksum))
+            sizes.append((len(frame), np.dtype(width).itemsize * n, checksum))
             out.write(frame)
     if out is None:
         return
     with out:
-        out.write(_document_frame(documents))
+        out.write(_document_frame(documents, width))
         out.write(_seek_frame(sizes))
     total = sum(d[2] for d in documents)
     yield pa.record_batch([pa.array([path]), pa.array([first[0]], pa.int64()),
@@ -146,10 +151,11 @@ def _write_file(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.R
                           ["path", "doc_id", "row", "n_ids"])
 
 
-def _document_frame(documents: list) -> bytes:
+def _document_frame(documents: list, width: str) -> bytes:
     """Id, first frame and ids of each document as an Arrow table, its size after it."""
     columns = list(zip(*documents))
     found = pa.table([pa.array(c, pa.int64()) for c in columns], ["doc_id", "frame", "n_ids"])
+    found = found.replace_schema_metadata({"width": width})
     sink = io.BytesIO()
     with pa.ipc.new_stream(sink, found.schema) as writer:
         writer.write_table(found)
@@ -179,6 +185,7 @@ class TokenFile:
         (length,) = struct.unpack("<Q", self.file.read_at(8, table - 16))
         body = self.file.read_at(length, table - 16 - length)
         self.documents = pa.ipc.open_stream(body).read_all()
+        self.width = self.documents.schema.metadata[b"width"].decode()
         self.unpacker = zstandard.ZstdDecompressor()
 
     def __enter__(self):
@@ -188,7 +195,7 @@ class TokenFile:
         self.file.close()
 
     def frame(self, number: int) -> bytes:
-        """Ids of one frame; a wrong checksum is an error."""
+        """The bytes of one frame; a wrong checksum is an error."""
         packed, size, checksum = map(int, self.sizes[number])
         data = self.file.read_at(packed, int(self.offsets[number]))
         raw = self.unpacker.decompress(data, max_output_size=size)
@@ -201,7 +208,8 @@ class TokenFile:
         frames = self.documents.column("frame")
         first = frames[place].as_py()
         last = frames[place + 1].as_py() if place + 1 < len(frames) else len(self.sizes)
-        return np.frombuffer(b"".join(map(self.frame, range(first, last))), "<u4")
+        raw = b"".join(map(self.frame, range(first, last)))
+        return np.frombuffer(raw, self.width).astype("<u4")
 
     def digests(self, start: int, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
         n = self.documents.column("n_ids").to_numpy()
