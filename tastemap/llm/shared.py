@@ -113,14 +113,15 @@ def components(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each larger neighbour of a node is linked to the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    # Written out: a join of two plain shuffles can split the rows of a hub.
+    least = durable(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
     return (both.where("v > u").join(least, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = durable(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"),
                                                          F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
