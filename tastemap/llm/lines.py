@@ -23,8 +23,8 @@ SHINGLE = 8
 BANDS, ROWS = 16, 4
 THRESHOLD = 0.8
 # Equal bytes that a pair's signatures need to be verified. At similarity 0.8 one pair in
-# some 30,000 has fewer.
-LEAST_EQUAL = 38
+# some 2,000 has fewer, at 0.85 one in a million.
+LEAST_EQUAL = 41
 # Lines of a bucket compared in one go; a larger bucket is cut into tiles of this many.
 TILE = 1024
 # Characters hashed at once.
@@ -136,10 +136,15 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     places = rows.where("digest IS NOT NULL")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc", "line")
     different = places.groupBy("digest").agg(
-        F.min(place).alias("first"), F.max("signature").alias("signature"))
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("first"),
+        F.max("signature").alias("signature"))
     different = durable(different.withColumn("node", F.monotonically_increasing_id()))
-    grouped = components(_links(texts, different))
-    nodes = (different.select("digest", "first", "node").join(grouped, "node", "left")
+    members, shared = _members_of_buckets(different)
+    grouped = components(_links(texts, members, shared))
+    # A line that stands once and shares no bucket stays: it goes through no join.
+    repeated = different.where("n > 1").select("digest", "first", "node").unionByName(
+        shared.where("n = 1").select("digest", "first", "node"))
+    nodes = (repeated.join(grouped, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     stays = nodes.groupBy("component").agg(F.min("first").alias("stays"))
     nodes = nodes.join(stays, "component").select("digest", "stays.doc", "stays.line")
@@ -147,25 +152,42 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gone = (places.select("doc", "line", "digest").join(nodes, "digest")
             .where("doc <> stays_doc OR line <> stays_line")
             .groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("removed")))
-    whole = (places.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("every")))
     copies = rows.where("n_lines IS NOT NULL").select(
         "doc", "doc_id", "n_lines",
         F.row_number().over(Window.partitionBy("doc").orderBy("doc_id")).alias("copy"))
-    repeated = copies.where("copy > 1").select("doc").distinct()
-    found = (copies.join(gone, "doc", "left")
-             .join(whole.join(repeated, "doc", "left_semi"), "doc", "left"))
+    twice = durable(copies.where("copy = 2").select("doc"))
+    every = (places.select("doc", "line").join(twice, "doc")
+             .groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("every")))
+    found = copies.join(gone, "doc", "left").join(every, "doc", "left")
     removed = F.when(F.col("copy") > 1, F.col("every")).otherwise(F.col("removed"))
     return found.select("doc", "copy", "doc_id", "n_lines", F.coalesce(
         removed, F.array().cast("array<int>")).alias("removed"))
 
 
-def _links(texts: DataFrame, different: DataFrame) -> DataFrame:
-    """Verified edges ``(a, b)`` that connect the lines that links connect."""
+def _members_of_buckets(different: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, tile, node`` of buckets with two lines or more, and those lines."""
     keyed = different.select("node", "signature").mapInArrow(_band_keys, "key long, node long")
     in_order = keyed.repartition("key").sortWithinPartitions("key", "node")
     members = durable(in_order.mapInArrow(_shared_buckets, "key long, tile int, node long"))
-    wanted = durable(different.select("node", "digest", "signature")
-                     .join(members.select("node").distinct(), "node"))
+    nodes = durable(members.select("node").distinct())
+    bloom = different.sparkSession.sparkContext.broadcast(build_filter(
+        nodes.select(F.xxhash64("node").alias("key"))))
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = may_contain(bloom.value, batch.column("_key").to_numpy())
+            yield batch.drop_columns(["_key"]).filter(pa.array(hit))
+
+    # Most lines share no bucket; a blocked Bloom filter passes over nearly all of them
+    # before the join moves any row.
+    some = (different.withColumn("_key", F.xxhash64("node"))
+            .mapInArrow(possible, different.schema))
+    return members, durable(some.join(nodes, "node"))
+
+
+def _links(texts: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame:
+    """Verified edges ``(a, b)`` that connect the lines that links connect."""
+    wanted = shared.select("node", "digest", "signature")
     lines = durable(_texts_of(texts, wanted))
     # Each tile of a large bucket meets itself and every other one.
     large = members.where("tile > 0").groupBy("key").agg(F.max("tile").alias("last"))
