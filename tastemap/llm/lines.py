@@ -4,7 +4,7 @@ Equal lines are one line from the start, so a line that a third of all documents
 share costs one row per task and occurrence, and is compared once.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -164,11 +164,14 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         removed, F.array().cast("array<int>")).alias("removed"))
 
 
-def _members_of_buckets(different: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _members_of_buckets(different: DataFrame,
+                        tile: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``key, tile, node`` of buckets with two lines or more, and those lines."""
+    tile = tile or TILE
     keyed = different.select("node", "signature").mapInArrow(_band_keys, "key long, node long")
     in_order = keyed.repartition("key").sortWithinPartitions("key", "node")
-    members = durable(in_order.mapInArrow(_shared_buckets, "key long, tile int, node long"))
+    members = durable(in_order.mapInArrow(lambda batches: _shared_buckets(batches, tile),
+                                          "key long, tile int, node long"))
     nodes = durable(members.select("node").distinct())
     bloom = different.sparkSession.sparkContext.broadcast(build_filter(
         nodes.select(F.xxhash64("node").alias("key"))))
@@ -185,10 +188,15 @@ def _members_of_buckets(different: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, durable(some.join(nodes, "node"))
 
 
-def _links(texts: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame:
-    """Verified edges ``(a, b)`` that connect the lines that links connect."""
+def _links(texts: DataFrame, members: DataFrame, shared: DataFrame,
+           units: Callable = normal_lines, sets: Callable = shingles,
+           least_equal: int = LEAST_EQUAL) -> DataFrame:
+    """Verified edges ``(a, b)`` that connect the lines that links connect.
+
+    ``units`` gives what is compared in a text, ``sets`` the shingles of one.
+    """
     wanted = shared.select("node", "digest", "signature")
-    lines = durable(_texts_of(texts, wanted))
+    lines = durable(_texts_of(texts, wanted, units))
     # Each tile of a large bucket meets itself and every other one.
     large = members.where("tile > 0").groupBy("key").agg(F.max("tile").alias("last"))
     placed = members.join(large, "key", "left").withColumn("other", F.explode(
@@ -197,7 +205,8 @@ def _links(texts: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame
             .select("key", F.least("tile", "other").alias("one"),
                     F.greatest("tile", "other").alias("two"), "tile", "node", "signature", "line")
             .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two"))
-    return rows.mapInArrow(_bucket_links, "a long, b long").distinct()
+    return rows.mapInArrow(lambda batches: _bucket_links(batches, sets, least_equal),
+                           "a long, b long").distinct()
 
 
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,13 +214,16 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         nodes = batch.column("node").to_numpy()
         raw = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u4")
-        keys = raw.reshape(-1, BANDS).astype(np.int64) | np.arange(BANDS) << 32
-        yield pa.record_batch([pa.array(keys.ravel()), pa.array(np.repeat(nodes, BANDS))],
+        bands = len(raw) // max(1, len(nodes))
+        keys = raw.reshape(len(nodes), bands).astype(np.int64) | np.arange(bands) << 32
+        yield pa.record_batch([pa.array(keys.ravel()), pa.array(np.repeat(nodes, bands))],
                               ["key", "node"])
 
 
-def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shared_buckets(batches: Iterator[pa.RecordBatch],
+                    tile: int | None = None) -> Iterator[pa.RecordBatch]:
     """Members of buckets of two or more, in tiles, from rows in the order of buckets."""
+    tile = tile or TILE
     key, size, alone = None, 0, None
     for batch in batches:
         keys, nodes = batch.column("key").to_numpy(), batch.column("node").to_numpy()
@@ -229,7 +241,7 @@ def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 yield _members([key], [0], [alone])
         key, size = keys[-1], int(sizes[-1])
         alone = nodes[-1] if size == 1 else None
-        yield _members(keys[shared], place[shared] // TILE, nodes[shared])
+        yield _members(keys[shared], place[shared] // tile, nodes[shared])
 
 
 def _members(keys, tiles, nodes) -> pa.RecordBatch:
@@ -237,25 +249,27 @@ def _members(keys, tiles, nodes) -> pa.RecordBatch:
                             pa.array(nodes, pa.int64())], ["key", "tile", "node"])
 
 
-def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_links(batches: Iterator[pa.RecordBatch], sets: Callable,
+                  least_equal: int) -> Iterator[pa.RecordBatch]:
     """Edges that connect each bucket, or pair of tiles, whose rows come together."""
     rows, here, found = [], None, []
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in (
                 "key", "one", "two", "tile", "node", "signature", "line"))):
             if row[:3] != here:
-                found += _connected(rows)
+                found += _connected(rows, sets, least_equal)
                 rows, here = [], row[:3]
             rows.append(row)
         if found:
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
             found = []
-    found = _connected(rows)
+    found = _connected(rows, sets, least_equal)
     if found:
         yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
 
-def _connected(rows: list[tuple]) -> list[tuple[int, int]]:
+def _connected(rows: list[tuple], sets: Callable = shingles,
+               least_equal: int = LEAST_EQUAL) -> list[tuple[int, int]]:
     """Verified links of the lines of a bucket that are needed to connect it.
 
     A pair is compared in the first bucket that it shares, if its signatures are
@@ -277,11 +291,11 @@ def _connected(rows: list[tuple]) -> list[tuple[int, int]]:
 
     def shingles_of(i):
         if i not in known:
-            known[i] = shingles(rows[i][6])
+            known[i] = sets(rows[i][6])
         return known[i]
 
     for i in range(len(rows) - 1):
-        alike = (signature[i + 1:] == signature[i]).sum(axis=1) >= LEAST_EQUAL
+        alike = (signature[i + 1:] == signature[i]).sum(axis=1) >= least_equal
         alike &= (bands[i + 1:] == bands[i]).argmax(axis=1) == key >> 32
         if one != two:
             alike &= tile[i + 1:] != tile[i]
@@ -297,7 +311,7 @@ def _connected(rows: list[tuple]) -> list[tuple[int, int]]:
     return links
 
 
-def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def _texts_of(texts: DataFrame, wanted: DataFrame, units: Callable) -> DataFrame:
     """``node, signature, line``: the text of the wanted lines, from a second reading.
 
     A blocked Bloom filter passes over nearly all other lines where they are read.
@@ -309,7 +323,7 @@ def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 lines = {line for text in batch.slice(at, 256).column("text").to_pylist()
-                         for line in normal_lines(text) if line}
+                         for line in units(text) if line}
                 lines = list(lines)
                 digests = list(map(xxh3_128_digest, lines))
                 keys = np.array([xxh64_intdigest(d, 42) for d in digests], np.uint64)

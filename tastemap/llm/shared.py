@@ -62,6 +62,15 @@ def with_row_key(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     return wide.mapInArrow(key, schema), names
 
 
+def rows_that_stay(docs: DataFrame, stays: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose :func:`row_key` is in ``_doc`` of ``stays``, each key once."""
+    rows, names = with_row_key(docs, id_col, text_col)
+    kept = rows.join(stays, "_doc")
+    # A repeated row has its key in common with the one that stays.
+    first = F.row_number().over(Window.partitionBy("_doc").orderBy("_doc"))
+    return kept.withColumn("_copy", first).where("_copy = 1").select(*names).toDF(*docs.columns)
+
+
 def cell() -> "F.Column":
     """An even deal of rows into cells, whatever their values. Write it out before using it twice."""
     return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(CELLS)).cast("int")

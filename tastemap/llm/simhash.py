@@ -15,11 +15,11 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tastemap.llm.shared import components, join_groups, row_key, ship_code, with_row_key
+from tastemap.llm.shared import components, join_groups, row_key, rows_that_stay, ship_code
 from tastemap.sources.durable import durable
 
 SEED = 42
@@ -98,11 +98,7 @@ def keep_one(docs: DataFrame, max_bits: int = 4, id_col: str = "doc_id",
     """
     found = fingerprints(docs, id_col, text_col)
     stays = _classes(durable(found), max_bits).select(F.col("stays.doc").alias("_doc")).distinct()
-    rows, names = with_row_key(docs, id_col, text_col)
-    kept = rows.join(stays, "_doc")
-    # A repeated row has its key in common with the one that stays.
-    first = F.row_number().over(Window.partitionBy("_doc").orderBy("_doc"))
-    return kept.withColumn("_copy", first).where("_copy = 1").select(*names).toDF(*docs.columns)
+    return rows_that_stay(docs, stays, id_col, text_col)
 
 
 def _classes(found: DataFrame, max_bits: int) -> DataFrame:
