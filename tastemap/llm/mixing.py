@@ -1,8 +1,8 @@
 """Mixing to target weights: raking to source, language and topic, then a calibrated sample.
 
 Iterative proportional fitting runs on the tokens of each cell of source, language
-and topic; the number of cells is bounded by the parameters. Documents are kept by
-the probability of their cell.
+and topic, on the driver or, for many cells, on a written table. Documents are kept
+by the probability of their cell.
 """
 
 from collections.abc import Iterator
@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
 from tastemap.llm.shared import ship_code
-from tastemap.sources.durable import durable
+from tastemap.sources.durable import durable, intermediates, remove, scratch_path
+from tastemap.sources.tables import read_table, write_table
 
 # Topics, word buckets they are found in, and documents they are trained on, about.
 TOPICS, BUCKETS, TRAIN_ROWS = 8, 512, 2000
-# Values of a column that are raked each for itself; the rest of them are raked as one.
+# Cells up to which raking runs on the driver; more of them are raked as a table, to the same end.
+CELLS = 50_000
+# Values of a column up to which a table's factors are sent to all tasks.
 VALUES = 200
 # A value's target is its share of tokens to this power, which lifts small ones.
 POWER = 0.7
@@ -173,29 +176,25 @@ def probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] | None
 
     ``cells`` has the three columns and ``tokens``. ``targets`` may give shares by
     value (as :func:`_value` writes it) of ``source``, ``lang`` or ``topic``; values
-    it leaves out, and columns it does not name, get their tempered share. The
-    driver sees at most ``VALUES`` + 1 values of a column, the rest as one.
+    it leaves out, and columns it does not name, get their tempered share. Every
+    value is raked for itself; a target for a value that no cell has is an error.
+    More than ``CELLS`` cells stay a table.
     """
-    spark = cells.sparkSession
-    named = cells
-    for name in DIMENSIONS:
-        column = f"_{name}"
-        top = [r[0] for r in named.groupBy(column).agg(F.sum("tokens").alias("n"))
-               .orderBy(F.desc("n"), column).limit(VALUES).collect()]
-        rest = F.lit(None).cast(named.schema[column].dataType)
-        named = named.withColumn(f"{column}_group", F.when(F.col(column).isin(top), F.col(column))
-                                 .otherwise(rest) if top else rest)
-    groups = [f"_{name}_group" for name in DIMENSIONS]
-    rows = sorted(named.groupBy(*groups).agg(F.sum("tokens")).collect(),
-                  key=lambda r: tuple((v is None, v) for v in r[:3]))
+    targets = targets or {}
+    _refuse_unknown(cells, targets)
+    if cells.count() > CELLS:
+        return _rake_table(cells, targets, keep)
+    names = [f"_{name}" for name in DIMENSIONS]
+    rows = sorted(map(tuple, cells.select(*names, "tokens").collect()), key=lambda r: r[:3])
     tokens = np.array([r[3] or 0 for r in rows], float)
     places, goals = [], []
     for i, name in enumerate(DIMENSIONS):
-        values = sorted({r[i] for r in rows}, key=lambda v: (v is None, v))
-        place = np.array([values.index(r[i]) for r in rows], np.int64)
+        values = sorted({r[i] for r in rows})
+        at = {v: k for k, v in enumerate(values)}
+        place = np.array([at[r[i]] for r in rows], np.int64)
         share = np.bincount(place, tokens, len(values)) / max(tokens.sum(), 1.0)
         goal = tempered(share)
-        given = (targets or {}).get(name, {})
+        given = targets.get(name, {})
         fixed = np.array([v in given for v in values], bool)
         if fixed.any():
             goal[fixed] = [given[v] for v in values if v in given]
@@ -206,13 +205,81 @@ def probabilities(cells: DataFrame, targets: dict[str, dict[str, float]] | None
         places.append(place)
         goals.append(goal)
     chance = rake(tokens, places, goals, keep)
-    types = [named.schema[g].dataType.simpleString() for g in groups]
-    schema = ", ".join(f"_g{i} {t}" for i, t in enumerate(types)) + ", probability double"
-    found = spark.createDataFrame([(*r[:3], float(c)) for r, c in zip(rows, chance)], schema)
-    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]
-    # At most (VALUES + 1) values of each column: a bounded table.
-    return (named.join(F.broadcast(found), same)
-            .select(*(f"_{name}" for name in DIMENSIONS), "probability"))
+    schema = ", ".join(f"{n} {cells.schema[n].dataType.simpleString()}" for n in names)
+    return cells.sparkSession.createDataFrame(
+        [(*r[:3], float(c)) for r, c in zip(rows, chance)], schema + ", probability double")
+
+
+def _refuse_unknown(cells: DataFrame, targets: dict[str, dict[str, float]]) -> None:
+    for name, given in targets.items():
+        if name not in DIMENSIONS:
+            raise ValueError(f"targets for {name!r}, which is none of {DIMENSIONS}")
+        there = {r[0] for r in cells.select(f"_{name}").where(
+            F.col(f"_{name}").isin(list(given))).distinct().collect()} if given else set()
+        if set(given) - there:
+            raise ValueError(f"targets for {name} without rows: {sorted(set(given) - there)}")
+
+
+def _goals(cells: DataFrame, name: str, given: dict) -> DataFrame:
+    """Target share ``goal`` of each value of a column, as in :func:`probabilities`."""
+    column = f"_{name}"
+    sums = durable(cells.groupBy(column).agg(F.sum("tokens").cast("double").alias("n")))
+    whole = max(sums.agg(F.sum("n")).first()[0] or 0.0, 1.0)
+    lifted = sums.withColumn("goal", F.when(F.col("n") > 0, F.pow(F.col("n") / whole, F.lit(POWER)))
+                             .otherwise(0.0))
+    fixed = F.col(column).isin(list(given)) if given else F.lit(False)
+    total, free = (lifted.agg(F.sum(F.col("goal")), F.sum(F.when(~fixed, F.col("goal")))).first())
+    if not given:
+        return durable(lifted.select(column, (F.col("goal") / max(total, 1e-300)).alias("goal")))
+    kind = cells.schema[column].dataType.simpleString()
+    wanted = cells.sparkSession.createDataFrame(
+        [(v, float(share)) for v, share in given.items()], f"{column} {kind}, given double")
+    rest = max(0.0, 1 - sum(given.values())) / free if free else 1.0
+    mixed = lifted.join(wanted, column, "left").select(
+        column, F.coalesce("given", F.col("goal") * rest).alias("goal"))
+    mixed = durable(mixed)
+    total = mixed.agg(F.sum("goal")).first()[0]
+    return mixed.withColumn("goal", F.col("goal") / total)
+
+
+def _rake_table(cells: DataFrame, targets: dict[str, dict[str, float]], keep: float) -> DataFrame:
+    """:func:`rake` on a table: sums by value, joined back to the cells.
+
+    A column of at most ``VALUES`` values has its factors sent to all tasks, so that
+    a value with most cells is no task's own.
+    """
+    spark = cells.sparkSession
+    names = [f"_{name}" for name in DIMENSIONS]
+    goals = {n: _goals(cells, n[1:], targets.get(n[1:], {})) for n in names}
+    few = {n for n in names if goals[n].count() <= VALUES}
+    state = cells.select(*names, F.coalesce("tokens", F.lit(0)).cast("double").alias("tokens"),
+                         F.lit(float(keep)).alias("probability"))
+    path = scratch_path(spark, "raked")
+    write_table(state, path)
+    now, schema = read_table(spark, path, schema=state.schema), state.schema
+    total = keep * (now.agg(F.sum("tokens")).first()[0] or 0.0)
+    for _ in range(ROUNDS if total else 0):
+        worst, after = 0.0, scratch_path(spark, "raked")
+        with intermediates(spark):
+            for name in names:
+                sums = now.groupBy(name).agg(F.sum(F.col("probability") * F.col("tokens")).alias("n"))
+                want = F.col("goal") * total
+                step = durable(sums.join(goals[name], name).select(
+                    name, F.when(F.col("n") > 0, want / F.col("n")).otherwise(1.0).alias("scale"),
+                    F.abs(want - F.col("n")).alias("off")))
+                worst = max(worst, step.agg(F.max("off")).first()[0] / total)
+                scale = step.select(name, "scale")
+                now = (now.join(F.broadcast(scale) if name in few else scale, name)
+                       .withColumn("probability", F.least(F.lit(1.0), F.col("probability")
+                                                          * F.col("scale")))
+                       .select(*schema.names))
+            write_table(now, after)
+        remove(spark, path)
+        path = after
+        now = read_table(spark, path, schema=schema)
+        if worst < TOLERANCE:
+            break
+    return now.select(*names, "probability")
 
 
 def mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None,

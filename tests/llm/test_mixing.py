@@ -109,3 +109,38 @@ def test_awkward_rows(awkward, no_rows):
     kept = mixing.sample(awkward, keep=1.0)
     assert kept.columns == awkward.columns and kept.count() <= awkward.count()
     assert mixing.sample(no_rows).count() == 0
+
+
+def cells_of(spark, n_sources):
+    rng = np.random.default_rng(4)
+    rows = [(f"=s{s}", f"={'ab'[lang]}", topic, int(rng.integers(1, 10 if s else 10_000)))
+            for s in range(n_sources) for lang in range(2) for topic in range(2)]
+    return rows, spark.createDataFrame(rows, "_source string, _lang string, _topic int, tokens long")
+
+
+def test_every_source_of_many_has_its_own_target(spark):
+    rows, cells = cells_of(spark, 300)
+    chance = {tuple(r[:3]): r[3] for r in mixing.probabilities(cells, keep=0.1).collect()}
+    total, kept = np.zeros(300), np.zeros(300)
+    for source, lang, topic, tokens in rows:
+        total[int(source[2:])] += tokens
+        kept[int(source[2:])] += tokens * chance[source, lang, topic]
+    assert np.allclose(kept / kept.sum(), mixing.tempered(total / total.sum()), atol=1e-6)
+
+
+@pytest.mark.parametrize("targets", [{}, {"source": {"=s7": 0.2}, "topic": {1: 0.6}}])
+def test_a_table_is_raked_as_on_the_driver(spark, monkeypatch, targets):
+    _, cells = cells_of(spark, 12)
+    monkeypatch.setattr(mixing, "ROUNDS", 4)
+    monkeypatch.setattr(mixing, "VALUES", 5)
+    here = sorted(mixing.probabilities(cells, targets, keep=0.3).collect())
+    monkeypatch.setattr(mixing, "CELLS", 0)
+    there = sorted(mixing.probabilities(cells, targets, keep=0.3).collect())
+    assert [r[:3] for r in here] == [r[:3] for r in there]
+    assert np.allclose([r[3] for r in here], [r[3] for r in there], rtol=1e-9)
+
+
+@pytest.mark.parametrize("targets", [{"lang": {"=xx": 0.3}}, {"source": {"s1": 0.1}}, {"tone": {}}])
+def test_targets_that_match_nothing_are_refused(spark, targets):
+    with pytest.raises(ValueError):
+        mixing.probabilities(cells_of(spark, 3)[1], targets)
