@@ -6,6 +6,7 @@ by the probability of their cell.
 """
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,10 @@ from tastemap.llm.shared import ship_code
 from tastemap.sources.durable import durable, intermediates, remove, scratch_path
 from tastemap.sources.tables import read_table, write_table
 
-# Topics, word buckets they are found in, and documents they are trained on, about.
-TOPICS, BUCKETS, TRAIN_ROWS = 8, 512, 2000
+# Topics, word buckets they are found in, and rounds of k-means over all documents.
+TOPICS, BUCKETS, TOPIC_ROUNDS = 8, 512, 20
+# Features are summed as whole numbers of so many units, so that their order does not matter.
+MEAN_UNIT, APART_UNIT = 1 << 30, 32767
 # Cells up to which raking runs on the driver; more of them are raked as a table, to the same end.
 CELLS = 50_000
 # Values of a column up to which a table's factors are sent to all tasks.
@@ -59,7 +62,10 @@ def word_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Topics:
-    """Clusters of word use within languages: what sets a text apart from its language."""
+    """Clusters of word use within languages: what sets a text apart from its language.
+
+    These are of texts in memory; :func:`train_topics` finds those of a table.
+    """
 
     def __init__(self, texts: list[bytes], langs: list[str], seed: int = 0):
         x = self._features(word_buckets(texts)[0])
@@ -99,25 +105,127 @@ def _value(column: str) -> F.Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("-"))
 
 
-def train_topics(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Topics:
-    """Topics of about ``TRAIN_ROWS`` documents, chosen by a hash of their text."""
-    n = docs.count()
-    share = min(1.0, TRAIN_ROWS / n) if n else 0.0
-    draw = F.pmod(F.xxhash64(text_col, F.lit("topics")), F.lit(1 << 20)) / (1 << 20)
-    # Copies share a draw; one of each is enough, and bounds what is collected.
-    rows = (docs.where(draw < share).select(_value(lang_col).alias("lang"),
-                                            F.col(text_col).cast("binary").alias("text"))
-            .distinct().collect())
-    rows = sorted((bytes(r["text"] or b""), r["lang"]) for r in rows)
-    return Topics([t for t, _ in rows], [lang for _, lang in rows])
+class TrainedTopics(NamedTuple):
+    """``centers``, a row per topic, and ``means``: a table of ``_lang, mean`` in double bytes."""
+
+    centers: np.ndarray
+    means: DataFrame
 
 
-def with_topics(docs: DataFrame, topics: Topics, keep: list[str] | None = None,
+def train_topics(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TrainedTopics:
+    """Topics of all documents: language means, then k-means of what sets texts apart.
+
+    Sums are taken in the tasks; the driver holds the centers and their sums only.
+    The first centers are the texts of the least hashes.
+    """
+    ship_code(docs.sparkSession)
+    plain = docs.select(_value(lang_col).alias("_lang"), F.col(text_col).cast("binary").alias("_text"),
+                        F.xxhash64(text_col, F.lit("topics")).alias("_draw"))
+    sums = _added(plain.select("_lang", "_text").mapInArrow(
+        _language_sums, "_lang string, sums array<bigint>"), "_lang")
+    by_place = F.array_sort(F.collect_list(F.struct("place", "total")))
+    means = durable(sums.groupBy("_lang").agg(by_place.getField("total").alias("sums"))
+                    .mapInArrow(_means, "_lang string, mean binary"))
+    apart = durable(plain.join(means, "_lang").select("_draw", "_text", "mean").mapInArrow(
+        _apart_rows, "_draw bigint, apart binary"))
+    # Copies share a draw.
+    draws = [r[0] for r in apart.select("_draw").distinct().orderBy("_draw").limit(TOPICS).collect()]
+    first = apart.where(F.col("_draw").isin(draws)).groupBy("_draw").agg(
+        F.min("apart").alias("apart")).orderBy("_draw").collect() if draws else []
+    centers = _unpacked([r["apart"] for r in first])
+    for _ in range(TOPIC_ROUNDS if len(centers) else 0):
+        before = centers.copy()
+        total = np.zeros_like(centers)
+        members = apart.select("apart").mapInArrow(
+            lambda batches, centers=before: _topic_sums(batches, centers),
+            "topic int, sums array<bigint>")
+        for topic, place, value in _added(members, "topic").collect():
+            total[topic, place] = value
+        size = np.linalg.norm(total, axis=1)
+        centers[size > 0] = total[size > 0] / size[size > 0, None]
+        if (centers == before).all():
+            break
+    return TrainedTopics(centers, means)
+
+
+def _added(rows: DataFrame, key: str) -> DataFrame:
+    """``key, place, total``: the arrays ``sums`` of each key added up."""
+    return (rows.select(key, F.posexplode("sums").alias("place", "value"))
+            .groupBy(key, "place").agg(F.sum("value").alias("total")))
+
+
+def _language_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per language the sums of the features, and the number of texts behind them."""
+    def given(sums: dict) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(list(sums), pa.string()),
+                                pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))],
+                               ["_lang", "sums"])
+
+    sums: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            x = Topics._features(word_buckets([t or b"" for t in some.column("_text").to_pylist()])[0])
+            units = np.c_[np.rint(x * MEAN_UNIT), np.ones(len(x))].astype(np.int64)
+            langs = np.array(some.column("_lang").to_pylist(), object)
+            for lang in set(langs):
+                sums[lang] = sums.get(lang, 0) + units[langs == lang].sum(axis=0)
+        if len(sums) > 1024:
+            yield given(sums)
+            sums = {}
+    yield given(sums)
+
+
+def _means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sums = np.array(batch.column("sums").to_pylist(), float).reshape(-1, BUCKETS + 1)
+        means = sums[:, :-1] / (MEAN_UNIT * sums[:, -1:])
+        yield pa.record_batch([batch.column("_lang"),
+                               pa.array([m.tobytes() for m in means], pa.binary())],
+                              ["_lang", "mean"])
+
+
+def _apart_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What sets each text apart from its language, in two bytes a bucket."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            x = Topics._features(word_buckets([t or b"" for t in some.column("_text").to_pylist()])[0])
+            x -= np.frombuffer(b"".join(some.column("mean").to_pylist())).reshape(-1, BUCKETS)
+            x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+            units = np.rint(x * APART_UNIT).astype("<i2")
+            yield pa.record_batch([some.column("_draw"),
+                                   pa.array([u.tobytes() for u in units], pa.binary())],
+                                  ["_draw", "apart"])
+
+
+def _unpacked(apart: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(apart), "<i2").reshape(-1, BUCKETS) / APART_UNIT
+
+
+def _topic_sums(batches: Iterator[pa.RecordBatch], centers: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Per topic the sums of the members' features."""
+    sums = np.zeros((len(centers), BUCKETS), np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2048):
+            rows = batch.slice(at, 2048).column("apart").to_pylist()
+            units = np.frombuffer(b"".join(rows), "<i2").reshape(-1, BUCKETS).astype(float)
+            nearest = np.argmax(units @ centers.T, axis=1)
+            member = (nearest == np.arange(len(centers))[:, None]).astype(float)
+            sums += (member @ units).astype(np.int64)
+    yield pa.record_batch([pa.array(range(len(centers)), pa.int32()),
+                           pa.array(sums.tolist(), pa.list_(pa.int64()))], ["topic", "sums"])
+
+
+def with_topics(docs: DataFrame, topics: TrainedTopics, keep: list[str] | None = None,
                 id_col: str = "doc_id", text_col: str = "text",
                 lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """Columns ``keep`` (all if not given), and ``_source, _lang, _draw, _tokens, _topic``."""
+    """Columns ``keep`` (all if not given), and ``_source, _lang, _draw, _tokens, _topic``.
+
+    ``topics`` are those of the same documents, so that each language has its mean.
+    """
     ship_code(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(topics)
+    centers = topics.centers
     kept = docs.columns if keep is None else keep
     plain = docs.select(
         *(F.col(c).alias(f"_c{i}") for i, c in enumerate(kept)),
@@ -128,16 +236,29 @@ def with_topics(docs: DataFrame, topics: Topics, keep: list[str] | None = None,
     schema = StructType(plain.schema.fields[:-1])
     schema = schema.add("_tokens", LongType()).add("_topic", IntegerType())
 
+    def at_centers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            means = np.frombuffer(b"".join(batch.column("mean").to_pylist())).reshape(-1, BUCKETS)
+            yield pa.record_batch([batch.column("_lang"), pa.array(
+                [row.tobytes() for row in means @ centers.T], pa.binary())], ["_lang", "_offset"])
+
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
                 counts, words = word_buckets([t or b"" for t in some.column("_text").to_pylist()])
-                found = sent.value.of(counts, some.column("_lang").to_pylist())
-                yield pa.record_batch([*some.columns[:-1], pa.array(words), pa.array(found)],
+                # A text less its language's mean has the topic of the largest product; its
+                # length changes no order.
+                offset = np.frombuffer(b"".join(some.column("_offset").to_pylist()))
+                products = Topics._features(counts) @ centers.T
+                found = (np.argmax(products - offset.reshape(products.shape), axis=1)
+                         if len(centers) else np.zeros(len(words))).astype(np.int32)
+                yield pa.record_batch([*some.columns[:-2], pa.array(words), pa.array(found)],
                                       schema.names)
 
-    return plain.mapInArrow(compute, schema)
+    offsets = topics.means.mapInArrow(at_centers, "_lang string, _offset binary")
+    return (plain.join(durable(offsets), "_lang").select(*plain.columns, "_offset")
+            .mapInArrow(compute, schema))
 
 
 def rake(tokens: np.ndarray, places: list[np.ndarray], targets: list[np.ndarray],
@@ -284,7 +405,8 @@ def _rake_table(cells: DataFrame, targets: dict[str, dict[str, float]], keep: fl
 
 def mixture(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None,
             keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text",
-            lang_col: str = "lang", source_col: str = "source") -> tuple[DataFrame, Topics, DataFrame]:
+            lang_col: str = "lang", source_col: str = "source"
+            ) -> tuple[DataFrame, TrainedTopics, DataFrame]:
     """What :func:`with_topics` says of every document, the topics, and the probabilities.
 
     Tokens are words. Nulls are a source, language or text (without tokens) of their

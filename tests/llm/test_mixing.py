@@ -144,3 +144,30 @@ def test_a_table_is_raked_as_on_the_driver(spark, monkeypatch, targets):
 def test_targets_that_match_nothing_are_refused(spark, targets):
     with pytest.raises(ValueError):
         mixing.probabilities(cells_of(spark, 3)[1], targets)
+
+
+def test_topics_come_from_all_rows(spark):
+    rng = np.random.default_rng(6)
+    groups = [[f"w{g}{i}" for i in range(30)] for g in range(8)]
+    texts = [" ".join(rng.choice(groups[i % 8], 30)) for i in range(3000)]
+    langs = ["rare" if i in (10, 2900) else "en" if i % 2 else None for i in range(3000)]
+    docs = spark.createDataFrame(list(zip(range(3000), texts, langs, ["s"] * 3000)),
+                                 "doc_id long, text string, lang string, source string")
+    topics = mixing.train_topics(docs)
+    x = mixing.Topics._features(mixing.word_buckets([t.encode() for t in texts])[0])
+    means = {r["_lang"]: np.frombuffer(r["mean"]) for r in topics.means.collect()}
+    names = np.array(["-" if lang is None else f"={lang}" for lang in langs])
+    assert set(means) == {"-", "=en", "=rare"}
+    for lang, mean in means.items():
+        assert np.allclose(mean, x[names == lang].mean(axis=0), atol=1e-8)
+    # The same topics however the rows are dealt, and those that k-means in memory ends with.
+    again = mixing.train_topics(docs.repartition(5, "text"))
+    assert (again.centers == topics.centers).all()
+    found = {r["_c0"]: r["_topic"] for r in mixing.with_topics(docs, topics, ["doc_id"]).collect()}
+    apart = x - np.array([means[n] for n in names])
+    apart /= np.linalg.norm(apart, axis=1, keepdims=True)
+    nearest = np.argmax(apart @ topics.centers.T, axis=1)
+    assert [found[i] for i in range(3000)] == nearest.tolist()
+    for topic in set(nearest.tolist()):
+        center = apart[nearest == topic].sum(axis=0)
+        assert np.allclose(center / np.linalg.norm(center), topics.centers[topic], atol=1e-2)
