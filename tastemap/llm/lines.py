@@ -22,9 +22,6 @@ SHINGLE = 8
 # chance 0.9998.
 BANDS, ROWS = 16, 4
 THRESHOLD = 0.8
-# Equal bytes that a pair's signatures need to be verified. At similarity 0.8 one pair in
-# some 2,000 has fewer, at 0.85 one in a million.
-LEAST_EQUAL = 41
 # Lines of a bucket compared in one go; a larger bucket is cut into tiles of this many.
 TILE = 1024
 # Characters hashed at once.
@@ -189,8 +186,7 @@ def _members_of_buckets(different: DataFrame,
 
 
 def _links(texts: DataFrame, members: DataFrame, shared: DataFrame,
-           units: Callable = normal_lines, sets: Callable = shingles,
-           least_equal: int = LEAST_EQUAL) -> DataFrame:
+           units: Callable = normal_lines, sets: Callable = shingles) -> DataFrame:
     """Verified edges ``(a, b)`` that connect the lines that links connect.
 
     ``units`` gives what is compared in a text, ``sets`` the shingles of one.
@@ -205,7 +201,7 @@ def _links(texts: DataFrame, members: DataFrame, shared: DataFrame,
             .select("key", F.least("tile", "other").alias("one"),
                     F.greatest("tile", "other").alias("two"), "tile", "node", "signature", "line")
             .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two"))
-    return rows.mapInArrow(lambda batches: _bucket_links(batches, sets, least_equal),
+    return rows.mapInArrow(lambda batches: _bucket_links(batches, sets),
                            "a long, b long").distinct()
 
 
@@ -249,31 +245,30 @@ def _members(keys, tiles, nodes) -> pa.RecordBatch:
                             pa.array(nodes, pa.int64())], ["key", "tile", "node"])
 
 
-def _bucket_links(batches: Iterator[pa.RecordBatch], sets: Callable,
-                  least_equal: int) -> Iterator[pa.RecordBatch]:
+def _bucket_links(batches: Iterator[pa.RecordBatch],
+                  sets: Callable) -> Iterator[pa.RecordBatch]:
     """Edges that connect each bucket, or pair of tiles, whose rows come together."""
     rows, here, found = [], None, []
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in (
                 "key", "one", "two", "tile", "node", "signature", "line"))):
             if row[:3] != here:
-                found += _connected(rows, sets, least_equal)
+                found += _connected(rows, sets)
                 rows, here = [], row[:3]
             rows.append(row)
         if found:
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
             found = []
-    found = _connected(rows, sets, least_equal)
+    found = _connected(rows, sets)
     if found:
         yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
 
-def _connected(rows: list[tuple], sets: Callable = shingles,
-               least_equal: int = LEAST_EQUAL) -> list[tuple[int, int]]:
+def _connected(rows: list[tuple], sets: Callable = shingles) -> list[tuple[int, int]]:
     """Verified links of the lines of a bucket that are needed to connect it.
 
-    A pair is compared in the first bucket that it shares, if its signatures are
-    alike enough and no link connects it yet.
+    A pair is compared in the first bucket that it shares, unless links connect it
+    already or the sizes of its sets forbid the similarity.
     """
     if len(rows) < 2:
         return []
@@ -295,8 +290,7 @@ def _connected(rows: list[tuple], sets: Callable = shingles,
         return known[i]
 
     for i in range(len(rows) - 1):
-        alike = (signature[i + 1:] == signature[i]).sum(axis=1) >= least_equal
-        alike &= (bands[i + 1:] == bands[i]).argmax(axis=1) == key >> 32
+        alike = (bands[i + 1:] == bands[i]).argmax(axis=1) == key >> 32
         if one != two:
             alike &= tile[i + 1:] != tile[i]
         for j in (i + 1 + np.flatnonzero(alike)).tolist():
@@ -304,6 +298,8 @@ def _connected(rows: list[tuple], sets: Callable = shingles,
             if a == b:
                 continue
             x, y = shingles_of(i), shingles_of(j)
+            if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
+                continue
             common = len(x & y)
             if common >= THRESHOLD * (len(x) + len(y) - common):
                 head[max(a, b)] = min(a, b)

@@ -119,6 +119,16 @@ def test_all_pairs_of_a_bucket_are_decided():
     assert len(connected([one] * 5 + [two])) == 4
 
 
+def test_every_pair_that_shares_a_band_is_verified():
+    rng = random.Random(4)
+    one, other = ("".join(rng.choices("abcdefgh ", k=120)) for _ in range(2))
+    signature = np.zeros((3, lines.BANDS * lines.ROWS), np.uint8)
+    signature[:, lines.ROWS:] = np.arange(1, 4)[:, None]  # nothing but the first band is equal
+    rows = [(0, 0, 0, 0, i, signature[i].tobytes(), t)
+            for i, t in enumerate([one, near_copy(one, rng), other])]
+    assert lines._connected(rows) == [(0, 1)]
+
+
 def test_large_buckets_are_cut_into_tiles(monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(lines, "TILE", 3)
