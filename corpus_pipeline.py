@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import lines, mixing, near, outliers, packing
+from tastemap.llm import lines, mixing, outliers, packing, simhash
 from tastemap.llm.shared import table
 from tastemap.sources.durable import durable
 
@@ -22,14 +22,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with one line of each class of fuzzy duplicates; emptied ones go."""
+    """Documents with one line of each class of fuzzy duplicates; emptied ones go.
+
+    A null text stays null; ``n_chars``, where there is such a column, follows the text.
+    """
     kept = lines.keep_first_lines(docs)
+    if "n_chars" not in docs.columns:
+        return kept
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class that five-word shingles of Jaccard 0.8 or more connect."""
-    return near.keep_one(docs)
+    """One document of each class of SimHash fingerprints, four-word shingles, four bits."""
+    return simhash.keep_one(docs, max_bits=4)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
