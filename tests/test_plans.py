@@ -30,11 +30,16 @@ def no_broadcast(spark):
 def executed_plans(spark, run):
     """The final plans of all queries that ``run`` executes, as adaptive execution left them."""
     store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+
+    def listed():
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+        rows = store.executionsList()
+        return {rows.apply(i).executionId(): rows.apply(i) for i in range(rows.size())}
+
+    # By id, since a session forgets its oldest executions.
+    before = max(listed(), default=-1)
     run()
-    spark._jsc.sc().listenerBus().waitUntilEmpty()
-    listed = store.executionsList(before, store.executionsCount() - before)
-    return [listed.apply(i).physicalPlanDescription() for i in range(listed.size())]
+    return [row.physicalPlanDescription() for at, row in sorted(listed().items()) if at > before]
 
 
 @pytest.mark.parametrize("name", TRAINED)
