@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import lines, mixing, outliers, packing, seekable, simhash, slots, toxicity, urls, vectors
+from tastemap.llm import (divergence, lines, mixing, negatives, outliers, packing, seekable, simhash,
+                          slots, toxicity, urls, vectors)
 from tastemap.llm.shared import table
 from tastemap.sources.durable import durable
 
@@ -93,6 +94,18 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(pieces, 4096)
 
 
+def op12_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, some labels changed on purpose."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(rows, anchor=F.col("vec_id") % 50 == 0)
+
+
+def op13_term_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the terms of each source differ from those of its language's others."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name -> callable of session and folder of tables."""
     return {
@@ -106,6 +119,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_raked_mixture": op8_raked_mixture,
         "op9_robust_outliers": op9_robust_outliers,
         "op10_pattern_packing": op10_pattern_packing,
+        "op12_gnat_negatives": op12_gnat_negatives,
+        "op13_term_divergence": op13_term_divergence,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -131,4 +146,68 @@ def oracle_sql() -> dict[str, str]:
                         AND starts_with(path, rule_path))
             SELECT urls.page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
             FROM urls LEFT JOIN fits ON urls.page_id = fits.page_id AND n = 1""",
+        "op12_gnat_negatives": """
+            WITH usable AS (
+                SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                       list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+                FROM embeddings
+                WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+              scored AS (
+                SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                       CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+                FROM usable AS a JOIN usable AS b ON a.vec_id <> b.vec_id
+                WHERE a.vec_id % 50 = 0),
+              positives AS (
+                SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored
+                WHERE same
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+            SELECT anchor_id, positive_id,
+                   CAST(row_number() OVER (PARTITION BY anchor_id, positive_id
+                                           ORDER BY score DESC, other) AS INTEGER) AS rank,
+                   other AS negative_id, positive_score, score AS negative_score
+            FROM positives JOIN scored USING (anchor_id)
+            WHERE NOT same AND 50 * positive_score <= 100 * score
+              AND 100 * score <= 95 * positive_score
+            QUALIFY rank <= 3""",
+        "op13_term_divergence": rf"""
+            WITH docs AS (
+                SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang,
+                       coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+              words AS (
+                SELECT doc, lang, source, translate(unnest(regexp_extract_all(
+                           text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                           '{urls.UPPER}', '{urls.LOWER}') AS term FROM docs),
+              uses AS (SELECT doc, lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+              kept AS (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n_lang FROM uses
+                       GROUP BY lang, term HAVING count(*) >= {divergence.LEAST_DOCS}),
+              counts AS (SELECT lang, source, term, CAST(sum(n) AS HUGEINT) AS n
+                         FROM uses JOIN kept USING (lang, term) GROUP BY ALL),
+              sources AS (SELECT DISTINCT lang, source FROM docs),
+              langs AS (SELECT lang, count(*) AS v, sum(n_lang) AS total_lang FROM kept
+                        GROUP BY lang),
+              totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+              shares AS (
+                SELECT lang, source, term, coalesce(n, 0) AS n,
+                       1 + ({divergence.WHOLE}::HUGEINT * (coalesce(n, 0) + 5))
+                           // CAST(coalesce(total, 0) + 5 * v AS HUGEINT) AS p,
+                       1 + ({divergence.WHOLE}::HUGEINT * (n_lang + 5))
+                           // CAST(total_lang + 5 * v AS HUGEINT) AS q
+                FROM sources JOIN kept USING (lang) JOIN langs USING (lang)
+                LEFT JOIN totals USING (lang, source) LEFT JOIN counts USING (lang, source, term)),
+              parts AS (
+                SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                       CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+                FROM sources AS a JOIN sources AS b ON a.lang = b.lang AND a.source <> b.source
+                LEFT JOIN shares AS x ON x.lang = a.lang AND x.source = a.source
+                LEFT JOIN shares AS y ON y.lang = b.lang AND y.source = b.source
+                                     AND y.term = x.term
+                GROUP BY ALL
+                UNION ALL
+                SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM shares
+                WHERE n > 0 AND p > q)
+            SELECT lang, source, part, item, value,
+                   CAST(row_number() OVER (PARTITION BY lang, source, part
+                                           ORDER BY value DESC, item) AS INTEGER) AS rank
+            FROM parts QUALIFY part = 'pair' OR rank <= {divergence.TOP}""",
     }
