@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemap.llm import (divergence, lines, mixing, negatives, outliers, packing, seekable, simhash,
-                          slots, toxicity, urls, vectors)
+from tastemap.llm import (divergence, lines, mixing, negatives, outliers, packing, repeats, seekable,
+                          simhash, slots, toxicity, urls, vectors)
 from tastemap.llm.shared import table
 from tastemap.sources.durable import durable
 
@@ -94,6 +94,12 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(pieces, 4096)
 
 
+def op11_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the 100-byte strings that start earlier."""
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op12_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector, some labels changed on purpose."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -119,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_raked_mixture": op8_raked_mixture,
         "op9_robust_outliers": op9_robust_outliers,
         "op10_pattern_packing": op10_pattern_packing,
+        "op11_run_length_index": op11_run_length_index,
         "op12_gnat_negatives": op12_gnat_negatives,
         "op13_term_divergence": op13_term_divergence,
         "pipeline": corpus_pipeline.run,
