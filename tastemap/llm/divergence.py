@@ -38,7 +38,7 @@ def count_terms(text: bytes | None) -> Counter:
     return Counter((text or b"").translate(TABLE).split())
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch], entries: int) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents of each term by language and source, summed in the task."""
     uses, docs, held = defaultdict(Counter), defaultdict(Counter), 0
     for batch in batches:
@@ -51,7 +51,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 uses[lang, source].update(found)
                 docs[lang, source].update(found.keys())
                 held += len(uses[lang, source]) - before
-                if held >= ENTRIES:
+                if held >= entries:
                     yield from _rows(uses, docs)
                     uses, docs, held = defaultdict(Counter), defaultdict(Counter), 0
     yield from _rows(uses, docs)
@@ -96,8 +96,10 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, text_co
     columns = {"lang": lang_col, "source": source_col, "text": text_col}
     plain = docs.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name)
                           for name, c in columns.items()))
+    entries = ENTRIES
     counted = (plain.select("lang", "source", F.col("text").cast("binary").alias("text"))
-               .mapInArrow(_counts, "lang string, source string, term string, n long, docs long"))
+               .mapInArrow(lambda batches: _counts(batches, entries),
+                           "lang string, source string, term string, n long, docs long"))
     uses = durable(counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"),
                                                                  F.sum("docs").alias("docs")))
     kept = (uses.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n_lang"))
@@ -137,7 +139,8 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
     A term neither uses adds the difference of their fixed shares, so what the others
     add beyond that is summed from the sparse rows.
     """
-    tile = F.expr(f"number div {TILE}")
+    width, cells = TILE, CELLS
+    tile = F.expr(f"number div {width}")
     tiles = groups.groupBy("lang").agg(F.max(tile).alias("last"))
     part = F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int")
     # A group's fixed share goes to all parts, ahead of the terms.
@@ -151,7 +154,8 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
                       F.greatest("tile", "other").alias("two"), "dealt", "term", "number", "p"))
     key = ["lang", "one", "two", "dealt"]
     placed = placed.repartition(*key).sortWithinPartitions(*key, F.asc_nulls_first("term"))
-    beyond = (placed.mapInArrow(_differences, "lang string, a int, b int, beyond long")
+    beyond = (placed.mapInArrow(lambda batches: _differences(batches, width, cells),
+                                "lang string, a int, b int, beyond long")
               .groupBy("lang", "a", "b").agg(F.sum("beyond").alias("beyond")))
     left = groups.select("lang", "source", "number", "none", "terms")
     right = groups.select("lang", F.col("source").alias("item"), F.col("number").alias("other"),
@@ -164,7 +168,8 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
         (fixed + F.coalesce("beyond", F.lit(0))).alias("value"))
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _differences(batches: Iterator[pa.RecordBatch], tile: int,
+                 cells: int) -> Iterator[pa.RecordBatch]:
     """Sums of differences beyond those of the fixed shares, from rows in order."""
     group = None
     for batch in batches:
@@ -174,7 +179,7 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if group is None or group.key != key:
                 if group is not None:
                     yield from group.sums()
-                group = _Tiles(key)
+                group = _Tiles(key, tile, cells)
             group.add(term, number, share)
     if group is not None:
         yield from group.sums()
@@ -183,8 +188,8 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Tiles:
     """Two tiles of sources, and the terms of one part of a language."""
 
-    def __init__(self, key):
-        self.key = key
+    def __init__(self, key, tile: int, cells: int):
+        self.key, self.tile, self.cells = key, tile, cells
         self.fixed: dict[int, int] = {}
         self.term, self.at, self.rows = None, -1, None
         self.beyond = None
@@ -205,11 +210,11 @@ class _Tiles:
         numbers = sorted(self.fixed)
         self.place = {number: i for i, number in enumerate(numbers)}
         self.base = np.array([self.fixed[n] for n in numbers], np.int64)
-        one, two = ([n for n in numbers if n // TILE == tile] for tile in self.key[1:3])
+        one, two = ([n for n in numbers if n // self.tile == tile] for tile in self.key[1:3])
         self.one, self.two = np.array(one), np.array(two)
         self.columns = [np.array([self.place[n] for n in side]) for side in (one, two)]
         self.beyond = np.zeros((len(one), len(two)), np.int64)
-        self.rows = np.tile(self.base, (max(1, CELLS // self.beyond.size), 1))
+        self.rows = np.tile(self.base, (max(1, self.cells // self.beyond.size), 1))
 
     def _sum(self) -> None:
         one, two = (self.rows[:self.at, columns] for columns in self.columns)

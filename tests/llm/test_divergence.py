@@ -1,0 +1,67 @@
+"""The audit against SQL, brute force, and in more tiles and parts than small data need."""
+
+import re
+from collections import Counter
+
+import pytest
+
+from tastemap.llm import divergence
+
+ROWS = [
+    ("a b Cat cat", "en", "x"), ("cat dog dog", "en", "x"), ("Été cat\x00dog-dog42dog", "en", "y"),
+    ("", "en", "z"), (None, "en", "z"), ("cat cat", None, None), ("dog", None, "x"), (None, None, None),
+    ("hund", "de", "x"), ("cat " * 3000, "en", "long"), ("日本 cat ÉTÉ", "en", "y"),
+]
+
+
+def brute(rows, least_docs, top):
+    rows = [[v or "" for v in row] for row in rows]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = [(lang, source, [w.translate(lower) for w in re.findall(
+        r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text)]) for text, lang, source in rows]
+    found = []
+    for lang in {r[1] for r in rows}:
+        docs = Counter(t for own, _, terms in words if own == lang for t in set(terms))
+        kept = sorted(t for t, n in docs.items() if n >= least_docs)
+        sources = sorted({s for _, own, s in rows if own == lang})
+
+        def shares(counts):
+            total = sum(counts[t] for t in kept)
+            return {t: 1 + 10**9 * (counts[t] + 5) // (total + 5 * len(kept)) for t in kept}
+
+        counts = {s: Counter(t for own, src, terms in words if (own, src) == (lang, s) for t in terms)
+                  for s in sources}
+        q = shares(sum(counts.values(), Counter()))
+        p = {s: shares(counts[s]) for s in sources}
+        for s in sources:
+            pairs = [(sum(abs(p[s][t] - p[o][t]) for t in kept), o) for o in sources if o != s]
+            terms = [(p[s][t] - q[t], t) for t in kept if counts[s][t] and p[s][t] > q[t]]
+            for part, values in (("pair", pairs), ("term", terms)):
+                values.sort(key=lambda v: (-v[0], v[1].encode()))
+                found += [(lang, s, part, item, value, rank) for rank, (value, item)
+                          in enumerate(values, 1) if part == "pair" or rank <= top]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("tile, parts, cells, entries", [(64, 64, 1 << 21, 150_000), (1, 3, 4, 2),
+                                                         (2, 1, 1, 1)])
+def test_as_by_brute_force(spark, monkeypatch, tile, parts, cells, entries):
+    for name, value in (("TILE", tile), ("PARTS", parts), ("CELLS", cells), ("ENTRIES", entries)):
+        monkeypatch.setattr(divergence, name, value)
+    rows = spark.createDataFrame(ROWS, "text string, lang string, source string").repartition(3)
+    for least_docs, top in ((1, 2), (2, 50), (9, 50)):
+        found = sorted(map(tuple, divergence.audit(rows, least_docs, top).collect()))
+        assert found == brute(ROWS, least_docs, top)
+
+
+def test_awkward_rows(spark, awkward, no_rows):
+    rows = [(r.text, r.lang, r.source) for r in awkward.select("text", "lang", "source").collect()]
+    found = sorted(map(tuple, divergence.audit(awkward, 1).collect()))
+    assert found == brute(rows, 1, divergence.TOP)
+    assert divergence.audit(no_rows).count() == 0
+
+
+def test_terms_of_bytes():
+    assert divergence.count_terms("Don't stop—STOP\x0bÉt\x1cé".encode()) == {
+        b"don": 1, b"t": 1, "stop—stop".encode(): 1, "Ét".encode(): 1, "é".encode(): 1}
+    assert divergence.count_terms(None) == {}
