@@ -25,8 +25,9 @@ from tastemap.sources.durable import durable
 LENGTH = 100
 # Bytes of a k-mer; a string's least one tells where it is compared.
 KMER = 32
-# Bytes scanned at once, and bytes after which a task builds an index.
-SCAN, CHUNK = 1 << 19, 1 << 19
+# Bytes scanned at once, contexts that a task compares before it hands them on, and bytes
+# after which a task builds an index.
+SCAN, HELD, CHUNK = 1 << 19, 200_000, 1 << 19
 # Surroundings of one k-mer that one index takes; the strings of a k-mer with more are
 # dealt out by longer parts that they share.
 HOT = 4096
@@ -34,7 +35,8 @@ HOT = 4096
 SPLIT = 3
 
 DOC = "oid long, mark long"
-CONTEXT = f"h long, c long, {DOC}, start int, at int, until int"
+CONTEXT = f"h long, c long, {DOC}, at int, shape int"
+MET = f"span boolean, h long, {DOC}, at int, start int, until int"
 MEMBER = f"key long, c long, {DOC}, first int, last int, at int, start int, bytes binary"
 
 
@@ -61,17 +63,18 @@ def _sliding(values: np.ndarray, width: int, take) -> np.ndarray:
     return take(found[:len(found) - rest], found[rest:]) if rest else found
 
 
-def least_kmers(texts: list[bytes], length: int = LENGTH) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Places and hashes of the k-mers of each text that are least in a string of ``length``.
+def least_kmers(texts: list[bytes], length: int = LENGTH) -> list[tuple[np.ndarray, ...]]:
+    """Of each text the k-mers that are least in a string of ``length``: their places and
+    hashes, and where the first and the last string begin in which they are.
 
     Of equal least ones all count, so equal strings have theirs at equal places.
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
     starts = np.r_[0, ends[:-1]]
-    none = [(np.empty(0, np.int64), np.empty(0, np.uint64))] * len(texts)
     if len(data) < length:
-        return none
+        return [(np.empty(0, np.int64), np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 2)
+                for _ in texts]
     hashes, width = _hashes(data), length - KMER + 1
     least = _sliding(hashes, width, np.minimum)
     # Strings that would reach into the next text are left out.
@@ -81,45 +84,135 @@ def least_kmers(texts: list[bytes], length: int = LENGTH) -> list[tuple[np.ndarr
     np.add.at(inside, ends[long] - length + 1, -1)
     least[np.cumsum(inside)[:len(least)] == 0] = 0
     edge = np.zeros(width - 1, np.uint64)
-    places = np.flatnonzero(_sliding(np.r_[edge, least, edge], width, np.maximum) == hashes)
-    cuts = np.searchsorted(places, starts)
-    return [(places[a:b] - start, hashes[places[a:b]])
-            for a, b, start in zip(cuts, np.r_[cuts[1:], len(places)], starts)]
+    least = np.r_[edge, least, edge]
+    places = np.flatnonzero(_sliding(least, width, np.maximum) == hashes)
+    found = hashes[places]
+    first, last = np.empty_like(places), np.empty_like(places)
+    for at in range(0, len(places), 8192):
+        some = slice(at, at + 8192)
+        mine = np.lib.stride_tricks.sliding_window_view(least, width)[places[some]] \
+            == found[some, None]
+        first[some] = places[some] - width + 1 + mine.argmax(axis=1)
+        last[some] = places[some] - mine[:, ::-1].argmax(axis=1)
+    cuts = np.r_[np.searchsorted(places, starts), len(places)]
+    return [(places[a:b] - start, found[a:b], first[a:b] - start, last[a:b] - start)
+            for a, b, start in zip(cuts, cuts[1:], starts)]
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """The surroundings of each least k-mer that its text has for the first time; and, with a
-    null ``h``, the spans of those that come again in the same text."""
-    reach = length - KMER
+    """Each least k-mer with the strings around it, as ``CONTEXT``.
+
+    Of equal contexts in the same text, or among those held together, the first stays; the
+    others are repeats for sure and become spans, with a null ``c``. So a passage of a third
+    of all rows leaves a few rows a task.
+    """
+    held, size = [], 0
     for batch in batches:
         at = 0
         sizes = pc.binary_length(batch.column("text")).to_numpy()
         while at < batch.num_rows:
-            total = np.cumsum(sizes[at:])
-            n = max(1, int(np.searchsorted(total, SCAN)))
+            n = max(1, int(np.searchsorted(np.cumsum(sizes[at:at + 4096]), SCAN)))
             some = batch.slice(at, n)
             at += n
-            texts = [t or b"" for t in some.column("text").to_pylist()]
-            docs = zip(some.column("oid").to_pylist(), some.column("mark").to_pylist(), texts,
-                       least_kmers(texts, length))
-            columns = [[] for _ in range(7)]
-            for oid, mark, text, (places, hashes) in docs:
-                seen, again = set(), []
-                for p, h in zip(places.tolist(), hashes.view(np.int64).tolist()):
-                    start, until = max(0, p - reach), min(len(text), p + length)
-                    c = xxh64_intdigest(text[start:until], p - start) - (1 << 63)
-                    if (h, c) in seen:
-                        again.append((start, until))
-                        continue
-                    seen.add((h, c))
-                    for column, value in zip(columns, (h, c, oid, mark, start, p, until)):
-                        column.append(value)
-                for start, until in merged(again):
-                    for column, value in zip(columns, (None, None, oid, mark, start, None, until)):
-                        column.append(value)
-            yield pa.record_batch(
-                [pa.array(x, pa.int64() if i < 4 else pa.int32()) for i, x in enumerate(columns)],
-                ["h", "c", "oid", "mark", "start", "at", "until"])
+            texts = some.column("text").to_pylist()
+            for oid, mark, text, (places, hashes, first, last) in zip(
+                    some.column("oid").to_pylist(), some.column("mark").to_pylist(), texts,
+                    least_kmers(texts, length)):
+                if not len(places):
+                    continue
+                until = last + length
+                c = np.fromiter((xxh64_intdigest(text[a:b], p - a) for p, a, b in zip(
+                    places.tolist(), first.tolist(), until.tolist())), np.uint64, len(places))
+                held.append((oid, mark, hashes, c, places, first, until))
+                size += len(places)
+            if size >= HELD:
+                yield from _fewer(held)
+                held, size = [], 0
+    yield from _fewer(held)
+
+
+def _fewer(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    if not held:
+        return
+    n = [len(x[2]) for x in held]
+    doc = np.repeat(np.arange(len(held)), n)
+    oids, marks = (np.array([x[i] for x in held], np.int64) for i in (0, 1))
+    h, c = (np.concatenate([x[i] for x in held]).view(np.int64) for i in (2, 3))
+    at, start, until = (np.concatenate([x[i] for x in held]) for i in (4, 5, 6))
+    order = np.lexsort((at, doc, oids[doc], c, h))
+    h, c, at, start, until, doc = (x[order] for x in (h, c, at, start, until, doc))
+    new = np.r_[True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])]
+    again = np.r_[False, ~new[1:] & (doc[1:] == doc[:-1])]
+    later = again | (oids[doc] > oids[doc[new]][np.cumsum(new) - 1])
+    # Repeats of one document as maximal runs.
+    turn = np.lexsort((start[later], doc[later]))
+    d, a, b = (x[later][turn] for x in (doc, start, until))
+    reach = np.maximum.accumulate(b + (d << 40)) if len(d) else b
+    cut = np.flatnonzero(np.r_[True, a[1:] + (d[1:] << 40) > reach[:-1]]) if len(d) else a
+    spans = d[cut], a[cut], reach[np.r_[cut[1:], len(d)] - 1] - (d[cut] << 40) if len(d) else b
+    none = len(cut)
+    doc, at, start, until, h, c = (x[~later] for x in (doc, at, start, until, h, c))
+    owner = np.r_[doc, spans[0]]
+    yield pa.record_batch(
+        [pa.array(np.r_[h, marks[spans[0]]]), pa.array(np.r_[c, np.zeros(none, np.int64)],
+                                                       mask=np.arange(len(owner)) >= len(doc)),
+         pa.array(oids[owner]), pa.array(marks[owner]),
+         pa.array(np.r_[at, spans[1]].astype(np.int32)),
+         pa.array(np.r_[(at - start) << 16 | (until - at), spans[2]].astype(np.int32))],
+        ["h", "c", "oid", "mark", "at", "shape"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans, and contexts to be compared, from contexts in the order of k-mer, context, id.
+
+    All but the first document of a context repeat it. The first one is compared if the
+    k-mer has other contexts; until one comes it waits.
+    """
+    fields = ("h", "c", "oid", "mark", "at", "shape")
+    h = c = oid = None
+    several, waiting = False, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        known = batch.column("c").is_valid().to_numpy(False)
+        rows = {f: batch.column(f).fill_null(0).to_numpy() for f in fields}
+        yield _met_rows({f: v[~known] for f, v in rows.items()}, span=True, plain=True)
+        rows = {f: v[known] for f, v in rows.items()}
+        if not len(rows["h"]):
+            continue
+        new_h = np.r_[rows["h"][0] != h, rows["h"][1:] != rows["h"][:-1]]
+        new_c = new_h | np.r_[rows["c"][0] != c, rows["c"][1:] != rows["c"][:-1]]
+        run, heads = np.cumsum(new_c), np.r_[oid or 0, rows["oid"][new_c]]
+        later = rows["oid"] > heads[run]
+        group = np.cumsum(new_h)
+        contexts = np.bincount(group[new_c], minlength=group[-1] + 1)
+        if not new_h[0]:
+            contexts[0] += 2 if several else 1
+        first = ~later & (contexts[group] > 1)
+        if contexts[0] > 1 and not new_h[0]:
+            for some in waiting:
+                yield _met_rows(some, span=False)
+            waiting = []
+        elif new_h[0]:
+            waiting = []
+        yield _met_rows({f: v[later] for f, v in rows.items()}, span=True)
+        yield _met_rows({f: v[first] for f, v in rows.items()}, span=False)
+        several = contexts[group[-1]] > 1
+        if several or group[-1] > 0:
+            waiting = []
+        if not several:
+            last = (group == group[-1]) & ~later
+            waiting.append({f: v[last] for f, v in rows.items()})
+        h, c, oid = rows["h"][-1], rows["c"][-1], int(heads[run[-1]])
+
+
+def _met_rows(rows: dict, span: bool, plain: bool = False) -> pa.RecordBatch:
+    at, shape = rows["at"], rows["shape"]
+    start, until = (at, shape) if plain else (at - (shape >> 16), at + (shape & 0xFFFF))
+    return pa.record_batch(
+        [pa.array(np.full(len(at), span)), *(pa.array(rows[f]) for f in ("h", "oid", "mark", "at")),
+         pa.array(start.astype(np.int32)), pa.array(until.astype(np.int32))],
+        ["span", "h", "oid", "mark", "at", "start", "until"])
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -143,29 +236,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     """
     ship_code(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
-    found = durable(texts.mapInArrow(lambda batches: _contexts(batches, length), CONTEXT))
-    # A k-mer that one context of one document has repeats nothing.
-    kmers = (found.where("h IS NOT NULL").groupBy("h")
-             .agg(F.min("c").alias("one"), F.max("c").alias("other"), F.min("oid").alias("low"),
-                  F.max("oid").alias("high")).where("one <> other OR low <> high")
-             .select("h", (F.col("one") != F.col("other")).alias("differ")))
-    shared = durable(found.join(kmers, "h"))
-    first = shared.groupBy("h", "c").agg(F.min("oid").alias("first_oid"))
-    placed = durable(shared.join(first, ["h", "c"]))
-    # Beside its first document, all strings of a context are repeats.
-    spans = [found.where("h IS NULL"), placed.where("oid > first_oid")]
-    apart = placed.where("oid = first_oid AND differ").select("h", "oid", "mark", "start", "at",
-                                                              "until").distinct()
-    members = durable(_members(texts, apart, length))
-    while True:
-        sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        hot = durable(sizes.where(F.col("n") > HOT).select("key"))
-        if hot.isEmpty():
-            spans.append(_compared(members, length))
-            break
+    contexts = texts.mapInArrow(lambda batches: _contexts(batches, length), CONTEXT)
+    met = durable(contexts.repartition("h").sortWithinPartitions("h", "c", "oid")
+                  .mapInArrow(_met, MET))
+    spans = [met.where("span")]
+    apart = met.where("NOT span")
+    sizes = apart.groupBy(F.col("h").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    hot = durable(sizes.where(F.col("n") > HOT).select("key"))
+    members = _members(texts, apart, length)
+    while not hot.isEmpty():
+        members = durable(members)
         spans.append(_compared(members.join(hot, "key", "left_anti"), length))
         members, repeats = _split(members.join(hot, "key", "left_semi"), length)
         spans.append(repeats)
+        sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        hot = durable(sizes.where(F.col("n") > HOT).select("key"))
+    spans.append(_compared(members, length))
     every = spans[0].select("oid", "mark", "start", "until")
     for more in spans[1:]:
         every = every.unionByName(more.select("oid", "mark", "start", "until"))
@@ -352,11 +438,10 @@ class RunIndex:
         ends = self.ends = np.cumsum(sizes + 1) - 1
         self.data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
         self.n = len(self.data)
-        symbols = self.data.astype(np.int64) + n_texts
-        symbols[ends] = np.arange(n_texts)
-        order, common = self._sorted(symbols, n_texts + 256)
+        at_end = self.stops()
+        order, common = self._sorted(self.data, ends)
         before = self.data[order - 1].astype(np.int16)
-        before[symbols[order - 1] < n_texts] = self.END
+        before[at_end[order - 1]] = self.END
         # Runs, and samples at their ends.
         self.start = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
         last = np.r_[self.start[1:], self.n] - 1
@@ -380,37 +465,51 @@ class RunIndex:
         self.end_of_data = self.n
 
     @staticmethod
-    def _sorted(symbols: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix array, and the length that each suffix has in common with the one before."""
-        n = len(symbols)
-        padded = np.r_[symbols + 1, np.zeros(4, np.int64)]
-        key = padded[:n]
-        for step in (1, 2, 3):
-            key = key * (width + 2) + padded[step:n + step]
-        levels, depth = [], 4
+    def _sorted(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix array, and the length that each suffix has in common with the one before.
+
+        By doubling: suffixes alike so far are sorted by what follows. Those that end alike
+        are in the order of their texts.
+        """
+        n, depth = len(data), 7
+        text = np.repeat(np.arange(len(ends)), np.diff(np.r_[-1, ends]))
+        left = ends[text] - np.arange(n)
+        key, padded = np.zeros(n, np.int64), np.r_[data.astype(np.int64) + 1, np.zeros(depth, np.int64)]
+        padded[ends] = 0
+        for step in range(depth):
+            key = key << 9 | np.where(left >= step, padded[step:n + step], 0)
+        order = np.argsort(key)
+        ordered = key[order]
+        head = np.r_[True, ordered[1:] != ordered[:-1]]
+        slots = np.arange(n)
+        levels, rank = [], np.empty(n, np.int64)
+        rank[order] = np.maximum.accumulate(np.where(head, slots, 0))
         while True:
-            order = np.argsort(key, kind="stable")
-            ordered = key[order]
-            fresh = np.r_[0, np.cumsum(ordered[1:] != ordered[:-1])]
-            rank = np.empty(n, np.int32)
-            rank[order] = fresh
-            if fresh[-1] == n - 1:
+            alone = head & np.r_[head[1:], True]
+            slots = slots[~alone]
+            if not len(slots):
                 break
-            levels.append((depth, rank))
-            later = np.zeros(n, np.int64)
-            later[:n - depth] = rank[depth:] + 1
-            key = rank.astype(np.int64) * (n + 1) + later
+            # What ends before that depth is like nothing else.
+            levels.append((depth, np.where(left < depth, -1 - np.arange(n), rank).astype(np.int32)))
+            some = order[slots]
+            after = np.minimum(some + depth, n - 1)
+            follows = np.where(left[some] < depth, text[some], rank[after])
+            key = rank[some] << 32 | follows
+            turn = np.argsort(key)
+            ordered = key[turn]
+            order[slots] = some[turn]
+            head = np.r_[True, ordered[1:] != ordered[:-1]]
+            rank[order[slots]] = slots[np.maximum.accumulate(np.where(head, np.arange(len(slots)), 0))]
             depth *= 2
         one, two = order[:-1], order[1:]
         common = np.zeros(n - 1, np.int64)
         for depth, rank in reversed(levels):
-            a, b = one + common, two + common
-            inside = np.maximum(a, b) < n
-            same = inside & (rank[np.minimum(a, n - 1)] == rank[np.minimum(b, n - 1)])
-            common[same] += depth
-        for _ in range(3):
-            same = padded[one + common] == padded[two + common]
-            common[same] += 1
+            common += depth * (rank[one + common] == rank[two + common])
+        alike = np.where(left == 0, -1 - np.arange(n), data)
+        more = np.arange(n - 1)
+        while len(more):
+            more = more[alike[one[more] + common[more]] == alike[two[more] + common[more]]]
+            common[more] += 1
         return order, np.r_[0, common]
 
     def _turns(self, run: np.ndarray, common: np.ndarray) -> np.ndarray:
