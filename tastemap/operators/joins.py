@@ -51,3 +51,29 @@ def join_unique(unique: DataFrame, many: DataFrame, key: str,
              .join(hot, key, "left").withColumn("_slice", F.pmod("_from", slices))
              .drop("_slices", "_from"))
     return left.join(right, [key, "_slice"]).drop("_slice")
+
+
+def partial_scores(reviews: DataFrame, key: str, value: str) -> DataFrame:
+    """Sum and number of ``value`` per ``key``: what a batch of reviews adds to the score store.
+
+    A much-reviewed entity is one row here, so no bucket of the store is larger for it.
+    """
+    return (reviews.where(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.sum(value).cast("double").alias(f"{value}_sum"),
+                 F.count(value).alias(f"{value}_n")))
+
+
+def join_stored_scores(partials: DataFrame, entities: DataFrame, key: str, value: str,
+                       *, entity_key: str | None = None) -> DataFrame:
+    """:func:`join_entity_score` from stored :func:`partial_scores` of all batches.
+
+    With both sides in buckets of their keys neither the aggregation nor the join moves
+    a row; otherwise the planner moves what it must and the rows are the same.
+    """
+    entity_key = entity_key or key
+    total, n = F.sum(f"{value}_sum"), F.sum(f"{value}_n")
+    scores = partials.groupBy(key).agg(F.try_divide(total, n).alias(value),
+                                       total.alias(f"{value}_sum"), n.alias(f"{value}_n"))
+    # A broadcast would send out the smaller side, buckets or not.
+    joined = scores.withColumnRenamed(key, entity_key) if key != entity_key else scores
+    return joined.hint("merge").join(entities, entity_key)

@@ -12,6 +12,7 @@ from tastemap.functions.text import BLANK, BLANK_RUN
 from tastemap.operators.ranking import take_rows
 from tastemap.sources.durable import durable
 from tastemap.sources.tables import check_target
+from tastemap.sources.versions import is_versioned, publish_model, resolve
 
 # Terms of a vocabulary unless the caller says otherwise.
 VOCABULARY_SIZE = 1 << 18
@@ -134,14 +135,23 @@ def fit_classifier(table: DataFrame, *, max_iter: int = 50, reg_param: float = 0
     return PipelineModel([*stages, svm.fit(table).copy()])
 
 
-def save_model(model: PipelineModel, path: str, sources=()) -> None:
-    """Replace the model at ``path``, which holds none of the ``sources`` of the job."""
-    check_target(SparkSession.active(), path, sources)
+def save_model(model: PipelineModel, path: str, sources=(), versioned: bool = False) -> None:
+    """Replace the model at ``path``, which holds none of the ``sources`` of the job.
+
+    ``versioned`` keeps the old one until the new one is whole; a path that has versions
+    always gets one more.
+    """
+    spark = SparkSession.active()
+    if versioned or is_versioned(spark, path):
+        publish_model(model, path, sources=sources)
+        return
+    check_target(spark, path, sources)
     model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """The model at ``path``, of versions the newest."""
+    return PipelineModel.load(resolve(SparkSession.active(), path))
 
 
 def score_reviews(model: PipelineModel, reviews: DataFrame, *, keep=("review_id", "business_id"),
