@@ -27,7 +27,7 @@ LENGTH = 100
 KMER = 32
 # Bytes scanned at once, contexts that a task compares before it hands them on, and bytes
 # after which a task builds an index.
-SCAN, HELD, CHUNK = 1 << 19, 200_000, 1 << 19
+SCAN, HELD, CHUNK = 1 << 19, 200_000, 3 << 16
 # Surroundings of one k-mer that one index takes; the strings of a k-mer with more are
 # dealt out by longer parts that they share.
 HOT = 4096
@@ -38,6 +38,7 @@ DOC = "oid long, mark long"
 CONTEXT = f"h long, c long, {DOC}, at int, shape int"
 MET = f"span boolean, h long, {DOC}, at int, start int, until int"
 MEMBER = f"key long, c long, {DOC}, first int, last int, at int, start int, bytes binary"
+MEMBER_NAMES = [f.split()[0] for f in MEMBER.split(", ")]
 
 
 def _hashes(data: np.ndarray) -> np.ndarray:
@@ -313,22 +314,27 @@ def _members(texts: DataFrame, apart: DataFrame, length: int) -> DataFrame:
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                some = batch.slice(row, 1)
-                text, wanted = (some.column(c)[0].as_py() for c in ("text", "wanted"))
-                oid, mark = some.column("oid")[0].as_py(), some.column("mark")[0].as_py()
-                yield _member_rows([
-                    (w["h"], 0, oid, mark, 0, length - KMER, w["at"], w["start"],
-                     text[w["start"]:w["until"]]) for w in wanted])
+            for first in range(0, batch.num_rows, 256):
+                some = batch.slice(first, 256)
+                lists = some.column("wanted")
+                of, flat = pc.list_parent_indices(lists), pc.list_flatten(lists)
+                h, at, start, until = (flat.field(n) for n in ("h", "at", "start", "until"))
+                text = some.column("text").to_pylist()
+                parts = [text[i][a:b] for i, a, b in zip(of.to_pylist(), start.to_pylist(),
+                                                         until.to_pylist())]
+                zero = np.zeros(len(parts), np.int32)
+                yield pa.record_batch(
+                    [h, pa.array(zero.astype(np.int64)), some.column("oid").take(of),
+                     some.column("mark").take(of), pa.array(zero), pa.array(zero + (length - KMER)),
+                     at, start, pa.array(parts, pa.binary())], MEMBER_NAMES)
 
     return texts.join(durable(wanted), ["oid", "mark"]).mapInArrow(fetch, MEMBER)
 
 
 def _member_rows(rows: list[tuple]) -> pa.RecordBatch:
     types = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()]
-    names = [f.split()[0] for f in MEMBER.split(", ")]
-    columns = zip(*rows) if rows else [[] for _ in names]
-    return pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, types)], names)
+    columns = zip(*rows) if rows else [[] for _ in types]
+    return pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, types)], MEMBER_NAMES)
 
 
 def _split(members: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
@@ -462,7 +468,6 @@ class RunIndex:
         self.turn = self._turns(run, common)
         # Rows of suffixes that begin alike, for those that ask by length.
         self.common = common
-        self.end_of_data = self.n
 
     @staticmethod
     def _sorted(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -539,7 +544,7 @@ class RunIndex:
         bytes_of = np.zeros((len(texts), width), np.uint8)
         for i, which in enumerate(longest):
             bytes_of[i, :sizes[i]] = np.frombuffer(texts[which], np.uint8)
-        at = np.full((len(texts), width), self.end_of_data, np.int64)
+        at = np.full((len(texts), width), self.n, np.int64)
         rows = np.zeros((len(texts), width), np.int64)
         row = np.full(len(texts), self.n - 1)
         here = np.full(len(texts), self.at_last[-1])
