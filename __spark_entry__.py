@@ -12,8 +12,9 @@ from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,15 +25,20 @@ from tastemap.functions.categories import first_category
 from tastemap.functions.ratings import binarize_rating
 from tastemap.functions.text import clean_text
 from tastemap.operators.filters import filter_categories, filter_points
+from tastemap.operators.joins import join_stored_scores, partial_scores
 from tastemap.operators.points import map_points as points_of
 from tastemap.operators.sampling import split_by_hash, take_exact_fractions, take_fraction
-from tastemap.operators.sentiment import (common_terms, count_stages, idf_weights, load_model,
-                                          prepare_reviews, save_model, token_stages)
+from tastemap.operators.sentiment import (common_terms, idf_weights, load_model, prepare_reviews,
+                                          save_model, token_stages)
 from tastemap.operators.stats import stats_by, weighted_f1
 from tastemap.plans import jobs
-from tastemap.sources.durable import scratch_path
+from tastemap.sources import docstore
+from tastemap.sources.buckets import append_buckets, read_buckets, write_buckets
+from tastemap.sources.documents import choose_types, document_fields, read_documents, typed
+from tastemap.sources.durable import durable, scratch_path
 from tastemap.sources.export import export_points
 from tastemap.sources.tables import read_table, spread
+from tastemap.sources.versions import current, publish, read_version
 
 # The training-data operators come with their subpackage, and leave with it.
 try:
@@ -52,9 +58,10 @@ TOP_TERMS = 1000
 TRAIN_TERMS = 2000
 # Widths of hashed counts; the wide one folds into the narrow one.
 NARROW, WIDE = 16, 4096
-# The test tables are one file each: partitions for work on their texts, and for the
-# rounds of training.
-TEXT_PARTITIONS, FIT_PARTITIONS = 8, 2
+# The test tables are one file each: partitions for work on their texts.
+TEXT_PARTITIONS = 8
+# Buckets of the stored scores and their entities.
+BUCKETS = 8
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -199,21 +206,28 @@ def token_counts(spark, sf):
 def hashed_counts(spark, sf):
     """Hashed counts of two widths: their sums, whether the wide ones fold into the narrow
     ones, and how many different ones a text's copies have."""
-    texts = _texts(spark, sf)
-    counts = {}
-    for width in (NARROW, WIDE):
-        hashed = count_stages(texts, num_features=width).transform(texts)
-        counts[width] = hashed.select("doc_id", F.xxhash64("text").alias("of_text"),
-                                      vector_to_array("counts").alias(f"in_{width}"))
-    both = counts[NARROW].join(counts[WIDE].drop("of_text"), "doc_id")
-    total = {w: F.aggregate(f"in_{w}", F.lit(0.0), lambda a, b: a + b) for w in (NARROW, WIDE)}
-    folded = F.transform(F.sequence(F.lit(0), F.lit(NARROW - 1)), lambda i: F.aggregate(
-        F.filter(f"in_{WIDE}", lambda _, at: at % NARROW == i), F.lit(0.0), lambda a, b: a + b))
-    found = both.select("doc_id", "of_text", F.hash(f"in_{WIDE}").alias("vector"),
-                        total[NARROW].cast("bigint").alias("n_terms"),
-                        total[WIDE].cast("bigint").alias("n_terms_wide"),
-                        (folded == F.col(f"in_{NARROW}")).alias("folds"),
-                        (F.array_min(f"in_{WIDE}") >= 0).alias("non_negative"))
+    hashing = [HashingTF(inputCol="terms", outputCol=f"in_{w}", numFeatures=w)
+               for w in (NARROW, WIDE)]
+    counted = PipelineModel([*token_stages(), *hashing]).transform(_texts(spark, sf))
+    narrow, wide = F.unwrap_udt(f"in_{NARROW}"), F.unwrap_udt(f"in_{WIDE}")
+    counts = counted.select("doc_id", F.xxhash64("text").alias("of_text"), narrow.alias("narrow"),
+                            wide.alias("wide"))
+
+    def total(values):
+        return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+    # Both vectors are sparse, and stay so.
+    pairs = F.arrays_zip(F.col("wide.indices").alias("i"), F.col("wide.values").alias("n"))
+    folded = F.transform(F.sequence(F.lit(0), F.lit(NARROW - 1)), lambda at: total(F.transform(
+        F.filter(pairs, lambda p: p["i"] % NARROW == at), lambda p: p["n"])))
+    direct = F.transform(F.sequence(F.lit(0), F.lit(NARROW - 1)), lambda at: F.coalesce(
+        F.try_element_at("narrow.values", F.nullif(F.array_position("narrow.indices", at), F.lit(0))
+                         .cast("int")), F.lit(0.0)))
+    found = durable(counts.select(
+        "doc_id", "of_text", F.hash("wide.indices", "wide.values").alias("vector"),
+        total("narrow.values").cast("bigint").alias("n_terms"),
+        total("wide.values").cast("bigint").alias("n_terms_wide"), (folded == direct).alias("folds"),
+        (F.coalesce(F.array_min("wide.values"), F.lit(0.0)) >= 0).alias("non_negative")))
     copies = found.groupBy("of_text").agg(F.countDistinct("vector").alias("vectors_of_text"))
     return found.join(copies, "of_text").drop("of_text", "vector")
 
@@ -311,7 +325,7 @@ def train_and_score(spark, sf):
     """Train, save, load, score every document; by source, is the mean near the label's?"""
     path = scratch_path(spark, "model")
     labelled = _labelled(spark, sf)
-    trained = jobs.train(labelled, key="doc_id", num_features=WIDE, partitions=FIT_PARTITIONS)
+    trained = jobs.train(labelled, key="doc_id", num_features=WIDE)
     save_model(trained.model, path)
     scored = jobs.score(load_model(path), labelled, key="doc_id", entity="source")
     label, predicted = F.avg("rating_sentiment"), F.avg("predicted_sentiment")
@@ -323,8 +337,7 @@ def train_and_score(spark, sf):
 def score_rows(spark, sf):
     """Every document is scored, every seventh without its text; what comes out of them."""
     labelled = _labelled(spark, sf)
-    model = jobs.train(labelled, key="doc_id", num_features=64, max_iter=5,
-                       partitions=FIT_PARTITIONS).model
+    model = jobs.train(labelled, key="doc_id", num_features=64, max_iter=5).model
     holed = labelled.withColumn("text", F.when(F.col("doc_id") % 7 != 0, F.col("text")))
     scored = jobs.score(model, holed, key="doc_id", entity="source")
     return scored.groupBy("source").agg(
@@ -342,13 +355,102 @@ def _quality(trained):
 
 def sentiment_quality(spark, sf):
     return _quality(jobs.train(_labelled(spark, sf), key="doc_id", hashed=False,
-                               num_features=WIDE, partitions=FIT_PARTITIONS))
+                               num_features=WIDE))
 
 
 def count_features_svm(spark, sf):
     return _quality(jobs.train_count_features(
-        _labelled(spark, sf), key="doc_id", hashed=False, vocabulary_size=TRAIN_TERMS,
-        partitions=FIT_PARTITIONS))
+        _labelled(spark, sf), key="doc_id", hashed=False, vocabulary_size=TRAIN_TERMS))
+
+
+def versioned_overwrite(spark, sf):
+    """Totals by status: the version that a failed overwrite leaves, and the next one."""
+    path = scratch_path(spark, "versions")
+    orders = _table(spark, sf, "orders")
+
+    def totals(rows):
+        return _rounded(stats_by(rows, "o_orderstatus", "o_totalprice", ("avg", "count")), 4, "avg")
+
+    def newest():
+        return read_version(spark, path).withColumn("version", F.lit(current(spark, path).number))
+
+    publish(totals(orders.where("o_orderkey % 2 = 0")), path)
+    spoilt = F.when(F.col("o_orderkey") % 97 == 3, F.raise_error(F.lit("spoilt order")))
+    try:
+        publish(totals(orders.withColumn("o_totalprice", F.coalesce(spoilt.cast("double"),
+                                                                    "o_totalprice"))), path)
+    except PySparkException:
+        pass
+    left = newest()
+    publish(totals(orders), path)
+    return left.unionByName(newest())
+
+
+def stored_entity_score(spark, sf):
+    """Customers with their mean sentiment, from scores stored in buckets by two batches."""
+    scores, customers = scratch_path(spark, "scores"), scratch_path(spark, "customers")
+    orders = _order_sentiment(spark, sf)
+    batches = [partial_scores(orders.where(F.col("o_orderkey") % 2 == side), "o_custkey",
+                              "predicted_sentiment") for side in (0, 1)]
+    write_buckets(batches[0], scores, "o_custkey", BUCKETS)
+    append_buckets(batches[1], scores)
+    write_buckets(_table(spark, sf, "customer"), customers, "c_custkey", BUCKETS)
+    joined = join_stored_scores(read_buckets(spark, scores), read_buckets(spark, customers),
+                                "o_custkey", "predicted_sentiment", entity_key="c_custkey")
+    return _rounded(joined, 6, "predicted_sentiment")
+
+
+def _turns_as_json(spark, sf):
+    """Turns of conversations as JSON documents; every seventh conversation writes the turn as
+    text, every fifth has tags."""
+    message = F.struct(F.col("text").alias("body"), F.length("text").alias("chars"))
+    tags = F.when(F.col("conv_id") % 5 == 0, F.array("role", F.lit("fifth")))
+
+    def document(turn):
+        return F.to_json(F.struct("conv_id", turn.alias("turn"), "role", message.alias("message"),
+                                  tags.alias("tags")))
+
+    turn = F.col("turn")
+    lines = F.when(F.col("conv_id") % 7 == 0, document(F.concat(F.lit("no. "), turn))) \
+        .otherwise(document(turn))
+    path = scratch_path(spark, "documents")
+    _table(spark, sf, "conversations").select(lines.alias("value")).write.text(path)
+    return read_documents(spark, path)
+
+
+def json_fields(spark, sf):
+    """How many values of which type every field of the documents has."""
+    return document_fields(_turns_as_json(spark, sf))
+
+
+def json_typed(spark, sf):
+    """By role and type of the turn, documents read by types chosen from all of their values."""
+    documents = _turns_as_json(spark, sf)
+    chosen = choose_types(documents, {"turn": "$.turn", "role": "$.role", "body": "$.message.body",
+                                      "chars": "$.message.chars", "tag": "$.tags[0]"})
+    rows = typed(documents, chosen)
+    return rows.groupBy("role", F.col("turn").startswith("no. ").alias("as_text")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"),
+        F.sum(F.length("body")).cast("bigint").alias("chars_of_body"), F.count("tag").alias("tagged"),
+        F.lit(chosen["turn"].type).alias("turn_type"))
+
+
+def document_store(spark, sf):
+    """Customers from a document store, written by two commits and a third that failed."""
+    path, fmt = scratch_path(spark, "store"), docstore.register(spark)
+    customers = _table(spark, sf, "customer").withColumn(
+        "c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
+    for side in (0, 1):
+        customers.where(F.col("c_custkey") % 2 == side).write.format(fmt).mode("append").save(path)
+    spoilt = F.when(F.col("c_custkey") % 97 == 3, F.raise_error(F.lit("spoilt customer")))
+    try:
+        (customers.withColumn("c_name", F.coalesce(spoilt.cast("string"), "c_name"))
+         .write.format(fmt).mode("append").save(path))
+    except PySparkException:
+        pass
+    stored = spark.read.format(fmt).load(path)
+    return filter_points(stored, price_range=(0, 5000), price_col="c_acctbal").where(
+        "c_mktsegment IS NOT NULL")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -384,6 +486,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_rows": score_rows,
         "sentiment_quality": sentiment_quality,
         "count_features_svm": count_features_svm,
+        "versioned_overwrite": versioned_overwrite,
+        "stored_entity_score": stored_entity_score,
+        "json_fields": json_fields,
+        "json_typed": json_typed,
+        "document_store": document_store,
         **(llm.queries() if llm else {}),
     }
 
@@ -612,5 +719,43 @@ def oracle_sql() -> dict[str, str]:
             SELECT round(max(n) / sum(n) * 2 * max(n) / (max(n) + sum(n)), 6) AS majority_f1,
                    true AS learnt
             FROM counted""" for name in ("sentiment_quality", "count_features_svm")},
+        "versioned_overwrite": " UNION ALL ".join(f"""
+            SELECT o_orderstatus, round(avg(o_totalprice), 4) AS avg,
+                   count(o_totalprice) AS count, {version} AS version
+            FROM orders WHERE o_orderkey % 2 = 0 OR {version} = 2
+            GROUP BY o_orderstatus""" for version in (1, 2)),
+        "stored_entity_score": f"""
+            WITH {CUSTOMER_SENTIMENT}
+            SELECT * REPLACE (round(predicted_sentiment, 6) AS predicted_sentiment)
+            FROM joined""",
+        "json_fields": """
+            WITH counted AS (
+              SELECT unnest([
+                {'field': '$', 'type': 'OBJECT', 'n': count(*)},
+                {'field': '$.conv_id', 'type': 'BIGINT', 'n': count(conv_id)},
+                {'field': '$.turn', 'type': 'STRING', 'n': count(turn) FILTER (conv_id % 7 = 0)},
+                {'field': '$.turn', 'type': 'BIGINT',
+                 'n': count(turn) FILTER (conv_id IS NULL OR conv_id % 7 <> 0)},
+                {'field': '$.role', 'type': 'STRING', 'n': count(role)},
+                {'field': '$.message', 'type': 'OBJECT', 'n': count(*)},
+                {'field': '$.message.body', 'type': 'STRING', 'n': count(text)},
+                {'field': '$.message.chars', 'type': 'BIGINT', 'n': count(text)},
+                {'field': '$.tags', 'type': 'ARRAY', 'n': count(*) FILTER (conv_id % 5 = 0)},
+                {'field': '$.tags[*]', 'type': 'STRING',
+                 'n': count(*) FILTER (conv_id % 5 = 0)
+                      + count(role) FILTER (conv_id % 5 = 0)},
+                {'field': '$.tags[*]', 'type': 'VOID',
+                 'n': count(*) FILTER (conv_id % 5 = 0 AND role IS NULL)}]) AS c
+              FROM conversations)
+            SELECT c.field AS field, c.type AS type, c.n AS n FROM counted WHERE c.n > 0""",
+        "json_typed": """
+            SELECT role, conv_id % 7 = 0 AS as_text, count(*) AS n,
+                   CAST(sum(length(text)) AS BIGINT) AS chars,
+                   CAST(sum(length(text)) AS BIGINT) AS chars_of_body,
+                   count(role) FILTER (conv_id % 5 = 0) AS tagged, 'string' AS turn_type
+            FROM conversations GROUP BY ALL""",
+        "document_store": """
+            SELECT * FROM customer
+            WHERE c_acctbal BETWEEN 0 AND 5000 AND c_mktsegment <> 'BUILDING'""",
         **(llm.oracle_sql() if llm else {}),
     }

@@ -16,6 +16,7 @@ from tastemap.sources.export import export_page, export_points
 from tastemap.sources.schemas import (BUSINESS, JOINED_SENTIMENT, REVIEW, REVIEW_SENTIMENT,
                                       check_columns)
 from tastemap.sources.tables import check_target, read_table, spread, write_table
+from tastemap.sources.versions import is_versioned, publish, read_version, resolve
 
 # Per job: its input tables, and the columns it reads of each.
 INPUTS = {
@@ -52,6 +53,12 @@ def parser() -> argparse.ArgumentParser:
         if job == "rating-by-cuisine":
             command.add_argument("--stats", nargs="+", default=["avg"], metavar="NAME",
                                  choices=[*STATS, "median"], help="statistics, avg by default")
+        if job != "export-points":
+            command.add_argument("--versioned", action="store_true",
+                                 help="keep the old target readable until the new one is whole; "
+                                      "a target that has versions always gets one more")
+            command.add_argument("--keep", type=int, metavar="N",
+                                 help="of a versioned target, remove all but the newest N versions")
         if job in ("train", "score"):
             command.add_argument("--partitions", type=int,
                                  help="deal the reviews out over so many partitions first")
@@ -107,6 +114,8 @@ def run(spark: SparkSession, argv=None) -> None:
     sources = [getattr(args, t) for t in INPUTS[args.job]]
     if args.job == "score":
         sources.append(args.model)
+    if getattr(args, "versioned", False) and args.target_option != "path":
+        raise ValueError("only a target named by path can have versions")
     # Before any work: a target that would destroy what the job reads.
     if args.job == "train":
         check_target(spark, args.model, sources)
@@ -125,8 +134,10 @@ def _run(spark: SparkSession, args: argparse.Namespace, sources: list[str]) -> N
         whole = args.job == "business-sentiment" and table == "business" or (
             args.job == "export-points")
         schema = SCHEMAS[table] if args.format == "json" and not whole else None
-        df = read_table(spark, getattr(args, table), args.format, schema,
-                        args.target_option, **options)
+        place = getattr(args, table)
+        if args.target_option == "path":
+            place = resolve(spark, place)
+        df = read_table(spark, place, args.format, schema, args.target_option, **options)
         tables[table] = check_columns(df, SCHEMAS[table], columns)
     if getattr(args, "fraction", None):
         num, den = map(int, args.fraction.split("/"))
@@ -149,7 +160,7 @@ def _run(spark: SparkSession, args: argparse.Namespace, sources: list[str]) -> N
             reviews = take_rows(reviews, "review_id", args.rows)
         left_out = Observation("left out")
         trained = grade(spread(reviews, args.partitions), observation=left_out, **extra)
-        save_model(trained.model, args.model, sources)
+        save_model(trained.model, args.model, sources, args.versioned, args.keep)
         trained.quality.show()
         print("left out:", left_out.get)
         return
@@ -173,10 +184,15 @@ def _run(spark: SparkSession, args: argparse.Namespace, sources: list[str]) -> N
         result = jobs.rating_by_state(tables["business"])
     else:
         result = jobs.rating_by_cuisine(tables["business"], stats=args.stats)
-    write_table(result, args.out, args.format, target_option=args.target_option,
-                sources=sources, **options)
+    versioned = args.target_option == "path" and (args.versioned or is_versioned(spark, args.out))
+    if versioned:
+        publish(result, args.out, args.format, sources=sources, keep=args.keep, **options)
+    else:
+        write_table(result, args.out, args.format, target_option=args.target_option,
+                    sources=sources, **options)
     if args.show:
-        written = read_table(spark, args.out, args.format, None, args.target_option, **options)
+        written = read_version(spark, args.out, **options) if versioned else read_table(
+            spark, args.out, args.format, None, args.target_option, **options)
         written.printSchema()
         written.show(truncate=False)
 

@@ -135,15 +135,16 @@ def fit_classifier(table: DataFrame, *, max_iter: int = 50, reg_param: float = 0
     return PipelineModel([*stages, svm.fit(table).copy()])
 
 
-def save_model(model: PipelineModel, path: str, sources=(), versioned: bool = False) -> None:
+def save_model(model: PipelineModel, path: str, sources=(), versioned: bool = False,
+               keep: int | None = None) -> None:
     """Replace the model at ``path``, which holds none of the ``sources`` of the job.
 
     ``versioned`` keeps the old one until the new one is whole; a path that has versions
-    always gets one more.
+    always gets one more, and ``keep`` removes all but so many.
     """
     spark = SparkSession.active()
     if versioned or is_versioned(spark, path):
-        publish_model(model, path, sources=sources)
+        publish_model(model, path, sources=sources, keep=keep)
         return
     check_target(spark, path, sources)
     model.write().overwrite().save(path)

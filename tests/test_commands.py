@@ -8,6 +8,7 @@ import pytest
 
 from tastemap.__main__ import run
 from tastemap.sources.schemas import BUSINESS, REVIEW
+from tastemap.sources.versions import versions
 
 GOOD, BAD = "Great tasty lovely food", "Awful cold dirty table"
 
@@ -139,3 +140,25 @@ def test_no_command_overwrites_what_it_reads(spark, tmp_path, command):
 def test_unfit_table_is_refused(spark, folder):
     with pytest.raises(ValueError, match="state is missing"):
         run(spark, ["rating-by-state", f"--business={folder}/reviews", f"--out={folder}/x"])
+
+
+def test_versioned_targets(spark, folder, tmp_path):
+    """Jobs write versions, later jobs read the newest one; a plain run adds one more."""
+    def job(name, *rest):
+        run(spark, [name, *rest, "--versioned"])
+
+    job("train", f"--reviews={folder}/reviews", f"--model={tmp_path}/model", "--num-features=64")
+    job("score", f"--reviews={folder}/reviews", f"--model={tmp_path}/model",
+        f"--out={tmp_path}/scored")
+    job("business-sentiment", f"--sentiment={tmp_path}/scored", f"--business={folder}/business",
+        f"--out={tmp_path}/joined")
+    for extra in ([], ["--keep=1", "--show"]):
+        run(spark, ["sentiment-by-state", f"--joined={tmp_path}/joined", f"--out={tmp_path}/states",
+                    "--versioned", *extra])
+    run(spark, ["sentiment-by-state", f"--joined={tmp_path}/joined", f"--out={tmp_path}/states"])
+    found = versions(spark, f"{tmp_path}/states")
+    assert [v.number for v in found] == [2, 3]
+    assert {s for s, _ in rows(spark, found[-1].path)} == {"NV", "CA"}
+    with pytest.raises(ValueError, match="path"):
+        run(spark, ["sentiment-by-state", "--joined=a", "--out=b", "--versioned",
+                    "--target-option=uri"])

@@ -138,3 +138,16 @@ def test_counting_unusable_rows_keeps_the_scan_narrow(spark, plan):
 def test_common_terms_rest_on_written_counts(spark, plan):
     tokens = spark.createDataFrame([(["b", "a"],)], "terms array<string>")
     assert "Scan parquet" in plan(common_terms(tokens, 1))
+
+
+def test_stored_scores_are_joined_where_they_are(spark, plan):
+    df = entry_points.queries()["stored_entity_score"](spark, SF)
+    df.collect()
+    assert "Exchange" not in plan(df) and "SortMergeJoin" in plan(df)
+
+
+def test_no_vector_is_shuffled_to_check_hashed_counts(spark, no_broadcast):
+    plans = executed_plans(spark, lambda: entry_points.queries()["hashed_counts"](spark, SF).collect())
+    shuffles = [text[text.index("Exchange"):] for text in plans if "Exchange" in text]
+    assert shuffles and not any("values#" in t or "in_4096#" in t for t in shuffles)
+    assert sum("text:string" in t for t in plans) == 1
