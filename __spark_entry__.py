@@ -28,12 +28,16 @@ from tastemap.operators.filters import filter_categories, filter_points
 from tastemap.operators.joins import join_stored_scores, partial_scores
 from tastemap.operators.points import map_points as points_of
 from tastemap.operators.sampling import split_by_hash, take_exact_fractions, take_fraction
+from tastemap.operators.selection import take_selected_fractions
 from tastemap.operators.sentiment import (common_terms, idf_weights, load_model, prepare_reviews,
                                           save_model, token_stages)
+from tastemap.operators.sketches import (merged_quantiles, quantile_sketches, rank_error,
+                                         rank_misses)
 from tastemap.operators.stats import stats_by, weighted_f1
 from tastemap.plans import jobs
 from tastemap.sources import docstore
 from tastemap.sources.buckets import append_buckets, read_buckets, write_buckets
+from tastemap.sources.clustered import write_clustered
 from tastemap.sources.documents import choose_types, document_fields, read_documents, typed
 from tastemap.sources.durable import durable, scratch_path
 from tastemap.sources.export import export_points
@@ -60,8 +64,10 @@ TRAIN_TERMS = 2000
 NARROW, WIDE = 16, 4096
 # The test tables are one file each: partitions for work on their texts.
 TEXT_PARTITIONS = 8
-# Buckets of the stored scores and their entities.
-BUCKETS = 8
+# Spreads keys over 32 bits.
+MULTIPLIER = 2654435761
+# Buckets of the stored scores and their entities; bytes of a row group of clustered points.
+BUCKETS, CLUSTER_BYTES = 8, 64_000
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -260,6 +266,18 @@ def exact_fractions_by_status(spark, sf):
     return _rounded(reduce(DataFrame.unionByName, sweep), 4, "avg")
 
 
+def selected_fractions_by_status(spark, sf):
+    """Exact quarters of the orders by a hash that SQL can tell too."""
+    orders = _table(spark, sf, "orders")
+    hashed = F.col("o_orderkey") * F.lit(MULTIPLIER) % F.lit(1 << 32)
+    quarters = take_selected_fractions(orders, "o_orderkey", [(j, 4) for j in (1, 2, 3, 4)],
+                                       hashed, bits=32)
+    sweep = [stats_by(part, "o_orderstatus", "o_totalprice",
+                      ("avg", "count")).withColumn("quarters", F.lit(j))
+             for j, part in enumerate(quarters, 1)]
+    return _rounded(reduce(DataFrame.unionByName, sweep), 4, "avg")
+
+
 def split_sides(spark, sf):
     sides = split_by_hash(_table(spark, sf, "documents"), "doc_id", hashed=False)
     train, test = (side.groupBy("lang").agg(F.count("*").alias("n"),
@@ -453,6 +471,33 @@ def document_store(spark, sf):
         "c_mktsegment IS NOT NULL")
 
 
+def clustered_points(spark, sf):
+    """Customers of a nation and a range of balances, from a table clustered by both."""
+    path = scratch_path(spark, "clustered")
+    write_clustered(_table(spark, sf, "customer"), path, ["c_nationkey", "c_acctbal"],
+                    bloom=["c_nationkey"], row_group=CLUSTER_BYTES)
+    return filter_points(read_table(spark, path), price_range=(0, 5000), postal_code=7,
+                         price_col="c_acctbal", postal_code_col="c_nationkey")
+
+
+def sketched_medians(spark, sf):
+    """Prices by flag from sketches stored in four parts: all of them, then two.
+
+    Beside the exact ends, whether the median's rank is within the sketch's error."""
+    lines = _table(spark, sf, "lineitem").withColumn("part", F.col("l_orderkey") % 4)
+    sketches = durable(quantile_sketches(lines, ["l_returnflag"], "l_extendedprice", ["part"]))
+    answers = []
+    for name, wanted in (("all", F.lit(True)), ("odd", F.col("part") % 2 == 1)):
+        found = durable(merged_quantiles(sketches.where(wanted), ["l_returnflag"],
+                                         {"least": 0, "median": 0.5, "most": 1}))
+        misses = rank_misses(lines.where(wanted), ["l_returnflag"], "l_extendedprice", found,
+                             "median")
+        answers.append(found.join(misses, "l_returnflag").select(
+            "l_returnflag", F.lit(name).alias("parts"), "n", "least", "most",
+            (F.col("miss") <= 2 * rank_error()).alias("near")))
+    return answers[0].unionByName(answers[1])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name -> callable of session and folder of tables."""
     return {
@@ -474,6 +519,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "idf_weights": idf_of_terms,
         "take_fraction": fractions_by_status,
         "take_exact_fraction": exact_fractions_by_status,
+        "take_selected_fraction": selected_fractions_by_status,
         "split_by_hash": split_sides,
         "weighted_f1": label_f1,
         "map_points": map_points,
@@ -491,6 +537,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_fields": json_fields,
         "json_typed": json_typed,
         "document_store": document_store,
+        "clustered_points": clustered_points,
+        "sketched_medians": sketched_medians,
         **(llm.queries() if llm else {}),
     }
 
@@ -663,6 +711,15 @@ def oracle_sql() -> dict[str, str]:
             FROM placed JOIN (SELECT unnest([1, 2, 3]) AS thirds) AS sweep
               ON place <= total * thirds // 3
             GROUP BY o_orderstatus, thirds""",
+        "take_selected_fraction": f"""
+            WITH placed AS (SELECT *, row_number() OVER (
+                                ORDER BY o_orderkey * {MULTIPLIER} % 4294967296, o_orderkey) AS place,
+                                   count(*) OVER () AS total FROM orders)
+            SELECT o_orderstatus, round(avg(o_totalprice), 4) AS avg,
+                   count(o_totalprice) AS count, quarters
+            FROM placed JOIN (SELECT unnest([1, 2, 3, 4]) AS quarters) AS sweep
+              ON place <= total * quarters // 4
+            GROUP BY o_orderstatus, quarters""",
         "split_by_hash": """
             SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS n_chars,
                    CASE WHEN doc_id % 5 < 4 THEN 'train' ELSE 'test' END AS side
@@ -757,5 +814,13 @@ def oracle_sql() -> dict[str, str]:
         "document_store": """
             SELECT * FROM customer
             WHERE c_acctbal BETWEEN 0 AND 5000 AND c_mktsegment <> 'BUILDING'""",
+        "clustered_points": """
+            SELECT * FROM customer WHERE c_acctbal BETWEEN 0 AND 5000 AND c_nationkey = 7""",
+        "sketched_medians": " UNION ALL ".join(f"""
+            SELECT l_returnflag, '{name}' AS parts, count(l_extendedprice) AS n,
+                   min(l_extendedprice) AS least, max(l_extendedprice) AS most, true AS near
+            FROM lineitem WHERE {wanted} GROUP BY l_returnflag"""
+                                         for name, wanted in (("all", "true"),
+                                                              ("odd", "l_orderkey % 2 = 1"))),
         **(llm.oracle_sql() if llm else {}),
     }

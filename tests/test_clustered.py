@@ -1,0 +1,106 @@
+"""Clustered tables: the same rows, and scans that pass over most of them."""
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tastemap.operators.filters import filter_points
+from tastemap.sources.clustered import bin_of, bounds, write_clustered, z_order
+
+N = 60_000
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    """A third of all rows have one ZIP; prices are spread over all of them."""
+    row = F.col("id")
+    mixed = F.pmod(F.xxhash64(row), F.lit(1000)).cast("int")
+    zip_code = F.when(row % 3 == 0, "89501").otherwise(F.format_string("%05d", 7 * (mixed + 10)))
+    return spark.range(0, N, 1, 6).select(
+        row, F.when(row % 101 != 0, zip_code).alias("postal_code"),
+        F.when(row % 103 != 0, F.pmod(F.xxhash64(row, F.lit(1)), F.lit(5000)) / 10).alias("price"))
+
+
+@pytest.fixture(scope="module")
+def folder(points, tmp_path_factory):
+    root = tmp_path_factory.mktemp("clustered")
+    write_clustered(points, f"{root}/t", ["postal_code", "price"], bloom=["postal_code"],
+                    row_group=16_000, bloom_bytes=4096, partitions=4)
+    points.write.parquet(f"{root}/plain")
+    return root
+
+
+def scanned(df):
+    """Rows that the scan hands on after it has left out row groups."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    rows = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        rows += leaf.metrics().apply("numOutputRows").value()
+    return rows
+
+
+def asked(spark, folder, **filters):
+    return filter_points(spark.read.parquet(f"{folder}/t"), **filters)
+
+
+QUESTIONS = [({"postal_code": "00910"}, 0.15), ({"price_range": (10, 14)}, 0.25),
+             ({"postal_code": "89501", "price_range": (100, 110)}, 0.1),
+             ({"postal_code": "02800", "price_range": (0, 250)}, 0.1), ({"prices": [49.9]}, 0.25)]
+
+
+@pytest.mark.parametrize("filters, share", QUESTIONS)
+def test_filters_skip_and_lose_nothing(spark, folder, filters, share):
+    found = asked(spark, folder, **filters)
+    plain = filter_points(spark.read.parquet(f"{folder}/plain"), **filters)
+    assert sorted(found.collect()) == sorted(plain.collect())
+    assert found.count() > 0
+    assert scanned(found) < share * N < scanned(plain)
+
+
+def test_bloom_filters_rule_out_what_ranges_cannot(spark, folder):
+    # No ZIP but 89501 is not a multiple of seven, and all ranges are wide enough to hold some.
+    assert scanned(asked(spark, folder, postal_code="03501")) == 0
+    groups = 0
+    for file in (folder / "t").glob("*.parquet"):
+        held = pq.read_metadata(file)
+        for i in range(held.num_row_groups):
+            column = held.row_group(i).column(1)
+            groups += column.statistics.min < "03501" < column.statistics.max
+    assert groups > 0
+
+
+def test_same_rows(spark, folder, points):
+    assert sorted(spark.read.parquet(f"{folder}/t").collect(), key=lambda r: r.id) == sorted(
+        points.collect(), key=lambda r: r.id)
+
+
+def test_a_hot_value_is_spread(folder):
+    sizes = [pq.read_metadata(f).num_rows for f in (folder / "t").glob("*.parquet")]
+    assert len(sizes) == 4 and max(sizes) < 0.5 * N
+
+
+def test_bins_and_their_order(spark):
+    df = spark.range(1000).select("id", F.col("id").cast("string").alias("name"))
+    for column in ("id", "name"):
+        least = bounds(df, column, 8)
+        assert len(least) == 8
+        counts = [r["count"] for r in df.groupBy(bin_of(column, least)).count().collect()]
+        assert len(counts) == 8 and max(counts) < 300
+    assert bounds(df.limit(0), "id", 4) == []
+    pairs = spark.range(64).select((F.col("id") % 8).cast("int").alias("x"),
+                                   (F.col("id") / 8).cast("int").alias("y"))
+    keys = {r.k: (r.x, r.y) for r in pairs.withColumn("k", z_order([F.col("x"), F.col("y")], 3))
+            .collect()}
+    assert sorted(keys) == list(range(64))
+    for k, (x, y) in keys.items():
+        assert k == sum((x >> b & 1) << 2 * b + 1 | (y >> b & 1) << 2 * b for b in range(3))
+
+
+def test_no_rows_and_a_source(spark, points, folder, tmp_path):
+    write_clustered(points.limit(0), f"{tmp_path}/none", ["price"])
+    assert spark.read.parquet(f"{tmp_path}/none").count() == 0
+    with pytest.raises(ValueError, match="source"):
+        write_clustered(points, f"{folder}/t", ["price"], sources=[f"{folder}/t"])
