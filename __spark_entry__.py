@@ -27,6 +27,7 @@ from tastemap.functions.text import clean_text
 from tastemap.operators.filters import filter_categories, filter_points
 from tastemap.operators.joins import join_stored_scores, partial_scores
 from tastemap.operators.points import map_points as points_of
+from tastemap.operators.pyramid import cell_pyramid, write_pyramid
 from tastemap.operators.sampling import split_by_hash, take_exact_fractions, take_fraction
 from tastemap.operators.selection import take_selected_fractions
 from tastemap.operators.sentiment import (common_terms, idf_weights, load_model, prepare_reviews,
@@ -64,6 +65,8 @@ TRAIN_TERMS = 2000
 NARROW, WIDE = 16, 4096
 # The test tables are one file each: partitions for work on their texts.
 TEXT_PARTITIONS = 8
+# Deepest level of the map's cells.
+ZOOM = 7
 # Spreads keys over 32 bits.
 MULTIPLIER = 2654435761
 # Buckets of the stored scores and their entities; bytes of a row group of clustered points.
@@ -326,6 +329,16 @@ def map_export(spark, sf):
     return lines.select(F.from_json("value", schema).alias("p"), members).select("p.*", "members")
 
 
+def map_pyramid(spark, sf):
+    """Cells of all points at all zoom levels, as written for the page and read again."""
+    path = scratch_path(spark, "pyramid")
+    write_pyramid(cell_pyramid(_points(spark, sf), ZOOM), path)
+    # Sums, since a mean may end halfway between two roundings.
+    sums = {f"{v}_sum": F.round(F.col(v) * F.col("n"), places) + F.lit(0.0)
+            for v, places in (("rating", 2), ("sentiment", 6))}
+    return read_table(spark, path).withColumns(sums).drop("rating", "sentiment")
+
+
 def filter_points_by_range(spark, sf):
     customers = filter_points(_table(spark, sf, "customer"), price_range=(0, 5000),
                               postal_code=7, category="BUILD", price_col="c_acctbal",
@@ -526,6 +539,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "map_points_by_price": map_points_by_price,
         "map_points_by_category": map_points_by_category,
         "map_export": map_export,
+        "map_pyramid": map_pyramid,
         "filter_points_by_range": filter_points_by_range,
         "filter_points_by_price": filter_points_by_price,
         "train_and_score": train_and_score,
@@ -635,6 +649,10 @@ POINTS = CUSTOMER_SENTIMENT + """,
     FROM located)"""
 
 
+# Half the side of the map, in SQL.
+HALF = "(pi() * 6378137)"
+
+
 def oracle_sql() -> dict[str, str]:
     """Query name -> the same in SQL; of a trained model, what must hold for it."""
     segments = ", ".join(f"'{c}'" for c in SEGMENTS)
@@ -754,6 +772,24 @@ def oracle_sql() -> dict[str, str]:
             SELECT * REPLACE (CASE WHEN c_custkey % 7 <> 0 THEN sentiment END AS sentiment),
                    8 AS members
             FROM points ORDER BY c_custkey LIMIT 1000""",
+        "map_pyramid": f"""
+            WITH {POINTS},
+              grid AS (
+                SELECT *, CAST(least(greatest(floor((x + {HALF}) / (2 * {HALF}) * {1 << ZOOM}), 0),
+                                     {(1 << ZOOM) - 1}) AS BIGINT) AS c,
+                       CAST(least(greatest(floor(({HALF} - y) / (2 * {HALF}) * {1 << ZOOM}), 0),
+                                  {(1 << ZOOM) - 1}) AS BIGINT) AS r
+                FROM points WHERE y IS NOT NULL),
+              levels AS (SELECT rating, sentiment, zoom, c >> ({ZOOM} - zoom) AS c,
+                                r >> ({ZOOM} - zoom) AS r
+                         FROM grid CROSS JOIN (SELECT unnest(range({ZOOM + 1})) AS zoom) AS z)
+            SELECT CAST(zoom AS INTEGER) AS zoom,
+                   CAST({" + ".join(f"(((c >> {b}) & 1) << {2 * b + 1}) + (((r >> {b}) & 1) << {2 * b})"
+                                    for b in range(ZOOM))} AS BIGINT) AS cell,
+                   CAST(c AS INTEGER) AS "column", CAST(r AS INTEGER) AS "row", count(*) AS n,
+                   round(sum(rating), 2) + 0.0 AS rating_sum,
+                   round(sum(sentiment), 6) + 0.0 AS sentiment_sum
+            FROM levels GROUP BY zoom, c, r""",
         "filter_points_by_range": """
             SELECT c_custkey, c_acctbal, c_nationkey, c_mktsegment FROM customer
             WHERE c_acctbal BETWEEN 0 AND 5000 AND c_nationkey = 7

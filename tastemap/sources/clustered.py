@@ -31,10 +31,13 @@ def write_clustered(df: DataFrame, path: str, by: list[str], *, bloom: list[str]
     """
     check_target(df.sparkSession, path, sources)
     cut = {c: bounds(df, c, 1 << bits) for c in by}
-    order = [z_order([bin_of(c, cut[c]) for c in by], bits), *(F.col(c) for c in by)]
-    dealt = (df.repartitionByRange(*order) if partitions is None
-             else df.repartitionByRange(partitions, *order))
-    writer = dealt.sortWithinPartitions(*order).write.mode(mode)
+    # In columns of their own, so that a bin is found once and not for each of its bits.
+    bins = df.withColumns({f"_bin{i}": bin_of(c, cut[c]) for i, c in enumerate(by)})
+    placed = bins.withColumn("_order", z_order([F.col(f"_bin{i}") for i in range(len(by))], bits))
+    order = ["_order", *by]
+    dealt = (placed.repartitionByRange(*order) if partitions is None
+             else placed.repartitionByRange(partitions, *order))
+    writer = dealt.sortWithinPartitions(*order).select(df.columns).write.mode(mode)
     writer = writer.option("parquet.block.size", row_group)
     for column in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
