@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names[:-1]] == [f"op{i}" for i in range(1, 14)]
     assert names[-1] == "pipeline"
     assert queries.queries().items() <= entry_points.queries().items()
     assert [name for name, _ in corpus_pipeline.STAGES] == [
@@ -28,11 +28,15 @@ def test_all_are_registered():
     assert corpus_pipeline.ORACLE_SQL is None
 
 
-def test_urls_as_in_sql(spark):
+@pytest.mark.parametrize("name", ["op4_bloom_urls", "op12_gnat_negatives", "op13_term_divergence"])
+def test_as_in_sql(spark, name):
     connection = duckdb.connect()
-    connection.sql(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
-    query = queries.queries()["op4_bloom_urls"](spark, SF)
-    expected = connection.sql(queries.oracle_sql()["op4_bloom_urls"])
+    for source in ("pages", "embeddings", "documents"):
+        connection.sql(f"CREATE VIEW {source} AS SELECT * FROM '{SF}/{source}.parquet'")
+    query = queries.queries()[name](spark, SF)
+    expected = connection.sql(queries.oracle_sql()[name])
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR"}
+    assert {c: kinds[t] for c, t in query.dtypes} == dict(zip(expected.columns, map(str, expected.types)))
     columns = sorted(query.columns)
     assert columns == sorted(expected.columns)
     rows = expected.project(", ".join(columns)).fetchall()
