@@ -181,7 +181,12 @@ class Reader(ds.DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: Range) -> Iterator:
+    def read(self, partition: Range | None) -> Iterator:
+        """Rows of a range; a scan without any range is one task with none."""
+        if partition is not None:
+            yield from self._batches(partition)
+
+    def _batches(self, partition: Range) -> Iterator:
         import io
 
         import pyarrow as pa
