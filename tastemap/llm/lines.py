@@ -24,6 +24,8 @@ BANDS, ROWS = 16, 4
 THRESHOLD = 0.8
 # Lines of a bucket compared in one go; a larger bucket is cut into tiles of this many.
 TILE = 1024
+# Rows of buckets looked at in one go, and shingles held meanwhile; neither changes a link.
+GROUP_ROWS, HELD = 4096, 1 << 18
 # Characters hashed at once.
 CHUNK = 1 << 19
 
@@ -166,7 +168,8 @@ def _members_of_buckets(different: DataFrame,
     """``key, tile, node`` of buckets with two lines or more, and those lines."""
     tile = tile or TILE
     keyed = different.select("node", "signature").mapInArrow(_band_keys, "key long, node long")
-    in_order = keyed.repartition("key").sortWithinPartitions("key", "node")
+    # By one whole number Spark sorts by its digits; which lines make a tile does not matter.
+    in_order = keyed.repartition("key").sortWithinPartitions("key")
     members = durable(in_order.mapInArrow(lambda batches: _shared_buckets(batches, tile),
                                           "key long, tile int, node long"))
     nodes = durable(members.select("node").distinct())
@@ -189,20 +192,29 @@ def _links(texts: DataFrame, members: DataFrame, shared: DataFrame,
            units: Callable = normal_lines, sets: Callable = shingles) -> DataFrame:
     """Verified edges ``(a, b)`` that connect the lines that links connect.
 
-    ``units`` gives what is compared in a text, ``sets`` the shingles of one.
+    ``units`` gives what is compared in a text, ``sets`` the shingles of one. A pair
+    is compared in the first bucket it shares. Signatures tell which members have
+    such a pair in a bucket; only for those does the text of a line move.
     """
     wanted = shared.select("node", "digest", "signature")
-    lines = durable(_texts_of(texts, wanted, units))
     # Each tile of a large bucket meets itself and every other one.
     large = members.where("tile > 0").groupBy("key").agg(F.max("tile").alias("last"))
     placed = members.join(large, "key", "left").withColumn("other", F.explode(
         F.sequence(F.lit(0), F.coalesce("last", F.lit(0)))))
-    rows = (placed.join(lines, "node")
-            .select("key", F.least("tile", "other").alias("one"),
-                    F.greatest("tile", "other").alias("two"), "tile", "node", "signature", "line")
-            .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two"))
-    return rows.mapInArrow(lambda batches: _bucket_links(batches, sets),
-                           "a long, b long").distinct()
+    group = ["key", "one", "two"]
+    placed = placed.select("key", F.least("tile", "other").alias("one"),
+                           F.greatest("tile", "other").alias("two"), "tile", "node")
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*group).sortWithinPartitions(*group)
+
+    signed = together(placed.join(wanted.select("node", "signature"), "node"))
+    meeting = durable(signed.mapInArrow(
+        _meeting, "key long, one int, two int, tile int, node long, signature binary"))
+    lines = _texts_of(texts, wanted.select("node", "digest").join(
+        meeting.select("node").distinct(), "node", "left_semi"), units)
+    return together(meeting.join(lines, "node")).mapInArrow(
+        lambda batches: _bucket_links(batches, sets), "a long, b long").distinct()
 
 
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,70 +257,115 @@ def _members(keys, tiles, nodes) -> pa.RecordBatch:
                             pa.array(nodes, pa.int64())], ["key", "tile", "node"])
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows in the order of ``key, one, two`` as some whole groups at a time, with each row's end
+    of group."""
+    left = None
+    for batch in batches:
+        for at in range(0, batch.num_rows, GROUP_ROWS):
+            some = batch.slice(at, GROUP_ROWS)
+            if left is not None and left.num_rows:
+                some = pa.Table.from_batches([left, some]).combine_chunks().to_batches()[0]
+            ends = _ends(some)
+            last = int(np.searchsorted(ends, len(ends)))
+            if last:
+                yield some.slice(0, last), ends[:last]
+            left = some.slice(last)
+    if left is not None and left.num_rows:
+        yield left, _ends(left)
+
+
+def _ends(rows: pa.RecordBatch) -> np.ndarray:
+    """For each row, where its group ends."""
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for name in ("key", "one", "two"):
+        values = rows.column(name).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.r_[starts, rows.num_rows])
+    return np.repeat(starts + sizes, sizes)
+
+
+def _first_meetings(rows: pa.RecordBatch, ends: np.ndarray,
+                    head: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a group that share no earlier band, those some places apart at a time.
+
+    Pairs of one ``head``, which may change between the steps, are left out. In a
+    group of two tiles, only pairs across them count.
+    """
+    signature = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u4")
+    bands = signature.reshape(rows.num_rows, len(signature) // max(1, rows.num_rows))
+    band = rows.column("key").to_numpy() >> 32
+    across = rows.column("one").to_numpy() != rows.column("two").to_numpy()
+    tile = rows.column("tile").to_numpy()
+    live, apart = np.arange(rows.num_rows), 0
+    while len(live):
+        apart += 1
+        live = live[live + apart < ends[live]]
+        i, j = live, live + apart
+        if head is not None:
+            i, j = i[head[i] != head[j]], j[head[i] != head[j]]
+        found = (bands[i] == bands[j]).argmax(axis=1) == band[i]
+        found &= ~across[i] | (tile[i] != tile[j])
+        yield i[found], j[found]
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that have a pair to be compared in their group."""
+    names = ["key", "one", "two", "tile", "node", "signature"]
+    for rows, ends in _whole_groups(batches):
+        meets = np.zeros(rows.num_rows, bool)
+        for i, j in _first_meetings(rows, ends):
+            meets[i] = meets[j] = True
+        yield rows.select(names).filter(pa.array(meets))
+
+
 def _bucket_links(batches: Iterator[pa.RecordBatch],
                   sets: Callable) -> Iterator[pa.RecordBatch]:
-    """Edges that connect each bucket, or pair of tiles, whose rows come together."""
-    rows, here, found = [], None, []
-    for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in (
-                "key", "one", "two", "tile", "node", "signature", "line"))):
-            if row[:3] != here:
-                found += _connected(rows, sets)
-                rows, here = [], row[:3]
-            rows.append(row)
+    """Verified links that are needed to connect each bucket, or pair of tiles.
+
+    A pair is compared unless links connect it already or the sizes of its sets
+    forbid the similarity.
+    """
+    for rows, ends in _whole_groups(batches):
+        found = _connected(rows, ends, sets)
         if found:
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
-            found = []
-    found = _connected(rows, sets)
-    if found:
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
 
-def _connected(rows: list[tuple], sets: Callable = shingles) -> list[tuple[int, int]]:
-    """Verified links of the lines of a bucket that are needed to connect it.
-
-    A pair is compared in the first bucket that it shares, unless links connect it
-    already or the sizes of its sets forbid the similarity.
-    """
-    if len(rows) < 2:
-        return []
-    key, one, two = rows[0][:3]
-    signature = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(len(rows), -1)
-    bands = signature.view("<u4")
-    tile = np.array([r[3] for r in rows])
-    head, links, known = list(range(len(rows))), [], {}
-
-    def find(i):
-        while head[i] != i:
-            head[i] = head[head[i]]
-            i = head[i]
-        return i
+def _connected(rows: pa.RecordBatch, ends: np.ndarray, sets: Callable) -> list[tuple[int, int]]:
+    lines, nodes = rows.column("line"), rows.column("node").to_numpy()
+    head, links, known, held = np.arange(rows.num_rows), [], {}, 0
+    starts = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]])
 
     def shingles_of(i):
+        nonlocal held
         if i not in known:
-            known[i] = sets(rows[i][6])
+            if held > HELD:
+                known.clear()
+                held = 0
+            known[i] = sets(lines[i].as_py())
+            held += len(known[i])
         return known[i]
 
-    for i in range(len(rows) - 1):
-        alike = (bands[i + 1:] == bands[i]).argmax(axis=1) == key >> 32
-        if one != two:
-            alike &= tile[i + 1:] != tile[i]
-        for j in (i + 1 + np.flatnonzero(alike)).tolist():
-            a, b = find(i), find(j)
-            if a == b:
+    for many, more in _first_meetings(rows, ends, head):
+        for i, j in zip(many.tolist(), more.tolist()):
+            if head[i] == head[j]:
                 continue
             x, y = shingles_of(i), shingles_of(j)
             if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
                 continue
             common = len(x & y)
             if common >= THRESHOLD * (len(x) + len(y) - common):
-                head[max(a, b)] = min(a, b)
-                links.append((rows[i][4], rows[j][4]))
+                links.append((int(nodes[i]), int(nodes[j])))
+                group = head[starts[np.searchsorted(starts, i, "right") - 1]:ends[i]]
+                group[group == head[j]] = head[i]
     return links
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame, units: Callable) -> DataFrame:
-    """``node, signature, line``: the text of the wanted lines, from a second reading.
+    """``node, line``: the text of the wanted lines, from a second reading.
 
     A blocked Bloom filter passes over nearly all other lines where they are read.
     """
@@ -330,8 +387,7 @@ def _texts_of(texts: DataFrame, wanted: DataFrame, units: Callable) -> DataFrame
 
     found = texts.select("text").mapInArrow(pick, "digest binary, line binary")
     return (found.join(wanted, "digest").groupBy("node")
-            .agg(F.first("signature").alias("signature"),
-                 F.first("line").cast("string").alias("line")))
+            .agg(F.first("line").cast("string").alias("line")))
 
 
 def keep_first_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tastemap.llm import lines
@@ -99,12 +100,29 @@ def test_awkward_rows(spark, awkward, no_rows):
     assert lines.keep_first_lines(no_rows).count() == 0
 
 
+def bucket_links(rows, sizes=(1, 3, 100)):
+    """Links of the rows of buckets, however they are cut into batches."""
+    names = ["key", "one", "two", "tile", "node", "signature", "line"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.string()]
+    whole = pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+    found = []
+    for size in sizes:
+        cut = [whole.slice(i, size) for i in range(0, len(rows), size)]
+        met = list(lines._meeting(iter(cut)))
+        met = [pa.record_batch([*b.columns, pa.array(
+            [rows[n][6] for n in b.column("node").to_pylist()], pa.string())], names) for b in met]
+        found.append([tuple(r.values()) for b in lines._bucket_links(iter(met), lines.shingles)
+                      for r in b.to_pylist()])
+    assert all(f == found[0] for f in found)
+    return found[0]
+
+
 def connected(texts, tiles=None, key=0):
     signature = lines.signatures(texts)
     signature[:, :lines.ROWS] = 7  # all share the first band
     rows = [(key, 0, 0 if tiles is None else 1, 0 if tiles is None else tiles[i], i,
              signature[i].tobytes(), t) for i, t in enumerate(texts)]
-    return lines._connected(rows)
+    return bucket_links(rows)
 
 
 def test_all_pairs_of_a_bucket_are_decided():
@@ -126,11 +144,36 @@ def test_every_pair_that_shares_a_band_is_verified():
     signature[:, lines.ROWS:] = np.arange(1, 4)[:, None]  # nothing but the first band is equal
     rows = [(0, 0, 0, 0, i, signature[i].tobytes(), t)
             for i, t in enumerate([one, near_copy(one, rng), other])]
-    assert lines._connected(rows) == [(0, 1)]
+    assert bucket_links(rows) == [(0, 1)]
+
+
+def test_many_buckets_at_once(monkeypatch):
+    monkeypatch.setattr(lines, "GROUP_ROWS", 5)
+    monkeypatch.setattr(lines, "HELD", 50)
+    rng = random.Random(6)
+    base = ["".join(rng.choices("abcdefgh ", k=90)) for _ in range(12)]
+    rows = []
+    for key in range(12):  # bucket k holds k + 1 lines; those of even k are near copies of one
+        for n in range(key + 1):
+            text = near_copy(base[key], rng) if key % 2 == 0 else base[n]
+            signature = lines.signatures([text])
+            signature[:, :lines.ROWS] = 7
+            rows.append((key, 0, 0, 0, len(rows), signature[0].tobytes(), text))
+    links = bucket_links(rows, (1, 7, 100))
+    head = {r[4]: r[4] for r in rows}
+    for a, b in links:
+        old, new = head[b], head[a]
+        assert old != new and rows[a][0] == rows[b][0]
+        head = {n: new if h == old else h for n, h in head.items()}
+    sets = [lines.shingles(r[6]) for r in rows]
+    for a in range(len(rows)):
+        for b in range(a):
+            if rows[a][0] == rows[b][0] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                assert head[a] == head[b]
+    assert len(links) > 20
 
 
 def test_large_buckets_are_cut_into_tiles(monkeypatch):
-    import pyarrow as pa
     monkeypatch.setattr(lines, "TILE", 3)
     keys = [1, 2, 2, 3, 4, 4, 4, 4, 4, 4, 4, 5, 6, 6]
     batch = pa.record_batch([pa.array(keys, pa.int64()), pa.array(range(14), pa.int64())],
