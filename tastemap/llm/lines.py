@@ -4,10 +4,13 @@ Equal lines are one line from the start, so a line that a third of all documents
 share costs one row per task and occurrence, and is compared once.
 """
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
@@ -25,9 +28,13 @@ THRESHOLD = 0.8
 # Lines of a bucket compared in one go; a larger bucket is cut into tiles of this many.
 TILE = 1024
 # Rows of buckets looked at in one go, and shingles held meanwhile; neither changes a link.
-GROUP_ROWS, HELD = 4096, 1 << 18
+GROUP_ROWS, HELD = 4096, 1 << 19
+# Parts of the buckets for each partition of a shuffle, and keys that a task deals out at once.
+PARTS, DEALT = 4, 1 << 19
+# Two clashing hashes of a pair move it by less than this many common shingles about the threshold.
+DOUBT = 8
 # Characters hashed at once.
-CHUNK = 1 << 19
+CHUNK = 1 << 16
 
 LINE_SCHEMA = "doc_id long, doc binary, line int, digest binary, signature binary, n_lines int"
 
@@ -63,6 +70,16 @@ def _multipliers(n: int) -> np.ndarray:
 
 
 def _signatures(lines: list[str]) -> np.ndarray:
+    codes, sizes = _codes(lines)
+    hashes = (codes >> np.uint64(32)).astype(np.uint32)
+    starts = np.r_[0, np.cumsum(sizes)[:-1]]
+    # The low byte of the least hash is as good as any.
+    return np.stack([(np.minimum.reduceat(hashes * factor, starts) & 0xFF).astype(np.uint8)
+                     for factor in _multipliers(BANDS * ROWS)], axis=1)
+
+
+def _codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every shingle of the lines, repeats included, and how many each line has."""
     padded = [line.ljust(SHINGLE, "\0") for line in lines]
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -74,17 +91,12 @@ def _signatures(lines: list[str]) -> np.ndarray:
             base, width = base * base, 2 * width
         value ^= value >> np.uint64(29)
         value *= np.uint64(0xBF58476D1CE4E5B9)
-    hashes = (value >> np.uint64(32)).astype(np.uint32)
     # Shingles that would reach into the next line are left out.
     ends = np.cumsum(sizes)
-    inside = np.ones(len(hashes), bool)
+    inside = np.ones(len(value), bool)
     for step in range(1, SHINGLE):
         inside[ends[:-1] - step] = False
-    hashes = hashes[inside]
-    starts = np.r_[0, np.cumsum(sizes - SHINGLE + 1)[:-1]]
-    # The low byte of the least hash is as good as any.
-    return np.stack([(np.minimum.reduceat(hashes * factor, starts) & 0xFF).astype(np.uint8)
-                     for factor in _multipliers(BANDS * ROWS)], axis=1)
+    return value[inside], sizes - SHINGLE + 1
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,11 +179,15 @@ def _members_of_buckets(different: DataFrame,
                         tile: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``key, tile, node`` of buckets with two lines or more, and those lines."""
     tile = tile or TILE
-    keyed = different.select("node", "signature").mapInArrow(_band_keys, "key long, node long")
-    # By one whole number Spark sorts by its digits; which lines make a tile does not matter.
-    in_order = keyed.repartition("key").sortWithinPartitions("key")
-    members = durable(in_order.mapInArrow(lambda batches: _shared_buckets(batches, tile),
-                                          "key long, tile int, node long"))
+    parts = PARTS * int(different.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Sixteen rows a line would be most of the work: a task writes those of a part as one row.
+    dealt = different.select("node", "signature").mapInArrow(
+        lambda batches: _dealt(_band_keys(batches), parts), "part int, keys binary, nodes binary")
+    together = dealt.repartition("part").sortWithinPartitions("part")
+    # Which lines make a tile does not matter.
+    members = durable(together.mapInArrow(
+        lambda batches: _shared_buckets(_in_order(batches), tile),
+        "key long, tile int, node long"))
     nodes = durable(members.select("node").distinct())
     bloom = different.sparkSession.sparkContext.broadcast(build_filter(
         nodes.select(F.xxhash64("node").alias("key"))))
@@ -228,6 +244,43 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               ["key", "node"])
 
 
+def _dealt(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """``part, keys, nodes``: keys with their nodes, dealt into parts by a hash of the key."""
+    some, n = [], 0
+    for batch in batches:
+        some.append(batch)
+        n += batch.num_rows
+        if n >= DEALT:
+            yield _deal(some, parts)
+            some, n = [], 0
+    if n:
+        yield _deal(some, parts)
+
+
+def _deal(batches: list[pa.RecordBatch], parts: int) -> pa.RecordBatch:
+    keys, nodes = (np.concatenate([b.column(c).to_numpy() for b in batches])
+                   for c in ("key", "node"))
+    part = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(parts)
+    order = np.argsort(part)
+    part = part[order].astype(np.int32)
+    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    offsets = pa.py_buffer((np.r_[starts, len(part)] * 8).astype(np.int32))
+    packed = [pa.Array.from_buffers(pa.binary(), len(starts),
+                                    [None, offsets, pa.py_buffer(values[order])])
+              for values in (keys, nodes)]
+    return pa.record_batch([pa.array(part[starts]), *packed], ["part", "keys", "nodes"])
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ``key, node`` of each part in the order of keys, from rows in the order of parts."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    for _, same in groupby(rows, itemgetter(0)):
+        _, keys, nodes = zip(*same)
+        keys, nodes = (np.frombuffer(b"".join(v), np.int64) for v in (keys, nodes))
+        order = np.argsort(keys)
+        yield pa.record_batch([pa.array(keys[order]), pa.array(nodes[order])], ["key", "node"])
+
+
 def _shared_buckets(batches: Iterator[pa.RecordBatch],
                     tile: int | None = None) -> Iterator[pa.RecordBatch]:
     """Members of buckets of two or more, in tiles, from rows in the order of buckets."""
@@ -287,12 +340,11 @@ def _ends(rows: pa.RecordBatch) -> np.ndarray:
     return np.repeat(starts + sizes, sizes)
 
 
-def _first_meetings(rows: pa.RecordBatch, ends: np.ndarray,
-                    head: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _first_meetings(rows: pa.RecordBatch,
+                    ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of a group that share no earlier band, those some places apart at a time.
 
-    Pairs of one ``head``, which may change between the steps, are left out. In a
-    group of two tiles, only pairs across them count.
+    In a group of two tiles, only pairs across them count.
     """
     signature = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u4")
     bands = signature.reshape(rows.num_rows, len(signature) // max(1, rows.num_rows))
@@ -304,8 +356,6 @@ def _first_meetings(rows: pa.RecordBatch, ends: np.ndarray,
         apart += 1
         live = live[live + apart < ends[live]]
         i, j = live, live + apart
-        if head is not None:
-            i, j = i[head[i] != head[j]], j[head[i] != head[j]]
         found = (bands[i] == bands[j]).argmax(axis=1) == band[i]
         found &= ~across[i] | (tile[i] != tile[j])
         yield i[found], j[found]
@@ -335,33 +385,121 @@ def _bucket_links(batches: Iterator[pa.RecordBatch],
 
 
 def _connected(rows: pa.RecordBatch, ends: np.ndarray, sets: Callable) -> list[tuple[int, int]]:
+    """Links between rows of whole groups, by hashed shingles; what clashing hashes could turn is
+    decided by ``sets``.
+
+    About ``HELD`` shingles are held at once: some groups, or two blocks of a larger one.
+    """
     lines, nodes = rows.column("line"), rows.column("node").to_numpy()
-    head, links, known, held = np.arange(rows.num_rows), [], {}, 0
-    starts = np.flatnonzero(np.r_[True, ends[1:] != ends[:-1]])
-
-    def shingles_of(i):
-        nonlocal held
-        if i not in known:
-            if held > HELD:
-                known.clear()
-                held = 0
-            known[i] = sets(lines[i].as_py())
-            held += len(known[i])
-        return known[i]
-
-    for many, more in _first_meetings(rows, ends, head):
-        for i, j in zip(many.tolist(), more.tolist()):
-            if head[i] == head[j]:
+    sizes = np.maximum(pc.utf8_length(lines).to_numpy(), SHINGLE) - SHINGLE + 1
+    before = np.r_[0, np.cumsum(sizes)]
+    tie = _Ties(rows, ends, sets)
+    for first, last in _runs(before, 0, np.unique(ends).tolist(), HELD):
+        if before[last] - before[first] <= HELD:
+            places = np.arange(first, last)
+            tie.among(places, places + 1 - first, ends[first:last] - first)
+            continue
+        blocks = list(_runs(before, first, range(first + 1, last + 1), HELD // 2))
+        for n, (start, stop) in enumerate(blocks):
+            own = np.arange(start, stop)
+            tie.among(own, own + 1 - start, np.full(len(own), len(own)))
+            for other in blocks[n + 1:]:
+                places = np.r_[own, np.arange(*other)]
+                tie.among(places, np.full(len(own), len(own)), np.full(len(own), len(places)))
+    return [(int(nodes[i]), int(nodes[j])) for i, j in tie.links]
+
+
+def _runs(before: np.ndarray, first: int, ends: Iterable[int],
+          most: int) -> Iterator[tuple[int, int]]:
+    """Runs from ``first`` on that stop at some of the ``ends``: of at most so many shingles, or
+    from one end to the next."""
+    last = first
+    for end in ends:
+        if last > first and before[end] - before[first] > most:
+            yield first, last
+            first = last
+        last = end
+    if last > first:
+        yield first, last
+
+
+class _Ties:
+    """Links between rows of groups, and by ``head`` what they connect."""
+
+    def __init__(self, rows: pa.RecordBatch, ends: np.ndarray, sets: Callable):
+        self.lines, self.sets, self.links = rows.column("line"), sets, []
+        self.head, self.ends = np.arange(rows.num_rows), ends
+        self.starts = np.searchsorted(ends, ends)
+        signature = np.frombuffer(b"".join(rows.column("signature").to_pylist()), "<u4")
+        self.bands = signature.reshape(rows.num_rows, len(signature) // max(1, rows.num_rows))
+        self.band = rows.column("key").to_numpy() >> 32
+        self.across = rows.column("one").to_numpy() != rows.column("two").to_numpy()
+        self.tile = rows.column("tile").to_numpy()
+
+    def among(self, places: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        """Link the first of the ``places``, each with those between its ``first`` and ``last``."""
+        ids, at = _distinct([self.lines[i].as_py() for i in places.tolist()])
+        sizes = np.diff(at)
+        mark = np.zeros(ids.max(initial=0) + 1, bool)
+        for k in np.flatnonzero(first < last).tolist():
+            i, others = places[k], np.arange(first[k], last[k])
+            others = others[self._to_compare(i, places[others])]
+            small, large = np.minimum(sizes[k], sizes[others]), np.maximum(sizes[k], sizes[others])
+            others = others[small >= THRESHOLD * large]
+            if not len(others):
                 continue
-            x, y = shingles_of(i), shingles_of(j)
-            if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
+            own = ids[at[k]:at[k + 1]]
+            mark[own] = True
+            if 8 * len(others) > last[k] - first[k]:
+                hits = np.flatnonzero(mark[ids[at[first[k]]:at[last[k]]]])
+                found = np.diff(np.searchsorted(hits, at[first[k]:last[k] + 1] - at[first[k]]))
+                common = found[others - first[k]]
+            else:
+                common = np.array([np.count_nonzero(mark[ids[at[n]:at[n + 1]]])
+                                   for n in others.tolist()])
+            mark[own] = False
+            over = common - THRESHOLD * (sizes[k] + sizes[others] - common)
+            near = over > -DOUBT
+            self._link(i, places[others[near]].tolist(), (over[near] < DOUBT).tolist())
+
+    def _to_compare(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Which of ``j`` meet ``i`` here first, across tiles if there are two, and no link connects."""
+        found = self.head[j] != self.head[i]
+        found &= (self.bands[j] == self.bands[i]).argmax(axis=1) == self.band[i]
+        return found & (self.tile[j] != self.tile[i]) if self.across[i] else found
+
+    def _link(self, i: int, near: list[int], doubtful: list[bool]) -> None:
+        own = None
+        group = self.head[self.starts[i]:self.ends[i]]
+        for j, doubt in zip(near, doubtful):
+            if self.head[i] == self.head[j]:
                 continue
-            common = len(x & y)
-            if common >= THRESHOLD * (len(x) + len(y) - common):
-                links.append((int(nodes[i]), int(nodes[j])))
-                group = head[starts[np.searchsorted(starts, i, "right") - 1]:ends[i]]
-                group[group == head[j]] = head[i]
-    return links
+            if doubt:
+                own = own or self.sets(self.lines[i].as_py())
+                other = self.sets(self.lines[j].as_py())
+                common = len(own & other)
+                if common < THRESHOLD * (len(own) + len(other) - common):
+                    continue
+            self.links.append((i, j))
+            group[group == self.head[j]] = self.head[i]
+
+
+def _distinct(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers for the different shingles of each line in turn, and where each line's begin."""
+    codes, sizes = _codes(lines)
+    # The high bits of a hash and its place sort as one number.
+    bits = np.uint64(len(codes).bit_length())
+    in_order = np.sort((codes >> bits << bits) | np.arange(len(codes), dtype=np.uint64))
+    place = (in_order & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    in_order >>= bits
+    number = np.empty(len(codes), np.int64)
+    number[place] = np.cumsum(np.r_[False, in_order[1:] != in_order[:-1]])
+    width = len(codes) + 1
+    number += np.repeat(np.arange(len(lines)) * width, sizes)
+    number.sort()
+    number = number[np.r_[True, number[1:] != number[:-1]]]
+    at = np.searchsorted(number, np.arange(len(lines) + 1) * width)
+    return number - np.repeat(np.arange(len(lines)) * width, np.diff(at)), at
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame, units: Callable) -> DataFrame:

@@ -173,6 +173,68 @@ def test_many_buckets_at_once(monkeypatch):
     assert len(links) > 20
 
 
+def test_a_large_bucket_takes_no_sets_for_each_pair(monkeypatch):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abcdefghijklmnop ", k=rng.randint(250, 300))) for _ in range(48)]
+    texts += [near_copy(line, rng) for line in texts[::4]]
+    signature = lines.signatures(texts)
+    signature[:, :lines.ROWS] = 7
+    columns = [pa.array([0] * 60, pa.int64()), *(pa.array([0] * 60, pa.int32()) for _ in range(3)),
+               pa.array(range(60), pa.int64()),
+               pa.array([row.tobytes() for row in signature], pa.binary()), pa.array(texts)]
+    rows = pa.record_batch(columns, ["key", "one", "two", "tile", "node", "signature", "line"])
+    for held in (100, 2000, 1 << 19):  # less than a line, less than the bucket, more than that
+        monkeypatch.setattr(lines, "HELD", held)
+        made = []
+        found = list(lines._bucket_links(iter([rows]), lambda line: made.append(line)
+                                         or lines.shingles(line)))
+        assert sorted(tuple(r.values()) for b in found for r in b.to_pylist()) \
+            == [(4 * n, 48 + n) for n in range(12)]
+        assert len(made) <= 60
+
+
+def test_sets_decide_what_clashing_hashes_could_turn(monkeypatch):
+    clash = lines._codes
+
+    def codes(texts):
+        found, sizes = clash(texts)
+        found[found % np.uint64(50) == 0] = 0  # a fiftieth of all shingles are one to the hash
+        return found, sizes
+
+    rng = random.Random(8)
+    one = "".join(rng.choices("abcdefgh ", k=120))
+    texts = [one] + [one[:k] + "".join(rng.choices("ijklmnop", k=120 - k)) for k in range(92, 116)]
+    monkeypatch.setattr(lines, "_codes", codes)
+    linked = {max(pair) for text in range(1, 25) for pair in connected([one, texts[text]])
+              for pair in [(text, 0)]}
+    sets = [lines.shingles(text) for text in texts]
+    assert linked == {n for n in range(1, 25)
+                      if len(sets[0] & sets[n]) >= 0.8 * len(sets[0] | sets[n])}
+    assert 0 < len(linked) < 24
+
+
+def test_keys_are_dealt_and_ordered(monkeypatch):
+    monkeypatch.setattr(lines, "DEALT", 30)
+    rng = random.Random(9)
+    pairs = [(rng.randrange(-40, 40) << 30, n) for n in range(200)]
+    batches = [pa.record_batch([pa.array(c, pa.int64()) for c in zip(*pairs[i:i + 7])],
+                               ["key", "node"]) for i in range(0, 200, 7)]
+    dealt = [tuple(r.values()) for b in lines._dealt(iter(batches), 5) for r in b.to_pylist()]
+    assert {row[0] for row in dealt} == set(range(5)) and len(dealt) < 50
+    rows = pa.record_batch([pa.array(c, t) for c, t in zip(
+        zip(*sorted(dealt)), (pa.int32(), pa.binary(), pa.binary()))], ["part", "keys", "nodes"])
+    parts = [b.to_pylist() for size in (1, 4, 50) for b in lines._in_order(
+        rows.slice(i, size) for i in range(0, len(dealt), size))]
+    assert len(parts) == 15
+    for n in range(0, 15, 5):
+        got = [tuple(r.values()) for part in parts[n:n + 5] for r in part]
+        assert sorted(got) == sorted(pairs)
+    for part in parts:
+        keys = [r["key"] for r in part]
+        assert keys == sorted(keys)
+    assert list(lines._dealt(iter([]), 5)) == list(lines._in_order(iter([]))) == []
+
+
 def test_large_buckets_are_cut_into_tiles(monkeypatch):
     monkeypatch.setattr(lines, "TILE", 3)
     keys = [1, 2, 2, 3, 4, 4, 4, 4, 4, 4, 4, 5, 6, 6]
