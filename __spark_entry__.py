@@ -63,7 +63,7 @@ TOP_TERMS = 1000
 TRAIN_TERMS = 2000
 # Widths of hashed counts; the wide one folds into the narrow one.
 NARROW, WIDE = 16, 4096
-# The test tables are one file each: partitions for work on their texts.
+# The test tables are one file each: least partitions for work on their texts.
 TEXT_PARTITIONS = 8
 # Deepest level of the map's cells.
 ZOOM = 7
@@ -129,7 +129,9 @@ def _points(spark, sf):
 
 
 def _documents(spark, sf):
-    return spread(_table(spark, sf, "documents"), TEXT_PARTITIONS)
+    scan = _table(spark, sf, "documents")
+    # As many as the scan has splits, so that a larger table has more tasks, not larger ones.
+    return spread(scan, max(TEXT_PARTITIONS, scan.rdd.getNumPartitions()))
 
 
 def _texts(spark, sf):

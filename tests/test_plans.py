@@ -151,3 +151,18 @@ def test_no_vector_is_shuffled_to_check_hashed_counts(spark, no_broadcast):
     shuffles = [text[text.index("Exchange"):] for text in plans if "Exchange" in text]
     assert shuffles and not any("values#" in t or "in_4096#" in t for t in shuffles)
     assert sum("text:string" in t for t in plans) == 1
+
+
+def test_a_larger_table_of_texts_has_more_tasks(spark, tmp_path):
+    rows = spark.range(30).selectExpr("id AS doc_id", "cast(id AS string) AS text", "'en' AS lang")
+    found = {}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4000)  # each file is a split
+    try:
+        for files in (1, 30):
+            rows.repartition(files).write.parquet(f"{tmp_path}/{files}/documents.parquet")
+            labelled = entry_points._labelled(spark, f"{tmp_path}/{files}")
+            found[files] = labelled.rdd.getNumPartitions(), labelled.count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[1] == (entry_points.TEXT_PARTITIONS, 30)
+    assert found[30][0] > 2 * entry_points.TEXT_PARTITIONS and found[30][1] == 30
