@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from tastemap.llm.shared import components, row_key, ship_code, with_row_key
+from tastemap.llm.shared import components, let_go, row_key, ship_code, with_row_key
 from tastemap.llm.urls import build_filter, may_contain
 from tastemap.sources.durable import durable
 
@@ -101,6 +101,7 @@ def _codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per line that is not blank, and one without a line per document."""
+    let_go()
     names = ["doc_id", "doc", "line", "digest", "signature", "n_lines"]
     types = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int32()]
     for batch in batches:
@@ -511,6 +512,7 @@ def _texts_of(texts: DataFrame, wanted: DataFrame, units: Callable) -> DataFrame
     bloom = texts.sparkSession.sparkContext.broadcast(build_filter(wanted.select(key.alias("key"))))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 lines = {line for text in batch.slice(at, 256).column("text").to_pylist()

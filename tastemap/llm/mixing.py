@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from tastemap.llm.shared import ship_code
+from tastemap.llm.shared import let_go, ship_code
 from tastemap.sources.durable import durable, intermediates, remove, scratch_path
 from tastemap.sources.tables import read_table, write_table
 
@@ -243,6 +243,7 @@ def with_topics(docs: DataFrame, topics: TrainedTopics, keep: list[str] | None =
                 [row.tobytes() for row in means @ centers.T], pa.binary())], ["_lang", "_offset"])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)

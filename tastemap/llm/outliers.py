@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from tastemap.llm.shared import ship_code
+from tastemap.llm.shared import let_go, ship_code
 from tastemap.sources.durable import durable
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -84,6 +84,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", keep: list[str] | N
     source = docs.select(*kept, F.col(text_col).cast("binary").alias("_text_bytes"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             rows = [text_statistics(t) for t in batch.column(len(kept)).to_pylist()]
             table = np.array(rows, np.int64).reshape(-1, len(STATISTICS))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemap.llm.shared import cell, number_rows, ship_code
+from tastemap.llm.shared import cell, let_go, number_rows, ship_code
 from tastemap.llm.tokens import encoder
 from tastemap.sources.durable import durable
 
@@ -83,6 +83,7 @@ def pack_pieces(pieces: DataFrame, max_tokens: int) -> DataFrame:
     schema = numbered.drop("cell", "rank").schema.add("sequence_id", "long").add("offset", "long")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         lengths, ranks, sequences, offsets = slots.value
         keys = (lengths << 44) + ranks
         for batch in batches:

@@ -2,8 +2,9 @@
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,26 @@ def ship_code(spark: SparkSession) -> None:
     context._tastemap_shipped = True
 
 
+# What a Python worker keeps from task to task for the operator at work.
+_kept: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """``make()``, called once a worker and then kept until :func:`let_go`."""
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go() -> None:
+    """Drop what the worker keeps for an operator before this one, and Arrow's spare memory.
+
+    Workers outlive the stage they were started for; tasks that hold much call this first.
+    """
+    _kept.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def row_key(row_id: int | None, text: bytes | None) -> bytes:
     """A row's identity wherever it is read; only rows with equal id and text share it."""
     mark = b"-" if text is None else b"+"
@@ -53,6 +74,7 @@ def with_row_key(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     wide = plain.withColumns({"_id": row_id.cast("long"), "_bytes": text.cast("binary")})
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             found = list(map(row_key, batch.column("_id").to_pylist(),
                              batch.column("_bytes").to_pylist()))

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tastemap.llm.shared import components, join_groups, row_key, rows_that_stay, ship_code
+from tastemap.llm.shared import (components, join_groups, let_go, row_key, rows_that_stay,
+                                  ship_code)
 from tastemap.sources.durable import durable
 
 SEED = 42
@@ -60,6 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship_code(docs.sparkSession)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 some = batch.slice(first, 512)

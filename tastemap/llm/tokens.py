@@ -8,6 +8,8 @@ from collections.abc import Iterable
 import numpy as np
 from tokenizers import Tokenizer
 
+from tastemap.llm.shared import kept
+
 # Words kept with their ids in a worker; further ones are encoded at every batch.
 MEMO_WORDS = 800_000
 
@@ -55,30 +57,34 @@ class Encoder:
                       and spec["model"]["type"] == "BPE")
         self.letters = _byte_letters()
         self.memo: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _model(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if not piece.isascii():
-                letters = "".join(map(self.letters.__getitem__, piece.encode()))
-            else:
-                letters = piece
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
-            if len(self.pieces) < MEMO_WORDS:
-                self.pieces[piece] = ids
-        return ids
+        letters = piece
+        if not piece.isascii():
+            letters = "".join(map(self.letters.__getitem__, piece.encode()))
+        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
 
     def _new_words(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not in the memo, and of the lower-case letters in them, which are
+        words too."""
         found, odd = {}, []
         for word in words:
             plain = PLAIN.fullmatch(word.decode())
             if plain is None:
                 odd.append(word)
-            else:
-                piece, marks = plain.groups()
-                ids = self._model(piece.lower())
-                found[word] = ids + self._model(marks) if marks else ids
+                continue
+            piece, marks = plain.groups()
+            piece = piece.lower()
+            low = piece.encode()
+            ids = self.memo.get(low) or found.get(low)
+            if ids is None:
+                ids = found[low] = self._model(piece)
+            if marks:
+                if marks not in self.marks and len(self.marks) < MEMO_WORDS:
+                    self.marks[marks] = self._model(marks)
+                ids += self.marks.get(marks) or self._model(marks)
+            found[word] = ids
         texts = [w.decode() for w in odd]
         for word, encoding in zip(odd, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             found[word] = np.array(encoding.ids, "<u4").tobytes()
@@ -102,11 +108,6 @@ class Encoder:
         return [b"".join([memo[w] if w in memo else new[w] for w in words]) for words in split]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file, kept from task to task."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return kept(("encoder", path), lambda: Encoder(path))

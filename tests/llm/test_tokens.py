@@ -5,6 +5,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tastemap.llm import packing, seekable, tokens
+from tastemap.llm import lines, packing, seekable, tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -214,3 +215,19 @@ def test_nnls_is_non_negative_least_squares():
     x = packing.nnls(matrix, target)
     slope = matrix.T @ (target - matrix @ x)
     assert (slope < 1e-5).all() and np.allclose(slope[x > 1e-9], 0, atol=1e-5)
+
+
+def test_letters_with_marks_are_kept_once():
+    encoder = tokens.Encoder(PATH)
+    encoder.encode(["Word word, (word) WORD! word".encode()])
+    held = [v for v in vars(encoder).values() if isinstance(v, dict) and v is not encoder.letters]
+    keys = [k if isinstance(k, bytes) else k.encode() for d in held for k in d]
+    assert keys.count(b"word") == 1
+
+
+def test_workers_drop_the_words_when_they_turn_to_other_work():
+    tokens.encoder(PATH).encode([b"words kept from task to task"])
+    assert tokens.encoder(PATH).memo
+    batch = pa.record_batch([pa.array([1]), pa.array([b"a line"])], ["doc_id", "text"])
+    assert sum(b.num_rows for b in lines._lines(iter([batch]))) == 2
+    assert not tokens.encoder(PATH).memo
