@@ -36,6 +36,9 @@ DOUBT = 8
 # Characters hashed at once.
 CHUNK = 1 << 16
 
+# The blanks of ASCII within a line, as one.
+BLANKS = bytes.maketrans(b"\t\r\v\f", b"    ")
+
 LINE_SCHEMA = "doc_id long, doc binary, line int, digest binary, signature binary, n_lines int"
 
 
@@ -44,7 +47,11 @@ def normal_lines(text: bytes | None) -> list[bytes]:
 
     Blank lines are empty here; they are never duplicates.
     """
-    return [b" ".join(line.split()) for line in (text or b"").lower().split(b"\n")]
+    # Whole texts are rewritten: lines are too many to be split into words one by one.
+    text = (text or b"").lower().translate(BLANKS)
+    while b"  " in text:
+        text = text.replace(b"  ", b" ")
+    return text.replace(b" \n", b"\n").replace(b"\n ", b"\n").strip(b" ").split(b"\n")
 
 
 def shingles(line: str) -> set[str]:
@@ -64,18 +71,20 @@ def signatures(lines: list[str]) -> np.ndarray:
     return found
 
 
-def _multipliers(n: int) -> np.ndarray:
-    """Odd 32-bit numbers, the same everywhere."""
-    return np.random.default_rng(8).integers(0, 1 << 31, n, dtype=np.uint32) * 2 + 1
+# Odd 32-bit numbers, the same everywhere.
+MULTIPLIERS = np.random.default_rng(8).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * 2 + 1
 
 
 def _signatures(lines: list[str]) -> np.ndarray:
     codes, sizes = _codes(lines)
     hashes = (codes >> np.uint64(32)).astype(np.uint32)
     starts = np.r_[0, np.cumsum(sizes)[:-1]]
+    found = np.empty((len(MULTIPLIERS), len(lines)), np.uint32)
+    product = np.empty_like(hashes)
+    for factor, least in zip(MULTIPLIERS, found):
+        np.minimum.reduceat(np.multiply(hashes, factor, out=product), starts, out=least)
     # The low byte of the least hash is as good as any.
-    return np.stack([(np.minimum.reduceat(hashes * factor, starts) & 0xFF).astype(np.uint8)
-                     for factor in _multipliers(BANDS * ROWS)], axis=1)
+    return found.astype(np.uint8).T
 
 
 def _codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,28 +112,34 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per line that is not blank, and one without a line per document."""
     let_go()
     names = ["doc_id", "doc", "line", "digest", "signature", "n_lines"]
-    types = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int32()]
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             some = batch.slice(at, 256)
-            columns = [[] for _ in names]
-            new: dict[bytes, str] = {}
-            for doc_id, text in zip(*(some.column(c).to_pylist() for c in ("doc_id", "text"))):
-                doc, n = row_key(doc_id, text), 0
-                for number, line in enumerate(normal_lines(text)):
-                    if line:
-                        n += 1
-                        digest = xxh3_128_digest(line)
-                        new[digest] = line
-                        for column, value in zip(columns, (doc_id, doc, number, digest, None, None)):
-                            column.append(value)
-                for column, value in zip(columns, (doc_id, doc, None, None, None, n)):
-                    column.append(value)
+            ids, texts = (some.column(c) for c in ("doc_id", "text"))
+            texts = texts.to_pylist()
+            docs = pa.array(list(map(row_key, ids.to_pylist(), texts)), pa.binary())
+            lines, numbers, sizes = [], [], []
+            for text in texts:
+                own = normal_lines(text)
+                there = [i for i, line in enumerate(own) if line]
+                numbers += there
+                lines += own if len(there) == len(own) else [own[i] for i in there]
+                sizes.append(len(there))
+            digests = list(map(xxh3_128_digest, lines))
             # Each distinct line of these documents has its signature at its first place only.
-            found = signatures([line.decode() for line in new.values()])
-            at_first = {digest: row.tobytes() for digest, row in zip(new, found)}
-            columns[4] = [at_first.pop(digest, None) for digest in columns[3]]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names)
+            first = dict(zip(reversed(digests), range(len(digests) - 1, -1, -1)))
+            places = sorted(first.values())
+            signed = [None] * len(digests)
+            for i, row in zip(places, signatures([lines[i].decode() for i in places])):
+                signed[i] = row.tobytes()
+            doc = pa.array(np.repeat(np.arange(len(texts)), sizes))
+            n, every = pa.nulls(len(digests), pa.int32()), len(texts)
+            yield pa.record_batch([ids.take(doc), docs.take(doc), pa.array(numbers, pa.int32()),
+                                   pa.array(digests, pa.binary()), pa.array(signed, pa.binary()),
+                                   n], names)
+            yield pa.record_batch([ids, docs, pa.nulls(every, pa.int32()),
+                                   pa.nulls(every, pa.binary()), pa.nulls(every, pa.binary()),
+                                   pa.array(sizes, pa.int32())], names)
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """Fuzzy line deduplication."""
 
 import random
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -264,3 +265,22 @@ def test_signatures_do_not_depend_on_neighbours():
     together = lines.signatures(texts)
     for text, signature in zip(texts, together):
         assert (lines.signatures([text])[0] == signature).all()
+
+
+def test_normal_lines_join_words_by_one_blank():
+    rng = random.Random(9)
+    for _ in range(3000):
+        text = "".join(rng.choices("aB \t\r\x0b\x0c\x1c\x85é \n", k=rng.randrange(30))).encode()
+        assert lines.normal_lines(text) == [b" ".join(line.split())
+                                            for line in text.lower().split(b"\n")]
+
+
+def test_normal_lines_take_no_step_per_line():
+    text, calls = b"Some words \t of a  line\n" * 1000, []
+    sys.setprofile(lambda frame, event, what: calls.append(what) if event == "c_call" else None)
+    try:
+        found = lines.normal_lines(text)
+    finally:
+        sys.setprofile(None)
+    assert found == [b"some words of a line"] * 1000 + [b""]
+    assert len(calls) < 50
