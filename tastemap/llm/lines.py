@@ -11,7 +11,7 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
@@ -33,6 +33,8 @@ GROUP_ROWS, HELD = 4096, 1 << 19
 PARTS, DEALT = 4, 1 << 19
 # Two clashing hashes of a pair move it by less than this many common shingles about the threshold.
 DOUBT = 8
+# Groups of fewer rows are compared pair by pair, larger ones a line with all others at once.
+FEW = 24
 # Characters hashed at once.
 CHUNK = 1 << 16
 
@@ -169,19 +171,25 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members, shared = _members_of_buckets(different)
     grouped = components(_links(texts, members, shared))
     # A line that stands once and shares no bucket stays: it goes through no join.
-    repeated = different.where("n > 1").select("digest", "first", "node").unionByName(
-        shared.where("n = 1").select("digest", "first", "node"))
-    nodes = (repeated.join(grouped, "node", "left")
-             .withColumn("component", F.coalesce("component", "node")))
+    repeated = different.where("n > 1").select("digest", "n", "first", "node").unionByName(
+        shared.where("n = 1").select("digest", "n", "first", "node"))
+    nodes = durable(repeated.join(grouped, "node", "left")
+                    .withColumn("component", F.coalesce("component", "node")).drop("node"))
     stays = nodes.groupBy("component").agg(F.min("first").alias("stays"))
-    nodes = nodes.join(stays, "component").select("digest", "stays.doc", "stays.line")
-    nodes = nodes.withColumnsRenamed({"doc": "stays_doc", "line": "stays_line"})
-    gone = (places.select("doc", "line", "digest").join(nodes, "digest")
-            .where("doc <> stays_doc OR line <> stays_line")
+    nodes = durable(nodes.join(stays, "component").drop("component"))
+    # Only lines that stand several times are looked for among all places.
+    several = nodes.where("n > 1").select("digest", F.col("stays.doc").alias("stays_doc"),
+                                          F.col("stays.line").alias("stays_line"))
+    key = F.xxhash64("digest")
+    gone = (places.select("doc", "line", "digest")
+            .where(_possible(key, several.select(key.alias("key")))).join(several, "digest")
+            .where("doc <> stays_doc OR line <> stays_line").select("doc", "line")
+            .unionByName(nodes.where("n = 1").select("first.doc", "first.line", "stays")
+                         .where("doc <> stays.doc OR line <> stays.line").drop("stays"))
             .groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("removed")))
-    copies = rows.where("n_lines IS NOT NULL").select(
+    copies = durable(rows.where("n_lines IS NOT NULL").select(
         "doc", "doc_id", "n_lines",
-        F.row_number().over(Window.partitionBy("doc").orderBy("doc_id")).alias("copy"))
+        F.row_number().over(Window.partitionBy("doc").orderBy("doc_id")).alias("copy")))
     twice = durable(copies.where("copy = 2").select("doc"))
     every = (places.select("doc", "line").join(twice, "doc")
              .groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("every")))
@@ -205,30 +213,21 @@ def _members_of_buckets(different: DataFrame,
         lambda batches: _shared_buckets(_in_order(batches), tile),
         "key long, tile int, node long"))
     nodes = durable(members.select("node").distinct())
-    bloom = different.sparkSession.sparkContext.broadcast(build_filter(
-        nodes.select(F.xxhash64("node").alias("key"))))
-
-    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = may_contain(bloom.value, batch.column("_key").to_numpy())
-            yield batch.drop_columns(["_key"]).filter(pa.array(hit))
-
     # Most lines share no bucket; a blocked Bloom filter passes over nearly all of them
-    # before the join moves any row.
-    some = (different.withColumn("_key", F.xxhash64("node"))
-            .mapInArrow(possible, different.schema))
+    # before the join moves any row. Nothing but its keys goes through Python.
+    key = F.xxhash64("node")
+    some = different.where(_possible(key, nodes.select(key.alias("key"))))
     return members, durable(some.join(nodes, "node"))
 
 
 def _links(texts: DataFrame, members: DataFrame, shared: DataFrame,
-           units: Callable = normal_lines, sets: Callable = shingles) -> DataFrame:
+           sets: Callable = shingles) -> DataFrame:
     """Verified edges ``(a, b)`` that connect the lines that links connect.
 
-    ``units`` gives what is compared in a text, ``sets`` the shingles of one. A pair
-    is compared in the first bucket it shares. Signatures tell which members have
-    such a pair in a bucket; only for those does the text of a line move.
+    ``sets`` gives the shingles of a line. A pair is compared in the first bucket it
+    shares. Signatures tell which members have such a pair in a bucket; only for
+    those does the text of a line move.
     """
-    wanted = shared.select("node", "digest", "signature")
     # Each tile of a large bucket meets itself and every other one.
     large = members.where("tile > 0").groupBy("key").agg(F.max("tile").alias("last"))
     placed = members.join(large, "key", "left").withColumn("other", F.explode(
@@ -240,11 +239,11 @@ def _links(texts: DataFrame, members: DataFrame, shared: DataFrame,
     def together(rows: DataFrame) -> DataFrame:
         return rows.repartition(*group).sortWithinPartitions(*group)
 
-    signed = together(placed.join(wanted.select("node", "signature"), "node"))
+    signed = together(placed.join(shared.select("node", "signature"), "node"))
     meeting = durable(signed.mapInArrow(
         _meeting, "key long, one int, two int, tile int, node long, signature binary"))
-    lines = _texts_of(texts, wanted.select("node", "digest").join(
-        meeting.select("node").distinct(), "node", "left_semi"), units)
+    lines = _texts_of(texts, shared.select("node", "first.doc", F.col("first.line").alias("number"))
+                      .join(meeting.select("node").distinct(), "node", "left_semi"))
     return together(meeting.join(lines, "node")).mapInArrow(
         lambda batches: _bucket_links(batches, sets), "a long, b long").distinct()
 
@@ -356,9 +355,10 @@ def _ends(rows: pa.RecordBatch) -> np.ndarray:
     return np.repeat(starts + sizes, sizes)
 
 
-def _first_meetings(rows: pa.RecordBatch,
-                    ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of a group that share no earlier band, those some places apart at a time.
+def _first_meetings(rows: pa.RecordBatch, ends: np.ndarray,
+                    live: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a ``live`` row and a later one of its group that share no earlier band, those some
+    places apart at a time.
 
     In a group of two tiles, only pairs across them count.
     """
@@ -367,7 +367,7 @@ def _first_meetings(rows: pa.RecordBatch,
     band = rows.column("key").to_numpy() >> 32
     across = rows.column("one").to_numpy() != rows.column("two").to_numpy()
     tile = rows.column("tile").to_numpy()
-    live, apart = np.arange(rows.num_rows), 0
+    apart = 0
     while len(live):
         apart += 1
         live = live[live + apart < ends[live]]
@@ -382,7 +382,7 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["key", "one", "two", "tile", "node", "signature"]
     for rows, ends in _whole_groups(batches):
         meets = np.zeros(rows.num_rows, bool)
-        for i, j in _first_meetings(rows, ends):
+        for i, j in _first_meetings(rows, ends, np.arange(rows.num_rows)):
             meets[i] = meets[j] = True
         yield rows.select(names).filter(pa.array(meets))
 
@@ -401,8 +401,8 @@ def _bucket_links(batches: Iterator[pa.RecordBatch],
 
 
 def _connected(rows: pa.RecordBatch, ends: np.ndarray, sets: Callable) -> list[tuple[int, int]]:
-    """Links between rows of whole groups, by hashed shingles; what clashing hashes could turn is
-    decided by ``sets``.
+    """Links between rows of whole groups, by numbers for shingles; what clashing hashes could turn
+    is decided by ``sets``.
 
     About ``HELD`` shingles are held at once: some groups, or two blocks of a larger one.
     """
@@ -410,10 +410,19 @@ def _connected(rows: pa.RecordBatch, ends: np.ndarray, sets: Callable) -> list[t
     sizes = np.maximum(pc.utf8_length(lines).to_numpy(), SHINGLE) - SHINGLE + 1
     before = np.r_[0, np.cumsum(sizes)]
     tie = _Ties(rows, ends, sets)
+    few = ends - tie.starts < FEW
+    pairs = [np.concatenate(c) for c in zip(*_first_meetings(rows, ends, np.flatnonzero(few)))]
+    if pairs:
+        order = np.lexsort(pairs[::-1])
+        tie.pairs(pairs[0][order].tolist(), pairs[1][order].tolist())
     for first, last in _runs(before, 0, np.unique(ends).tolist(), HELD):
         if before[last] - before[first] <= HELD:
-            places = np.arange(first, last)
-            tie.among(places, places + 1 - first, ends[first:last] - first)
+            places = first + np.flatnonzero(~few[first:last])
+            if len(places):
+                tie.among(places, np.arange(1, len(places) + 1),
+                          np.searchsorted(places, ends[places]))
+            continue
+        if few[first]:
             continue
         blocks = list(_runs(before, first, range(first + 1, last + 1), HELD // 2))
         for n, (start, stop) in enumerate(blocks):
@@ -422,7 +431,9 @@ def _connected(rows: pa.RecordBatch, ends: np.ndarray, sets: Callable) -> list[t
             for other in blocks[n + 1:]:
                 places = np.r_[own, np.arange(*other)]
                 tie.among(places, np.full(len(own), len(own)), np.full(len(own), len(places)))
-    return [(int(nodes[i]), int(nodes[j])) for i, j in tie.links]
+    # Group by group, however many of them came at once.
+    links = sorted(tie.links, key=lambda link: tie.starts[link[0]])
+    return [(int(nodes[i]), int(nodes[j])) for i, j in links]
 
 
 def _runs(before: np.ndarray, first: int, ends: Iterable[int],
@@ -451,6 +462,41 @@ class _Ties:
         self.band = rows.column("key").to_numpy() >> 32
         self.across = rows.column("one").to_numpy() != rows.column("two").to_numpy()
         self.tile = rows.column("tile").to_numpy()
+        self.held, self.known = 0, {}
+
+    def pairs(self, first: list[int], second: list[int]) -> None:
+        """Link the rows of each pair in turn, those of one group after the other."""
+        for i, j in zip(first, second):
+            if self.head[i] == self.head[j]:
+                continue
+            one, two = self._numbers(i), self._numbers(j)
+            doubt = 0
+            if one is None or two is None:
+                one, two, doubt = self._hashes(i), self._hashes(j), DOUBT
+            small, large = sorted((len(one), len(two)))
+            if small < THRESHOLD * large - doubt:
+                continue
+            both = np.concatenate((one, two))
+            both.sort(kind="stable")  # merges the two
+            common = np.count_nonzero(both[1:] == both[:-1])
+            over = common - THRESHOLD * (small + large - common)
+            if over >= -doubt:
+                self._link(i, [j], [over < doubt])
+
+    def _numbers(self, i: int) -> np.ndarray | None:
+        """A row's shingles as numbers that never clash, if its characters are bytes."""
+        return self._once((i, 0), _packed)
+
+    def _hashes(self, i: int) -> np.ndarray:
+        return self._once((i, 1), lambda line: np.unique(_codes([line])[0]))
+
+    def _once(self, key: tuple[int, int], make: Callable) -> np.ndarray | None:
+        if key not in self.known:
+            if self.held > HELD:
+                self.held, self.known = 0, {}
+            found = self.known[key] = make(self.lines[key[0]].as_py())
+            self.held += 0 if found is None else len(found)
+        return self.known[key]
 
     def among(self, places: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
         """Link the first of the ``places``, each with those between its ``first`` and ``last``."""
@@ -500,6 +546,24 @@ class _Ties:
             group[group == self.head[j]] = self.head[i]
 
 
+def _packed(line: str) -> np.ndarray | None:
+    """The different shingles of a line of Latin-1, whose characters make a 64-bit number; else none.
+
+    A line shorter than a shingle has none: its characters do not say its length.
+    """
+    try:
+        text = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    if len(text) < SHINGLE:
+        return None
+    found = np.sort(np.ndarray(len(text) - SHINGLE + 1, "<u8", text, strides=(1,)))
+    new = np.empty(len(found), bool)
+    new[0] = True
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    return found[new]
+
+
 def _distinct(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Numbers for the different shingles of each line in turn, and where each line's begin."""
     codes, sizes = _codes(lines)
@@ -518,33 +582,53 @@ def _distinct(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return number - np.repeat(np.arange(len(lines)) * width, np.diff(at)), at
 
 
-def _texts_of(texts: DataFrame, wanted: DataFrame, units: Callable) -> DataFrame:
+def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """``node, line``: the text of the wanted lines, from a second reading.
 
-    A blocked Bloom filter passes over nearly all other lines where they are read.
+    A blocked Bloom filter of the lines' first places passes over nearly all others
+    before their texts are split.
     """
-    key = F.xxhash64("digest")
+    key = F.xxhash64("doc").bitwiseXOR(F.col("number").cast("long"))
     bloom = texts.sparkSession.sparkContext.broadcast(build_filter(wanted.select(key.alias("key"))))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                lines = {line for text in batch.slice(at, 256).column("text").to_pylist()
-                         for line in units(text) if line}
-                lines = list(lines)
-                digests = list(map(xxh3_128_digest, lines))
-                keys = np.array([xxh64_intdigest(d, 42) for d in digests], np.uint64)
-                hit = np.flatnonzero(may_contain(bloom.value, keys.view(np.int64)))
-                yield pa.record_batch([pa.array([digests[i] for i in hit], pa.binary()),
-                                       pa.array([lines[i] for i in hit], pa.binary())],
-                                      ["digest", "line"])
-
-    found = texts.select("text").mapInArrow(pick, "digest binary, line binary")
-    return (found.join(wanted, "digest").groupBy("node")
+                some = batch.slice(at, 256)
+                own = some.column("text").to_pylist()
+                docs = list(map(row_key, some.column("doc_id").to_pylist(), own))
+                own = [text or b"" for text in own]
+                sizes = [text.count(b"\n") + 1 for text in own]
+                doc = np.repeat(np.arange(len(own)), sizes)
+                number = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                keys = np.array([xxh64_intdigest(d, 42) for d in docs], np.uint64).view(np.int64)
+                hit = np.flatnonzero(may_contain(bloom.value, keys[doc] ^ number))
+                doc, number, lines = doc[hit], number[hit], []
+                for i, numbers in groupby(zip(doc.tolist(), number.tolist()), itemgetter(0)):
+                    there = own[i].split(b"\n")
+                    lines += [normal_lines(there[n])[0] for _, n in numbers]
+                yield pa.record_batch([pa.array([docs[i] for i in doc.tolist()], pa.binary()),
+                                       pa.array(number, pa.int32()), pa.array(lines, pa.binary())],
+                                      ["doc", "number", "line"])
+
+    found = texts.mapInArrow(pick, "doc binary, number int, line binary")
+    # A row that stands twice gives its lines twice.
+    return (found.join(wanted, ["doc", "number"]).groupBy("node")
             .agg(F.first("line").cast("string").alias("line")))
 
 
+def _possible(column: Column, keys: DataFrame) -> Column:
+    """Whether a 64-bit integer may be among the ``key`` of a table, by a blocked Bloom filter."""
+    bloom = keys.sparkSession.sparkContext.broadcast(build_filter(keys))
+
+    @F.arrow_udf("boolean")
+    def possible(some: pa.Array) -> pa.Array:
+        return pa.array(may_contain(bloom.value, some.to_numpy()))
+
+    return possible(column)
+
+
 def keep_first_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without their duplicate lines; documents with no line left go.
 

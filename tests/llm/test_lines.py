@@ -214,6 +214,111 @@ def test_sets_decide_what_clashing_hashes_could_turn(monkeypatch):
     assert 0 < len(linked) < 24
 
 
+def linked_by_sets(texts):
+    sets = [lines.shingles(text) for text in texts]
+    head = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i + 1, len(texts)):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                head = [head[i] if h == head[j] else h for h in head]
+    return [[n for n, h in enumerate(head) if h == own] for own in head]
+
+
+def linked(texts, links):
+    head = list(range(len(texts)))
+    for i, j in links:
+        assert head[i] != head[j]
+        head = [head[i] if h == head[j] else h for h in head]
+    return [[n for n, h in enumerate(head) if h == own] for own in head]
+
+
+def test_a_few_lines_of_latin_1_take_no_sets():
+    rng = random.Random(10)
+    one = "".join(rng.choices("abcdefgh \xe9\xff", k=120))
+    texts = [one] + [one[:k] + "".join(rng.choices("ijklmnop", k=120 - k)) for k in range(96, 114)]
+    signature = lines.signatures(texts)
+    signature[:, :lines.ROWS] = 7
+    n = len(texts)
+    columns = [pa.array([0] * n, pa.int64()), *(pa.array([0] * n, pa.int32()) for _ in range(3)),
+               pa.array(range(n), pa.int64()),
+               pa.array([row.tobytes() for row in signature], pa.binary()), pa.array(texts)]
+    rows = pa.record_batch(columns, ["key", "one", "two", "tile", "node", "signature", "line"])
+    made = []
+    found = list(lines._bucket_links(iter([rows]), lambda line: made.append(line)
+                                     or lines.shingles(line)))
+    links = [tuple(r.values()) for b in found for r in b.to_pylist()]
+    assert linked(texts, links) == linked_by_sets(texts)
+    assert 0 < len(links) < n - 1
+    assert not made
+
+
+@pytest.mark.parametrize("held", [40, 1 << 19])
+@pytest.mark.parametrize("few", [0, 3, 24])
+def test_any_characters_are_decided_in_small_and_large_groups(monkeypatch, few, held):
+    monkeypatch.setattr(lines, "FEW", few)
+    monkeypatch.setattr(lines, "HELD", held)
+    rng = random.Random(11)
+    for letters in ("abcdefgh ", "\u0430\u0431\u0432\u0433\u0434\u0435 ", "ab\u2014\xe9\U0001f600 "):
+        one, two = ("".join(rng.choices(letters, k=90)) for _ in range(2))
+        texts = [one, two, near_copy(one, rng), one[:80] + "\u0416" * 10, near_copy(two, rng),
+                 one + "\u2014", "abc", "abc\0", "abc" + "\0" * 5, "abc" + "\0" * 6, "\u0430" * 3]
+        assert linked(texts, connected(texts)) == linked_by_sets(texts)
+
+
+@pytest.mark.parametrize("letters", ["\u0430\u0431\u0432\u0433\u0434\u0435\u0436 ", "abcdefgh "])
+@pytest.mark.parametrize("few", [0, 24])
+def test_clashing_hashes_turn_nothing(monkeypatch, letters, few):
+    clash = lines._codes
+
+    def codes(texts):
+        found, sizes = clash(texts)
+        found[found % np.uint64(50) == 0] = 0
+        return found, sizes
+
+    rng = random.Random(12)
+    one = "".join(rng.choices(letters, k=120))
+    texts = [one] + [one[:k] + "".join(rng.choices("ijklmnop", k=120 - k)) for k in range(92, 116)]
+    monkeypatch.setattr(lines, "FEW", few)
+    monkeypatch.setattr(lines, "_codes", codes)
+    for text in texts[1:]:
+        assert linked([one, text], connected([one, text])) == linked_by_sets([one, text])
+
+
+def test_texts_are_found_by_their_places(spark):
+    rows = [(1, "One line\n\n  The  OTHER \tline \nlast"), (1, "One line"), (2, None), (3, ""),
+            (4, "\u00c9t\u00e9 \u2014 a line\nsecond"), (None, "no id"), (4, "x")]
+    rows += [rows[0], rows[4]]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "CAST(text AS BINARY) AS text")
+    places = [(0, 2, 10), (0, 0, 11), (4, 1, 12), (4, 0, 13), (5, 0, 14), (1, 0, 15)]
+    wanted = spark.createDataFrame(
+        [(node, bytearray(lines.row_key(rows[row][0], rows[row][1].encode())), number)
+         for row, number, node in places], "node long, doc binary, number int")
+    found = lines._texts_of(texts, wanted).collect()
+    assert sorted((r.node, r.line) for r in found) == [
+        (10, "the other line"), (11, "one line"), (12, "second"), (13, "\u00c9t\u00e9 \u2014 a line"),
+        (14, "no id"), (15, "one line")]
+
+
+def test_lines_that_stand_once_and_several_times_go(spark):
+    rng = random.Random(13)
+    base = ["".join(rng.choices("abcdefgh ", k=120)).strip() for _ in range(4)]
+    once = [near_copy(line, rng) for line in base]
+    rows = [(5, "\n".join(base)), (7, "\n".join([once[0], base[1], "own"])), (None, once[2]),
+            (6, "\n".join([base[3], once[3], base[3]])), (2, once[1]), (5, "\n".join(base))]
+    check(spark, rows)
+
+
+def test_only_keys_of_lines_go_through_python_for_the_filter(spark):
+    made = spark.createDataFrame([(n, bytes([n % 5] * 64), n) for n in range(40)],
+                                 "node long, signature binary, more long")
+    plan = made.where(lines._possible(lines.F.xxhash64("node"), made.where("node < 3").select(
+        lines.F.xxhash64("node").alias("key"))))
+    assert {0, 1, 2} <= {r.node for r in plan.collect()} and plan.count() < 12
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in text and "MapInArrow" not in text
+
+
 def test_keys_are_dealt_and_ordered(monkeypatch):
     monkeypatch.setattr(lines, "DEALT", 30)
     rng = random.Random(9)
